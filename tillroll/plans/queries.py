@@ -39,3 +39,83 @@ def q_search_funnel_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
+
+
+# ---------------------------------------------------------------- P1 order journey and its building blocks
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tillroll.operators import journeys, segments  # noqa: E402
+from tillroll.plans import params as P  # noqa: E402
+from tillroll.plans import reports  # noqa: E402
+
+
+def _basket_orders(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    lines = segments.journey_lines(fx.baskets(t), fx.product_collections(t), fx.products(t), P.FLAGSHIP,
+                                   P.BASKET_START, P.BASKET_END)
+    return segments.order_rollup(lines, P.FLAGSHIP)
+
+
+@register("collection_flags")
+def q_collection_flags(spark, sf_dir):
+    return segments.collection_flags(fx.product_collections(Tables(spark, sf_dir)), P.FLAGSHIP)
+
+
+@register("segment_lines")
+def q_segment_lines(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    x = segments.journey_lines(fx.baskets(t), fx.product_collections(t), fx.products(t), P.FLAGSHIP,
+                               P.BASKET_START, P.BASKET_END)
+    return x.select("order_id", "user_id", "order_date", "order_month", "product_id", "units",
+                    F.col("revenue").cast("double").alias("revenue"), F.col("margin").cast("double").alias("margin"),
+                    "segment_final", "segment_group")
+
+
+@register("order_rollup")
+def q_order_rollup(spark, sf_dir):
+    o = _basket_orders(spark, sf_dir)
+    return o.select("order_id", "user_id", "order_date", "order_month",
+                    F.col("order_revenue_total").cast("double").alias("order_revenue_total"),
+                    F.col("order_margin_total").cast("double").alias("order_margin_total"),
+                    F.col("units").cast("bigint").alias("units"), "has_fv", "has_game", "has_dlc", "has_other",
+                    "order_type")
+
+
+@register("order_gaps")
+def q_order_gaps(spark, sf_dir):
+    rows = journeys.order_journey_rows(_basket_orders(spark, sf_dir), P.SEQ_WINDOW_DAYS)
+    return rows.select("user_id", "order_id", "order_date",
+                       F.col("days_since_prev_order").cast("bigint").alias("days_since_prev_order"))
+
+
+@register("followed_within")
+def q_followed_within(spark, sf_dir):
+    rows = journeys.order_journey_rows(_basket_orders(spark, sf_dir), P.SEQ_WINDOW_DAYS)
+    return rows.select("user_id", "order_id", "order_date", "seq_g2fv_30d_count", "seq_fv2g_30d_count")
+
+
+@register("first_month_cohort")
+def q_first_month_cohort(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    lines = segments.journey_lines(fx.order_details(t), fx.product_collections(t), fx.products(t), P.FLAGSHIP,
+                                   P.SALES_JOURNEY_START, P.SALES_JOURNEY_END)
+    rows = journeys.order_journey_rows(segments.order_rollup(lines, P.FLAGSHIP), P.SALES_SEQ_WINDOW_DAYS)
+    return rows.select("user_id", "order_id", "order_month", "first_order_month",
+                       journeys.months_between_boundaries("first_order_month", "order_month")
+                       .alias("months_since_first"))
+
+
+@register("order_journey")
+def q_order_journey(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.order_journey(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
+                                 start=P.BASKET_START, end=P.BASKET_END, window_days=P.SEQ_WINDOW_DAYS)
+
+
+@register("order_journey_sales")
+def q_order_journey_sales(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.order_journey(fx.order_details(t), fx.product_collections(t), fx.products(t),
+                                 flagship=P.FLAGSHIP, start=P.SALES_JOURNEY_START, end=P.SALES_JOURNEY_END,
+                                 window_days=P.SALES_SEQ_WINDOW_DAYS)
