@@ -118,3 +118,142 @@ def order_journey_report(rows: DataFrame, bare_numeric: str = "decimal(18,0)") -
     )
     agg = agg.withColumn("months_since_first", months_between_boundaries("first_order_month", "order_month"))
     return agg.orderBy(F.col("order_month").desc())
+
+
+# ---------------------------------------------------------------- P2 building blocks
+
+def transition_lines(order_details: DataFrame, collections: DataFrame, products: DataFrame, flagship: str, start,
+                     end, flagship_label: str | None = None) -> DataFrame:
+    """P2 line CTE: lines in [start, end) with positive revenue and margin, product name, 0/1 flagship and game flags.
+
+    No status filter here (S26). Unlike P1 the flag uses the unfolded segment, so 'Game' is not 'game' (S7)."""
+    from tillroll.functions.dates import half_open
+    from tillroll.operators.segments import collection_flags, segment_expr
+
+    label = flagship_label or flagship
+    od = order_details.where(half_open("order_date", start, end) & (F.col("revenue_ex_vat") > 0)
+                             & (F.col("margin") > 0))
+    flags = collection_flags(collections, flagship)
+    p = products.select("product_id", F.col("name").alias("product_name"), "product_type")
+    x = od.join(flags, "product_id", "left").join(p, "product_id", "left")
+    seg = segment_expr(F.col("is_flagship"), F.col("product_type"), label)
+    return x.select(
+        "order_id", USER,
+        F.col("order_date").cast("timestamp").alias("order_ts"),
+        F.to_date("order_date").alias(DAY),
+        "product_id", "product_name",
+        F.when(seg == label, 1).otherwise(0).alias("is_fv"),
+        F.when(seg == "game", 1).otherwise(0).alias("is_game"),
+    )
+
+
+def transition_orders(lines: DataFrame) -> DataFrame:
+    """One row per (order_id, user_id): first line time and day, has_fv / has_game (BOOL_OR as MAX of 0/1, A6)."""
+    return lines.groupBy("order_id", USER).agg(
+        F.min("order_ts").alias("order_ts"),
+        F.min(DAY).alias(DAY),
+        F.max("is_fv").alias("has_fv"),
+        F.max("is_game").alias("has_game"),
+    )
+
+
+def first_order_cohorts(orders: DataFrame, launch) -> DataFrame:
+    """Users whose first order (by time, then order id) has a flagship line on/after launch
+    (FV_FIRST), or was game-without-flagship and who later bought a flagship order on/after launch (GAME_THEN_FV).
+
+    One partially aggregated `groupBy(user)`: MIN over a struct picks the first order, MAX finds the later purchase,
+    so no per-user window or self join is needed."""
+    from tillroll.functions.dates import as_date
+
+    launch_d = as_date(launch)
+    after = (F.col("has_fv") == 1) & (F.to_date("order_ts") >= launch_d)
+    per_user = orders.where(F.col(USER).isNotNull()).groupBy(USER).agg(
+        F.min(F.struct("order_ts", "order_id", "has_fv", "has_game")).alias("first"),
+        F.max(F.when(after, 1).otherwise(0)).alias("fv_after_launch"),
+    )
+    first = F.col("first")
+    cohort = (F.when((first["has_fv"] == 1) & (F.to_date(first["order_ts"]) >= launch_d), F.lit("FV_FIRST"))
+              .when((first["has_game"] == 1) & (first["has_fv"] == 0) & (F.col("fv_after_launch") == 1),
+                    F.lit("GAME_THEN_FV")))
+    return per_user.select(USER, cohort.alias("cohort_type")).where(F.col("cohort_type").isNotNull())
+
+
+def _next_flagged(orders: DataFrame, flag: str, prefix: str) -> DataFrame:
+    """For every order, the same-or-next order of the user (by first line time, then order id) with `flag` = 1.
+
+    Same result as the reference's `seq >= seq` self join + ROW_NUMBER = 1 (J9, S27), computed as a forward fill:
+    inside the order's (user, day) with a window, and across days with a window over the per-day summary."""
+    pos = F.struct("order_ts", "order_id", DAY)
+    hit = F.when(F.col(flag) == 1, pos)
+    same_day = Window.partitionBy(USER, DAY).orderBy("order_ts", "order_id") \
+        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    x = orders.withColumn("_in_day", F.first(hit, ignorenulls=True).over(same_day))
+    days = orders.groupBy(USER, DAY).agg(F.min(hit).alias("_day_first"))
+    later = Window.partitionBy(USER).orderBy(DAY).rowsBetween(1, Window.unboundedFollowing)
+    days = days.select(F.col(USER).alias("_u"), F.col(DAY).alias("_d"),
+                       F.first("_day_first", ignorenulls=True).over(later).alias("_later"))
+    j = x.join(days, (x[USER] == days["_u"]) & (x[DAY] == days["_d"]), "left")
+    nxt = F.coalesce("_in_day", "_later")
+    return j.select(*orders.columns, nxt["order_id"].alias(f"{prefix}_order_id"),
+                    nxt[DAY].alias(f"{prefix}_date"))
+
+
+def next_flagged_orders(orders: DataFrame) -> DataFrame:
+    """next_game for flagship orders and next_fv for game orders (J9), one row per source order and direction."""
+    ng = _next_flagged(orders.where(F.col(USER).isNotNull()), "has_game", "next")
+    nf = _next_flagged(orders.where(F.col(USER).isNotNull()), "has_fv", "next")
+    a = ng.where((F.col("has_fv") == 1) & F.col("next_order_id").isNotNull()).select(
+        F.lit("fv2game").alias("kind"), USER, F.col("order_id").alias("source_order_id"),
+        F.col(DAY).alias("source_date"), F.col("next_order_id").alias("target_order_id"),
+        F.col("next_date").alias("target_date"))
+    b = nf.where((F.col("has_game") == 1) & F.col("next_order_id").isNotNull()).select(
+        F.lit("game2fv").alias("kind"), USER, F.col("order_id").alias("source_order_id"),
+        F.col(DAY).alias("source_date"), F.col("next_order_id").alias("target_order_id"),
+        F.col("next_date").alias("target_date"))
+    return a.unionByName(b)
+
+
+def transition_edges(pairs: DataFrame, lines: DataFrame, fv_to_game: str, game_to_fv: str) -> DataFrame:
+    """Product-to-product edges of each order pair (cross product of the two orders' distinct products)."""
+    fv_lines = lines.where(F.col("is_fv") == 1).select("order_id", "product_name").distinct()
+    game_lines = lines.where(F.col("is_game") == 1).select("order_id", "product_name").distinct()
+    src_of = {"fv2game": fv_lines, "game2fv": game_lines}
+    tgt_of = {"fv2game": game_lines, "game2fv": fv_lines}
+    label = {"fv2game": fv_to_game, "game2fv": game_to_fv}
+    out = None
+    for kind in ("fv2game", "game2fv"):
+        p = pairs.where(F.col("kind") == kind)
+        s = src_of[kind].select(F.col("order_id").alias("_s"), F.col("product_name").alias("source_product"))
+        t = tgt_of[kind].select(F.col("order_id").alias("_t"), F.col("product_name").alias("target_product"))
+        e = p.join(s, p.source_order_id == s._s).join(t, p.target_order_id == t._t).select(
+            USER, "source_order_id", "target_order_id", "source_product", "target_product",
+            F.datediff("target_date", "source_date").alias("days_to_next"),
+            F.lit(label[kind]).alias("direction"))
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+def top_transitions(edges: DataFrame, max_days: int, top_n: int) -> DataFrame:
+    """Per (direction, source, target) distinct users, order pairs and mean days, top-N per
+    direction by users then pairs (names as the last tie-break, S4).
+
+    Edges are unique per (direction, user, source order, products), so the reference's DISTINCT pair count equals
+    the row count; a null product name never matches the USING join, so its pair count is 0 (S8). The top-N is a
+    `row_number` filter, which Spark plans as a partial WindowGroupLimit before the shuffle."""
+    from tillroll.functions.money import avg_half_up
+
+    e = edges.where(F.col("days_to_next") <= max_days)
+    agg = e.groupBy("direction", "source_product", "target_product").agg(
+        F.count_distinct(USER).alias("users"),
+        F.count(F.lit(1)).alias("_pairs"),
+        avg_half_up("days_to_next", 2).alias("avg_days_to_next"),
+    )
+    pairs = F.when(F.col("source_product").isNull() | F.col("target_product").isNull(), F.lit(0)) \
+        .otherwise(F.col("_pairs")).cast("bigint")
+    agg = agg.select("direction", "source_product", "target_product", F.col("users").cast("bigint").alias("users"),
+                     pairs.alias("order_pairs"), "avg_days_to_next")
+    w = Window.partitionBy("direction").orderBy(F.col("users").desc(), F.col("order_pairs").desc(),
+                                                F.col("source_product").asc_nulls_last(),
+                                                F.col("target_product").asc_nulls_last())
+    ranked = agg.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= top_n)
+    return ranked.orderBy("direction", "_rk").drop("_rk")

@@ -119,3 +119,37 @@ def q_order_journey_sales(spark, sf_dir):
     return reports.order_journey(fx.order_details(t), fx.product_collections(t), fx.products(t),
                                  flagship=P.FLAGSHIP, start=P.SALES_JOURNEY_START, end=P.SALES_JOURNEY_END,
                                  window_days=P.SALES_SEQ_WINDOW_DAYS)
+
+
+# ---------------------------------------------------------------- P2 product transitions
+
+def _p2_inputs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.transitions_inputs(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
+                                      start=P.BASKET_START, end=P.BASKET_END, launch=P.LAUNCH_DATE)
+
+
+@register("first_order_cohorts")
+def q_first_order_cohorts(spark, sf_dir):
+    cohorts, _, _ = _p2_inputs(spark, sf_dir)
+    return cohorts
+
+
+@register("next_flagged_order")
+def q_next_flagged_order(spark, sf_dir):
+    _, _, orders = _p2_inputs(spark, sf_dir)
+    return journeys.next_flagged_orders(orders)
+
+
+@register("transition_edges")
+def q_transition_edges(spark, sf_dir):
+    _, lines, orders = _p2_inputs(spark, sf_dir)
+    return journeys.transition_edges(journeys.next_flagged_orders(orders), lines, "FV→Game", "Game→FV")
+
+
+@register("top_transitions")
+def q_top_transitions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.product_transitions(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
+                                       start=P.BASKET_START, end=P.BASKET_END, launch=P.LAUNCH_DATE,
+                                       max_days=P.MAX_DAYS_TO_NEXT, top_n=P.TOP_N)

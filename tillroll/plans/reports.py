@@ -21,3 +21,28 @@ def order_journey(order_details: DataFrame, collections: DataFrame, products: Da
     orders = segments.order_rollup(lines, label, bare_numeric)
     rows = journeys.order_journey_rows(orders, window_days, bare_numeric)
     return journeys.order_journey_report(rows, bare_numeric)
+
+
+def transitions_inputs(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
+                       start, end, launch, flagship_label: str | None = None):
+    """Eligible lines and orders of the two cohorts (P2 up to `orders`)."""
+    from pyspark.sql import functions as F
+
+    lines = journeys.transition_lines(order_details, collections, products, flagship, start, end, flagship_label)
+    orders = journeys.transition_orders(lines)
+    cohorts = journeys.first_order_cohorts(orders, launch)
+    users = cohorts.select("user_id")
+    el_lines = lines.join(users, "user_id", "left_semi")
+    el_orders = orders.join(users, "user_id", "left_semi").withColumn("order_date", F.col("order_date"))
+    return cohorts, el_lines, el_orders
+
+
+def product_transitions(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
+                        start, end, launch, max_days: int = 30, top_n: int = 50, flagship_short: str = "FV",
+                        flagship_label: str | None = None) -> DataFrame:
+    """Top-N product transitions flagship -> game and game -> flagship among the two first-order cohorts."""
+    _, lines, orders = transitions_inputs(order_details, collections, products, flagship=flagship, start=start,
+                                          end=end, launch=launch, flagship_label=flagship_label)
+    pairs = journeys.next_flagged_orders(orders)
+    edges = journeys.transition_edges(pairs, lines, f"{flagship_short}→Game", f"Game→{flagship_short}")
+    return journeys.top_transitions(edges, max_days, top_n)
