@@ -153,3 +153,32 @@ def q_top_transitions(spark, sf_dir):
     return reports.product_transitions(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
                                        start=P.BASKET_START, end=P.BASKET_END, launch=P.LAUNCH_DATE,
                                        max_days=P.MAX_DAYS_TO_NEXT, top_n=P.TOP_N)
+
+
+# ---------------------------------------------------------------- P3 / P4 fx and royalty statements
+
+from tillroll.operators import fx as fxop  # noqa: E402
+
+
+@register("implied_daily_rate")
+def q_implied_daily_rate(spark, sf_dir):
+    r = fxop.implied_daily_rate(fx.shop_orders(Tables(spark, sf_dir)))
+    return r.select("rate_date", "currency", F.col("conversion_to_publisher").cast("double")
+                    .alias("conversion_to_publisher"))
+
+
+@register("royalty_statement")
+def q_royalty_statement(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.royalty_statement(fx.sales_lines(t), fx.products(t), fx.shop_orders(t), start=P.ROYALTY_START,
+                                     end=P.ROYALTY_END, as_of=P.ROYALTY_AS_OF, currency=P.ROYALTY_CURRENCY,
+                                     percentage=P.ROYALTY_PERCENTAGE)
+
+
+@register("refund_statement")
+def q_refund_statement(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.refund_statement(fx.sales_lines(t), fx.products(t), fx.shop_orders(t), fx.notes(t),
+                                    min_order_date=P.REFUND_MIN_ORDER_DATE, event_from=P.REFUND_EVENT_FROM,
+                                    event_to=P.REFUND_EVENT_TO, as_of=P.ROYALTY_AS_OF,
+                                    currency=P.ROYALTY_CURRENCY, percentage=P.ROYALTY_PERCENTAGE)

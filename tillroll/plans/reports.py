@@ -46,3 +46,15 @@ def product_transitions(order_details: DataFrame, collections: DataFrame, produc
     pairs = journeys.next_flagged_orders(orders)
     edges = journeys.transition_edges(pairs, lines, f"{flagship_short}→Game", f"Game→{flagship_short}")
     return journeys.top_transitions(edges, max_days, top_n)
+
+
+def royalty_statement(sales, products, shop_orders, **kw):
+    """P3 (see `tillroll.operators.royalty.royalty_statement`)."""
+    from tillroll.operators import royalty
+    return royalty.royalty_statement(sales, products, shop_orders, **kw)
+
+
+def refund_statement(sales, products, shop_orders, notes, **kw):
+    """P4 (see `tillroll.operators.royalty.refund_statement`)."""
+    from tillroll.operators import royalty
+    return royalty.refund_statement(sales, products, shop_orders, notes, **kw)
