@@ -182,3 +182,61 @@ def q_refund_statement(spark, sf_dir):
                                     min_order_date=P.REFUND_MIN_ORDER_DATE, event_from=P.REFUND_EVENT_FROM,
                                     event_to=P.REFUND_EVENT_TO, as_of=P.ROYALTY_AS_OF,
                                     currency=P.ROYALTY_CURRENCY, percentage=P.ROYALTY_PERCENTAGE)
+
+
+# ---------------------------------------------------------------- P6 distributor reconciliation
+
+from pyspark.sql.types import DecimalType  # noqa: E402
+
+from tillroll.operators import reconcile  # noqa: E402
+from tillroll.sources import contracts  # noqa: E402
+
+
+def decimals_as_double(df: DataFrame) -> DataFrame:
+    """Hand decimal results out as double (after all rounding happened in decimals)."""
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def _p6(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    report = fx.distributor_report(t, P.RECON_START, P.RECON_END)
+    return t, report
+
+
+@register("contract_rename")
+def q_contract_rename(spark, sf_dir):
+    _, report = _p6(spark, sf_dir)
+    return decimals_as_double(contracts.read_distributor_report(report))
+
+
+@register("partner_aggregate")
+def q_partner_aggregate(spark, sf_dir):
+    _, report = _p6(spark, sf_dir)
+    return decimals_as_double(reconcile.partner_aggregate(contracts.read_distributor_report(report)))
+
+
+@register("order_line_terms")
+def q_order_line_terms(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return decimals_as_double(reconcile.order_line_terms(
+        fx.sales_lines(t), fx.products(t), fx.suppliers(t), fx.product_discounts(t), fx.star_deals(t),
+        start=P.RECON_START, end=P.RECON_END))
+
+
+@register("overcharge_detail")
+def q_overcharge_detail(spark, sf_dir):
+    t, report = _p6(spark, sf_dir)
+    detail, _ = reports.distributor_overcharge(report, fx.sales_lines(t), fx.products(t), fx.suppliers(t),
+                                               fx.product_discounts(t), fx.star_deals(t), start=P.RECON_START,
+                                               end=P.RECON_END)
+    return decimals_as_double(detail)
+
+
+@register("overcharge_by_title")
+def q_overcharge_by_title(spark, sf_dir):
+    t, report = _p6(spark, sf_dir)
+    _, pivot = reports.distributor_overcharge(report, fx.sales_lines(t), fx.products(t), fx.suppliers(t),
+                                              fx.product_discounts(t), fx.star_deals(t), start=P.RECON_START,
+                                              end=P.RECON_END)
+    return decimals_as_double(pivot)

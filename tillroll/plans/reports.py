@@ -58,3 +58,16 @@ def refund_statement(sales, products, shop_orders, notes, **kw):
     """P4 (see `tillroll.operators.royalty.refund_statement`)."""
     from tillroll.operators import royalty
     return royalty.refund_statement(sales, products, shop_orders, notes, **kw)
+
+
+def distributor_overcharge(report: DataFrame, order_details: DataFrame, products: DataFrame, suppliers: DataFrame,
+                           discounts: DataFrame, star_deals: DataFrame, *, start, end):
+    """(detail rows, total overcharge per title) for a distributor report in spreadsheet form."""
+    from tillroll.operators import reconcile
+    from tillroll.sources.contracts import read_distributor_report
+
+    partner = reconcile.partner_aggregate(read_distributor_report(report))
+    lines = reconcile.order_line_terms(order_details, products, suppliers, discounts, star_deals, start=start,
+                                       end=end)
+    detail = reconcile.overcharge_detail(partner, lines)
+    return detail, reconcile.overcharge_by_title(detail)

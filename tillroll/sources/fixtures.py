@@ -226,7 +226,7 @@ def distributor_report(t: Tables, start: str, end: str) -> DataFrame:
         F.concat(F.col("iid"), F.lit("-"), s(F.col("supp_key"))).alias("CTID"),
         F.upper("title").alias("Publisher Name"),
         F.col("title").alias("Product Title"),
-        F.col("sku").alias("SKU") if "sku" in x.columns else s(F.col("product_id")).alias("SKU"),
+        F.concat(F.lit("SKU-"), s(F.col("product_id"))).alias("SKU"),
         s(F.col("product_id")).alias("Genba Product ID"),
         F.lit("GB").alias("Country Sold"),
         s(F.when(F.col("line_number") == 5, 0).otherwise(1)).alias("Activation Qty"),
