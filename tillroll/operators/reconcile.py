@@ -124,3 +124,96 @@ def overcharge_by_title(detail: DataFrame) -> DataFrame:
     out = d.groupBy("product_title").agg(
         F.coalesce(F.sum("overcharge_after_transaction_fee_handling"), F.lit(0)).alias("Total Overcharge"))
     return out.orderBy(F.col("Total Overcharge").desc_nulls_last(), "product_title")
+
+
+# ---------------------------------------------------------------- P7 / P8 publisher invoice comparison
+
+PUBLISHER, CURRENCY, PRICE = "Publisher Name", "Invoicing Currency", "Purchase Price In Invoicing Currency"
+CONVERTED, ADJUSTED = "Converted to GBP", "Adjusted Purchase Price In Invoicing Currency"
+
+
+def partner_totals(report: DataFrame, name: str = PUBLISHER, currency: str = CURRENCY,
+                   amount: str = PRICE) -> DataFrame:
+    """A21 + F20: sum per (publisher, currency) with null keys dropped and all-null sums as 0; the currency is
+    trimmed and upper-cased only after grouping, so differently written codes stay separate rows (S20)."""
+    r = report.where(F.col(name).isNotNull() & F.col(currency).isNotNull())
+    g = r.groupBy(name, currency).agg(F.coalesce(F.sum(amount), F.lit(0)).alias(amount))
+    return g.withColumn(currency, F.upper(F.trim(F.col(currency).cast("string"))))
+
+
+def convert_to_gbp(totals: DataFrame, rates: DataFrame, currency: str = CURRENCY, amount: str = PRICE,
+                   out: str = CONVERTED) -> DataFrame:
+    """Amount x rate (GBP = 1), rounded half-even to 2 places as pandas does; unknown currency -> null.
+    `rates` (currency, rate_to_gbp) has one row per currency, so it is broadcast."""
+    r = rates.select(F.col("currency").alias("_ccy"), "rate_to_gbp")
+    x = totals.join(F.broadcast(r), totals[currency] == r["_ccy"], "left")
+    rate = F.when(F.col(currency) == "GBP", F.lit(1).cast("decimal(14,6)")).otherwise(F.col("rate_to_gbp"))
+    return x.withColumn(out, F.bround(F.col(amount) * rate, 2)).drop("_ccy", "rate_to_gbp")
+
+
+def supplier_royalty_totals(order_details: DataFrame, products: DataFrame, suppliers: DataFrame, *, start, end,
+                            statuses=("COMPLETE", "REFUNDED"), partner_flag: str = "vaultn") -> DataFrame:
+    """Royalties (major units) per supplier flagged for the partner, lines of [start, end)."""
+    od = order_details.where(half_open("order_date", start, end) & F.col("status").isin(*statuses)) \
+        .select("product_id", "royalty")
+    p = products.select("product_id", "supplier_id")
+    s = suppliers.where(F.col(partner_flag).eqNullSafe(True)).select("supplier_id", "supplier_name")
+    x = od.join(p, "product_id").join(s, "supplier_id")
+    return x.groupBy("supplier_name").agg((F.sum(F.col("royalty").cast("decimal(20,0)")) * cent()).alias("royalties"))
+
+
+def override_names(df: DataFrame, column: str, mapping: dict[str, str] | None) -> DataFrame:
+    """PF24: replace known publisher spellings by name (never by row position)."""
+    if not mapping:
+        return df
+    expr = F.col(column)
+    for k, v in mapping.items():
+        expr = F.when(F.col(column) == k, F.lit(v)).otherwise(expr)
+    return df.withColumn(column, expr)
+
+
+def publisher_comparison(report: DataFrame, rates: DataFrame, royalties: DataFrame, *, threshold: float = 90,
+                         overrides: dict[str, str] | None = None, blocking: int | None = None) -> DataFrame:
+    """Partner totals in GBP next to own royalties of the fuzzily matched supplier, and their difference."""
+    from tillroll.operators.matching import fuzzy_join
+
+    conv = convert_to_gbp(partner_totals(report), rates)
+    conv = override_names(conv, PUBLISHER, overrides)
+    m = fuzzy_join(conv, royalties, PUBLISHER, "supplier_name", threshold, blocking)
+    return m.select(PUBLISHER, CURRENCY, PRICE, CONVERTED, "royalties",
+                    F.bround(F.col(CONVERTED) - F.col("royalties"), 2).alias("Difference"))
+
+
+def promo_item_royalties(order_details: DataFrame, *, supplier: str, start, end,
+                         excluded=("CANCELLED", "INITIALISED")) -> DataFrame:
+    """Royalties per (iid, status, promo_name, bundle_name) of one supplier's lines in [start, end)."""
+    od = order_details.where(half_open("order_date", start, end) & ~F.col("status").isin(*excluded)
+                             & (F.col("supplier_name") == supplier))
+    return od.groupBy("iid", "status", "promo_name", "bundle_name").agg(
+        (F.sum(F.col("royalty").cast("decimal(20,0)")) * cent()).alias("royalties"))
+
+
+def promo_adjusted_detail(report: DataFrame, promo: DataFrame, *, publisher: str,
+                          ref_col: str = "Client Order Reference", promo_col: str = "Promotion Name") -> DataFrame:
+    """P8 detail (PF21, J20, PF22, PF23): the publisher's report rows; where the report names a promotion and our
+    item has none, the price becomes our royalty (null when the item is unknown, S21) and Status 'Adjusted'."""
+    sel = report.where(F.coalesce(F.lower(F.col(PUBLISHER)).contains(publisher.lower()), F.lit(False)))
+    pr = promo.select(F.col("iid").alias("_iid"), F.col("promo_name").alias("_promo"), F.col("royalties").alias("_roy"))
+    x = sel.join(pr, sel[ref_col].eqNullSafe(pr["_iid"]), "left")
+    cond = (F.col(promo_col).isNotNull() & (F.col(promo_col) != "")
+            & (F.col("_promo").isNull() | (F.col("_promo") == "")))
+    x = x.withColumns({
+        PRICE: F.when(cond, F.col("_roy")).otherwise(F.col(PRICE)),
+        "Status": F.when(cond, F.lit("Adjusted")).otherwise(F.col("Status")),
+    })
+    return x.drop("_iid", "_promo", "_roy")
+
+
+def adjusted_comparison(comparison: DataFrame, detail: DataFrame) -> DataFrame:
+    """P8 totals (A21, J21, F29): adjusted partner totals joined to the comparison on (publisher, currency as
+    written in the report), adjusted_difference falling back to the converted price."""
+    s = detail.where(F.col(PUBLISHER).isNotNull() & F.col(CURRENCY).isNotNull()) \
+        .groupBy(PUBLISHER, CURRENCY).agg(F.coalesce(F.sum(PRICE), F.lit(0)).alias(ADJUSTED))
+    x = comparison.join(s, [PUBLISHER, CURRENCY], "left")
+    return x.withColumn("adjusted_difference",
+                        F.bround(F.coalesce(F.col(ADJUSTED), F.col(CONVERTED)) - F.col("royalties"), 2))

@@ -37,3 +37,5 @@ RECON_END = "1998-08-01"
 PROMO_PUBLISHER = "red widget"
 PROMO_SUPPLIER = "red widget"
 MATCH_THRESHOLD = 90
+# Publisher spellings corrected by name before matching (one present in the fixture report).
+PUBLISHER_OVERRIDES = {"HOT ROD Ltd.": "HOT ROD"}

@@ -240,3 +240,70 @@ def q_overcharge_by_title(spark, sf_dir):
                                               fx.product_discounts(t), fx.star_deals(t), start=P.RECON_START,
                                               end=P.RECON_END)
     return decimals_as_double(pivot)
+
+
+# ---------------------------------------------------------------- P7 / P8 publisher invoice comparison
+
+from tillroll.functions.names import normalize_name  # noqa: E402
+from tillroll.operators import matching  # noqa: E402
+
+
+def _p7(spark, sf_dir, blocking=None):
+    t = Tables(spark, sf_dir)
+    report = fx.publisher_report(t, P.RECON_START, P.RECON_END)
+    return reports.publisher_reconciliation(report, fx.shop_orders(t), fx.sales_lines(t), fx.products(t),
+                                            fx.suppliers(t), as_of=P.RECON_AS_OF, promo_publisher=P.PROMO_PUBLISHER,
+                                            promo_supplier=P.PROMO_SUPPLIER, threshold=P.MATCH_THRESHOLD,
+                                            overrides=P.PUBLISHER_OVERRIDES, blocking=blocking)
+
+
+@register("normalize_names")
+def q_normalize_names(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    rep = contracts.trim_headers(fx.publisher_report(t, P.RECON_START, P.RECON_END))
+    pubs = rep.select(F.col("Publisher Name").alias("name")).distinct()
+    sups = fx.suppliers(t).select(F.col("supplier_name").alias("name"))
+    names = pubs.unionByName(sups).distinct()
+    return names.select("name", normalize_name("name").alias("name_norm"))
+
+
+@register("currency_rates_as_of")
+def q_currency_rates_as_of(spark, sf_dir):
+    from tillroll.functions.dates import previous_month
+    start = previous_month(P.RECON_AS_OF)[0]
+    r = fxop.as_of_rates(fxop.rates_to_gbp(fx.shop_orders(Tables(spark, sf_dir))), start)
+    return r.select("currency", F.col("rate_to_gbp").cast("double").alias("rate_to_gbp"))
+
+
+@register("fuzzy_match")
+def q_fuzzy_match(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    rep = contracts.trim_headers(fx.publisher_report(t, P.RECON_START, P.RECON_END))
+    sups = fx.suppliers(t)
+    return matching.fuzzy_match_table(rep, sups, "Publisher Name", "supplier_name", P.MATCH_THRESHOLD)
+
+
+@register("fuzzy_match_blocked")
+def q_fuzzy_match_blocked(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    rep = contracts.trim_headers(fx.publisher_report(t, P.RECON_START, P.RECON_END))
+    return matching.fuzzy_match_table(rep, fx.suppliers(t), "Publisher Name", "supplier_name", P.MATCH_THRESHOLD,
+                                      blocking=3)
+
+
+@register("publisher_comparison")
+def q_publisher_comparison(spark, sf_dir):
+    comparison, _, _ = _p7(spark, sf_dir)
+    return decimals_as_double(comparison)
+
+
+@register("promo_adjusted_detail")
+def q_promo_adjusted_detail(spark, sf_dir):
+    _, detail, _ = _p7(spark, sf_dir)
+    return decimals_as_double(detail)
+
+
+@register("adjusted_comparison")
+def q_adjusted_comparison(spark, sf_dir):
+    _, _, adjusted = _p7(spark, sf_dir)
+    return decimals_as_double(adjusted)

@@ -71,3 +71,23 @@ def distributor_overcharge(report: DataFrame, order_details: DataFrame, products
                                        end=end)
     detail = reconcile.overcharge_detail(partner, lines)
     return detail, reconcile.overcharge_by_title(detail)
+
+
+def publisher_reconciliation(report: DataFrame, shop_orders: DataFrame, order_details: DataFrame,
+                             products: DataFrame, suppliers: DataFrame, *, as_of, promo_publisher: str,
+                             promo_supplier: str, threshold: float = 90, overrides: dict | None = None,
+                             blocking: int | None = None):
+    """P7 + P8 for the previous full month of `as_of`: (comparison, adjusted detail, adjusted comparison)."""
+    from tillroll.functions.dates import previous_month
+    from tillroll.operators import fx, reconcile
+    from tillroll.sources.contracts import trim_headers
+
+    start, end, _, _ = previous_month(as_of)
+    rep = trim_headers(report)
+    rates = fx.as_of_rates(fx.rates_to_gbp(shop_orders), start)
+    royalties = reconcile.supplier_royalty_totals(order_details, products, suppliers, start=start, end=end)
+    comparison = reconcile.publisher_comparison(rep, rates, royalties, threshold=threshold, overrides=overrides,
+                                                blocking=blocking)
+    promo = reconcile.promo_item_royalties(order_details, supplier=promo_supplier, start=start, end=end)
+    detail = reconcile.promo_adjusted_detail(rep, promo, publisher=promo_publisher)
+    return comparison, detail, reconcile.adjusted_comparison(comparison, detail)
