@@ -307,3 +307,14 @@ def q_promo_adjusted_detail(spark, sf_dir):
 def q_adjusted_comparison(spark, sf_dir):
     _, _, adjusted = _p7(spark, sf_dir)
     return decimals_as_double(adjusted)
+
+
+# ---------------------------------------------------------------- sinks
+
+from tillroll.sources import sinks  # noqa: E402
+
+
+@register("sheet_rows")
+def q_sheet_rows(spark, sf_dir):
+    _, _, adjusted = _p7(spark, sf_dir)
+    return sinks.sheet_rows(adjusted)
