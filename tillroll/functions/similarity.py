@@ -54,5 +54,10 @@ def token_set_ratio(s1: str | None, s2: str | None) -> float:
 
 
 @F.pandas_udf(DoubleType())
-def token_set_ratio_udf(left: pd.Series, right: pd.Series) -> pd.Series:
+def _token_set_ratio_udf(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([token_set_ratio(a, b) for a, b in zip(left, right)], dtype="float64")
+
+
+# Marked nondeterministic only to pin where it runs: otherwise Catalyst pushes the `score >= t` filter below the
+# candidates' DISTINCT and into every union branch, scoring duplicate pairs.
+token_set_ratio_udf = _token_set_ratio_udf.asNondeterministic()

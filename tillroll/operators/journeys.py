@@ -178,59 +178,60 @@ def first_order_cohorts(orders: DataFrame, launch) -> DataFrame:
     return per_user.select(USER, cohort.alias("cohort_type")).where(F.col("cohort_type").isNotNull())
 
 
-def _next_flagged(orders: DataFrame, flag: str, prefix: str) -> DataFrame:
-    """For every order, the same-or-next order of the user (by first line time, then order id) with `flag` = 1.
+def next_flagged_orders(orders: DataFrame) -> DataFrame:
+    """J9 for both directions in one pass: for every flagship order the same-or-next game order of the user, and for
+    every game order the same-or-next flagship order (order = first line time, then order id; S27: a mixed basket is
+    its own successor). Same rows as the reference's `seq >= seq` self join + ROW_NUMBER = 1.
 
-    Same result as the reference's `seq >= seq` self join + ROW_NUMBER = 1 (J9, S27), computed as a forward fill:
-    inside the order's (user, day) with a window, and across days with a window over the per-day summary."""
+    Forward fill in two levels so no window runs over a user's raw orders: inside the order's (user, day) with a
+    window, and across days with a window over the per-(user, day) summary (bounded by the calendar)."""
+    o = orders.where(F.col(USER).isNotNull())
     pos = F.struct("order_ts", "order_id", DAY)
-    hit = F.when(F.col(flag) == 1, pos)
+    hit_game = F.when(F.col("has_game") == 1, pos)
+    hit_fv = F.when(F.col("has_fv") == 1, pos)
     same_day = Window.partitionBy(USER, DAY).orderBy("order_ts", "order_id") \
         .rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    x = orders.withColumn("_in_day", F.first(hit, ignorenulls=True).over(same_day))
-    days = orders.groupBy(USER, DAY).agg(F.min(hit).alias("_day_first"))
+    x = o.select(USER, "order_id", DAY, "has_fv", "has_game",
+                 F.first(hit_game, ignorenulls=True).over(same_day).alias("_g_in"),
+                 F.first(hit_fv, ignorenulls=True).over(same_day).alias("_f_in"))
     later = Window.partitionBy(USER).orderBy(DAY).rowsBetween(1, Window.unboundedFollowing)
-    days = days.select(F.col(USER).alias("_u"), F.col(DAY).alias("_d"),
-                       F.first("_day_first", ignorenulls=True).over(later).alias("_later"))
+    days = o.groupBy(USER, DAY).agg(F.min(hit_game).alias("_g"), F.min(hit_fv).alias("_f")).select(
+        F.col(USER).alias("_u"), F.col(DAY).alias("_d"),
+        F.first("_g", ignorenulls=True).over(later).alias("_g_later"),
+        F.first("_f", ignorenulls=True).over(later).alias("_f_later"))
     j = x.join(days, (x[USER] == days["_u"]) & (x[DAY] == days["_d"]), "left")
-    nxt = F.coalesce("_in_day", "_later")
-    return j.select(*orders.columns, nxt["order_id"].alias(f"{prefix}_order_id"),
-                    nxt[DAY].alias(f"{prefix}_date"))
+    nxt_g = F.coalesce("_g_in", "_g_later")
+    nxt_f = F.coalesce("_f_in", "_f_later")
 
+    def edge(kind: str, cond: Column, nxt: Column) -> Column:
+        return F.when(cond & nxt.isNotNull(), F.struct(F.lit(kind).alias("kind"), nxt["order_id"].alias("t"),
+                                                       nxt[DAY].alias("td")))
 
-def next_flagged_orders(orders: DataFrame) -> DataFrame:
-    """next_game for flagship orders and next_fv for game orders (J9), one row per source order and direction."""
-    ng = _next_flagged(orders.where(F.col(USER).isNotNull()), "has_game", "next")
-    nf = _next_flagged(orders.where(F.col(USER).isNotNull()), "has_fv", "next")
-    a = ng.where((F.col("has_fv") == 1) & F.col("next_order_id").isNotNull()).select(
-        F.lit("fv2game").alias("kind"), USER, F.col("order_id").alias("source_order_id"),
-        F.col(DAY).alias("source_date"), F.col("next_order_id").alias("target_order_id"),
-        F.col("next_date").alias("target_date"))
-    b = nf.where((F.col("has_game") == 1) & F.col("next_order_id").isNotNull()).select(
-        F.lit("game2fv").alias("kind"), USER, F.col("order_id").alias("source_order_id"),
-        F.col(DAY).alias("source_date"), F.col("next_order_id").alias("target_order_id"),
-        F.col("next_date").alias("target_date"))
-    return a.unionByName(b)
+    e = j.select(USER, "order_id", DAY, F.explode(F.array(
+        edge("fv2game", F.col("has_fv") == 1, nxt_g), edge("game2fv", F.col("has_game") == 1, nxt_f))).alias("e"))
+    return e.where(F.col("e").isNotNull()).select(
+        F.col("e.kind").alias("kind"), USER, F.col("order_id").alias("source_order_id"),
+        F.col(DAY).alias("source_date"), F.col("e.t").alias("target_order_id"), F.col("e.td").alias("target_date"))
 
 
 def transition_edges(pairs: DataFrame, lines: DataFrame, fv_to_game: str, game_to_fv: str) -> DataFrame:
-    """Product-to-product edges of each order pair (cross product of the two orders' distinct products)."""
-    fv_lines = lines.where(F.col("is_fv") == 1).select("order_id", "product_name").distinct()
-    game_lines = lines.where(F.col("is_game") == 1).select("order_id", "product_name").distinct()
-    src_of = {"fv2game": fv_lines, "game2fv": game_lines}
-    tgt_of = {"fv2game": game_lines, "game2fv": fv_lines}
-    label = {"fv2game": fv_to_game, "game2fv": game_to_fv}
-    out = None
-    for kind in ("fv2game", "game2fv"):
-        p = pairs.where(F.col("kind") == kind)
-        s = src_of[kind].select(F.col("order_id").alias("_s"), F.col("product_name").alias("source_product"))
-        t = tgt_of[kind].select(F.col("order_id").alias("_t"), F.col("product_name").alias("target_product"))
-        e = p.join(s, p.source_order_id == s._s).join(t, p.target_order_id == t._t).select(
-            USER, "source_order_id", "target_order_id", "source_product", "target_product",
-            F.datediff("target_date", "source_date").alias("days_to_next"),
-            F.lit(label[kind]).alias("direction"))
-        out = e if out is None else out.unionByName(e)
-    return out
+    """Product-to-product edges of each order pair (cross product of the two orders' distinct products).
+
+    One (order, product, role) table serves both directions: role 'fv' for flagship lines, 'game' for game lines."""
+    roles = lines.select("order_id", "product_name", F.explode(F.array(
+        F.when(F.col("is_fv") == 1, F.lit("fv")), F.when(F.col("is_game") == 1, F.lit("game")))).alias("role")) \
+        .where(F.col("role").isNotNull()).distinct()
+    fv2g = F.col("kind") == "fv2game"
+    p = pairs.withColumns({"_sr": F.when(fv2g, "fv").otherwise("game"), "_tr": F.when(fv2g, "game").otherwise("fv")})
+    s = roles.select(F.col("order_id").alias("_s"), F.col("role").alias("_srole"),
+                     F.col("product_name").alias("source_product"))
+    t = roles.select(F.col("order_id").alias("_t"), F.col("role").alias("_trole"),
+                     F.col("product_name").alias("target_product"))
+    e = p.join(s, (p.source_order_id == s._s) & (p._sr == s._srole)) \
+        .join(t, (p.target_order_id == t._t) & (p._tr == t._trole))
+    return e.select(USER, "source_order_id", "target_order_id", "source_product", "target_product",
+                    F.datediff("target_date", "source_date").alias("days_to_next"),
+                    F.when(fv2g, F.lit(fv_to_game)).otherwise(F.lit(game_to_fv)).alias("direction"))
 
 
 def top_transitions(edges: DataFrame, max_days: int, top_n: int) -> DataFrame:

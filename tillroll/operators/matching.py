@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.names import block_key, normalize_name
 from tillroll.functions.similarity import token_set_ratio_udf
+from tillroll.session import cut_lineage
 
 
 def _bounds(threshold: float) -> tuple[float, float]:
@@ -101,8 +102,10 @@ def best_matches(left_names: DataFrame, right_names: DataFrame, threshold: float
     `blocking=n` reproduces the first script's behaviour: a left name whose first n characters start some right
     name is only compared within that block; otherwise it is compared with all right names (found exactly through
     the same prefix keys)."""
-    left = left_names.select(F.col("norm")).where(F.col("norm") != "").distinct()
-    right = right_names.select(F.col("norm")).where(F.col("norm") != "").distinct()
+    # The distinct name sets are small (bounded by the partners' and suppliers' name lists) and feed a dozen
+    # branches; a reliable checkpoint in the shared checkpoint folder computes each once and cuts the lineage.
+    left = cut_lineage(left_names.select(F.col("norm")).where(F.col("norm") != "").distinct())
+    right = cut_lineage(right_names.select(F.col("norm")).where(F.col("norm") != "").distinct())
     cand = candidate_pairs(left, right, threshold)
     if blocking:
         rb = right.select(block_key("norm", blocking).alias("b")).distinct()
@@ -125,8 +128,8 @@ def fuzzy_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     rn = right.withColumn("_r_norm", normalize_name(right_key))
     m = best_matches(ln.select(F.col("_l_norm").alias("norm")), rn.select(F.col("_r_norm").alias("norm")),
                      threshold, blocking)
-    pick = rn.groupBy("_r_norm").agg(F.min(right_key).alias("_r_pick"))
-    r1 = rn.join(pick, (rn["_r_norm"] == pick["_r_norm"]) & (rn[right_key] == pick["_r_pick"]), "left_semi")
+    first = Window.partitionBy("_r_norm").orderBy(F.col(right_key).asc_nulls_last())
+    r1 = rn.withColumn("_rk", F.row_number().over(first)).where("_rk = 1").drop("_rk")
     out = ln.join(m, ln["_l_norm"] == m["l"], how).drop("l")
     out = out.join(r1, out["r"] == r1["_r_norm"], "left").drop("r", "_r_norm")
     return out.drop("_l_norm").withColumnRenamed("score", "match_score")

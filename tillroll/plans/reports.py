@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tillroll.operators import journeys, segments
+from tillroll.session import cut_lineage
 
 
 def order_journey(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
@@ -26,14 +27,12 @@ def order_journey(order_details: DataFrame, collections: DataFrame, products: Da
 def transitions_inputs(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
                        start, end, launch, flagship_label: str | None = None):
     """Eligible lines and orders of the two cohorts (P2 up to `orders`)."""
-    from pyspark.sql import functions as F
-
     lines = journeys.transition_lines(order_details, collections, products, flagship, start, end, flagship_label)
-    orders = journeys.transition_orders(lines)
-    cohorts = journeys.first_order_cohorts(orders, launch)
-    users = cohorts.select("user_id")
-    el_lines = lines.join(users, "user_id", "left_semi")
-    el_orders = orders.join(users, "user_id", "left_semi").withColumn("order_date", F.col("order_date"))
+    cohorts = journeys.first_order_cohorts(journeys.transition_orders(lines), launch)
+    # The eligible lines feed the forward fill and both sides of the edge join; one reliable checkpoint (shared
+    # checkpoint folder) computes them once instead of re-reading and re-joining the order lines in every branch.
+    el_lines = cut_lineage(lines.join(cohorts.select("user_id"), "user_id", "left_semi"))
+    el_orders = journeys.transition_orders(el_lines)
     return cohorts, el_lines, el_orders
 
 
