@@ -128,6 +128,7 @@ def transition_lines(order_details: DataFrame, collections: DataFrame, products:
 
     No status filter here (S26). Unlike P1 the flag uses the unfolded segment, so 'Game' is not 'game' (S7)."""
     from tillroll.functions.dates import half_open
+    from tillroll.functions.money import minor_to_major
     from tillroll.operators.segments import collection_flags, segment_expr
 
     label = flagship_label or flagship
@@ -137,16 +138,25 @@ def transition_lines(order_details: DataFrame, collections: DataFrame, products:
     p = products.select("product_id", F.col("name").alias("product_name"), "product_type")
     x = od.join(flags, "product_id", "left").join(p, "product_id", "left")
     seg = segment_expr(F.col("is_flagship"), F.col("product_type"), label)
+    price = minor_to_major("revenue_ex_vat")
+    margin = minor_to_major("margin")
     return x.select(
         "order_id", USER,
         F.col("order_date").cast("timestamp").alias("order_ts"),
         F.to_date("order_date").alias(DAY),
-        "product_id", "product_name",
+        "product_id", "product_name", "units",
+        price.alias("price"), margin.alias("margin_amt"),
+        F.when(price > 0, margin / price).alias("margin_pct"),  # F8: safe margin share
         F.when(seg == label, 1).otherwise(0).alias("is_fv"),
         F.when(seg == "game", 1).otherwise(0).alias("is_game"),
     )
 
 
+def eligible_lines(lines: DataFrame, cohorts: DataFrame) -> DataFrame:
+    """The cohorts' order lines with their cohort label (inner join on user; `cohorts` is one row per user)."""
+    return lines.join(cohorts, USER)
+
+
 def transition_orders(lines: DataFrame) -> DataFrame:
     """One row per (order_id, user_id): first line time and day, has_fv / has_game (BOOL_OR as MAX of 0/1, A6)."""
     return lines.groupBy("order_id", USER).agg(

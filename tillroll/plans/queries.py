@@ -135,6 +135,18 @@ def q_first_order_cohorts(spark, sf_dir):
     return cohorts
 
 
+@register("eligible_lines")
+def q_eligible_lines(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    lines = journeys.transition_lines(fx.baskets(t), fx.product_collections(t), fx.products(t), P.FLAGSHIP,
+                                      P.BASKET_START, P.BASKET_END)
+    cohorts = journeys.first_order_cohorts(journeys.transition_orders(lines), P.LAUNCH_DATE)
+    el = journeys.eligible_lines(lines, cohorts)
+    return el.select("cohort_type", "user_id", "order_id", "order_date", "product_id", "product_name", "units",
+                     F.col("price").cast("double").alias("price"), F.col("margin_amt").cast("double").alias("margin_amt"),
+                     F.round(F.col("margin_pct"), 6).cast("double").alias("margin_pct"), "is_fv", "is_game")
+
+
 @register("next_flagged_order")
 def q_next_flagged_order(spark, sf_dir):
     _, _, orders = _p2_inputs(spark, sf_dir)

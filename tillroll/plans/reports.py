@@ -31,7 +31,8 @@ def transitions_inputs(order_details: DataFrame, collections: DataFrame, product
     cohorts = journeys.first_order_cohorts(journeys.transition_orders(lines), launch)
     # The eligible lines feed the forward fill and both sides of the edge join; one reliable checkpoint (shared
     # checkpoint folder) computes them once instead of re-reading and re-joining the order lines in every branch.
-    el_lines = cut_lineage(lines.join(cohorts.select("user_id"), "user_id", "left_semi"))
+    needed = ["order_id", "user_id", "order_ts", "order_date", "product_name", "is_fv", "is_game"]
+    el_lines = cut_lineage(lines.select(*needed).join(cohorts.select("user_id"), "user_id", "left_semi"))
     el_orders = journeys.transition_orders(el_lines)
     return cohorts, el_lines, el_orders
 
