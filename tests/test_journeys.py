@@ -120,3 +120,23 @@ def test_null_product_name_has_zero_pairs(spark):
     assert out[(None, "g")]["order_pairs"] == 0 and out[(None, "g")]["users"] == 2
     assert out[(None, "g")]["avg_days_to_next"] == 3.0
     assert out[("f", "g")]["order_pairs"] == 1  # the 40-day edge is outside the window
+
+
+def test_hot_user_window_input_is_bounded_by_days(spark):
+    """A user with a third of all orders reaches the per-user window only as one row per day."""
+    base = dt.date(2024, 1, 1)
+    rows = []
+    for oid in range(3000):
+        hot = oid % 3 == 0
+        user = 0 if hot else 1 + oid % 500
+        d = base + dt.timedelta(days=oid % 10)
+        rows.append((oid, user, d, d.replace(day=1), 0, 0, 1, oid % 2, 1 - oid % 2, 0, 0, "x"))
+    orders = spark.createDataFrame(rows, ORDER_SCHEMA)
+    prof = journeys.order_day_profile(orders, 7)
+    assert prof.where("user_id = 0").count() == 10  # 1000 orders, 10 days
+    # and the per-order answers still equal the literal self join
+    win = journeys.order_journey_rows(orders, 7).select(
+        "user_id", "order_id", F.col("seq_g2fv_30d_count").alias("seq_g2fv"),
+        F.col("seq_fv2g_30d_count").alias("seq_fv2g"))
+    lit = literal.followed_within_selfjoin(orders, 7)
+    assert win.exceptAll(lit).count() == 0 and lit.exceptAll(win).count() == 0
