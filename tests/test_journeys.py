@@ -140,3 +140,11 @@ def test_hot_user_window_input_is_bounded_by_days(spark):
         F.col("seq_fv2g_30d_count").alias("seq_fv2g"))
     lit = literal.followed_within_selfjoin(orders, 7)
     assert win.exceptAll(lit).count() == 0 and lit.exceptAll(win).count() == 0
+
+
+def test_next_flagged_bucket_unit_does_not_change_result(spark):
+    orders = random_transition_orders(spark, n=800, users=5, seed=9)
+    day = journeys.next_flagged_orders(orders, "day")
+    for unit in ("hour", "minute"):
+        other = journeys.next_flagged_orders(orders, unit)
+        assert day.exceptAll(other).count() == 0 and other.exceptAll(day).count() == 0
