@@ -23,6 +23,7 @@ from tillroll.session import get_spark  # noqa: E402
 from tillroll.sources import fixtures as fx  # noqa: E402
 from tillroll.sources.tables import Tables  # noqa: E402
 from tillroll.operators import journeys, segments  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 HEADLINE = [
     "search_funnel", "order_journey", "order_journey_sales", "top_transitions", "royalty_statement",
@@ -64,7 +65,25 @@ def main() -> None:
                                                   launch=P.LAUNCH_DATE)
         return orders
 
+    def hot(df):
+        """The same orders with every third user folded into one (derived from the tables): one user holds a third of
+        all orders, the skew the design must survive."""
+        return df.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+
+    def all_transition_orders():
+        lines = journeys.transition_lines(fx.baskets(t), fx.product_collections(t), fx.products(t), P.FLAGSHIP,
+                                          P.BASKET_START, P.BASKET_END)
+        return journeys.transition_orders(lines)
+
     baselines = {
+        "followed_within_hot_users_selfjoin": round(_time(
+            lambda: literal.followed_within_selfjoin(hot(basket_orders()), P.SEQ_WINDOW_DAYS), runs), 3),
+        "followed_within_hot_users_window": round(_time(
+            lambda: journeys.order_journey_rows(hot(basket_orders()), P.SEQ_WINDOW_DAYS), runs), 3),
+        "next_flagged_hot_users_selfjoin": round(_time(
+            lambda: literal.next_flagged_selfjoin(hot(all_transition_orders())), runs), 3),
+        "next_flagged_hot_users_window": round(_time(
+            lambda: journeys.next_flagged_orders(hot(all_transition_orders())), runs), 3),
         "followed_within_selfjoin": round(_time(
             lambda: literal.followed_within_selfjoin(basket_orders(), P.SEQ_WINDOW_DAYS), runs), 3),
         "next_flagged_order_selfjoin": round(_time(
