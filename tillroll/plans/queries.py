@@ -9,8 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tillroll.operators import funnel
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+from tillroll.functions.dates import previous_month
+from tillroll.functions.names import normalize_name
+from tillroll.operators import funnel, journeys, matching, reconcile, segments
+from tillroll.operators import fx as fxop
+from tillroll.plans import params as P
+from tillroll.plans import reports
+from tillroll.sources import contracts, sinks
 from tillroll.sources import fixtures as fx
 from tillroll.sources.tables import Tables
 
@@ -37,18 +45,8 @@ def q_search_funnel_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel.search_funnel(fx.search_events(Tables(spark, sf_dir)), period="day")
 
 
-def queries() -> dict[str, QueryFn]:
-    return dict(QUERIES)
-
-
 # ---------------------------------------------------------------- P1 order journey and its building blocks
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from tillroll.operators import journeys, segments  # noqa: E402
-from tillroll.plans import params as P  # noqa: E402
-from tillroll.plans import reports  # noqa: E402
-
 
 def _basket_orders(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -169,8 +167,6 @@ def q_top_transitions(spark, sf_dir):
 
 # ---------------------------------------------------------------- P3 / P4 fx and royalty statements
 
-from tillroll.operators import fx as fxop  # noqa: E402
-
 
 @register("implied_daily_rate")
 def q_implied_daily_rate(spark, sf_dir):
@@ -198,11 +194,6 @@ def q_refund_statement(spark, sf_dir):
 
 # ---------------------------------------------------------------- P6 distributor reconciliation
 
-from pyspark.sql.types import DecimalType  # noqa: E402
-
-from tillroll.operators import reconcile  # noqa: E402
-from tillroll.sources import contracts  # noqa: E402
-
 
 def decimals_as_double(df: DataFrame) -> DataFrame:
     """Hand decimal results out as double (after all rounding happened in decimals)."""
@@ -256,9 +247,6 @@ def q_overcharge_by_title(spark, sf_dir):
 
 # ---------------------------------------------------------------- P7 / P8 publisher invoice comparison
 
-from tillroll.functions.names import normalize_name  # noqa: E402
-from tillroll.operators import matching  # noqa: E402
-
 
 def _p7(spark, sf_dir, blocking=None):
     t = Tables(spark, sf_dir)
@@ -281,7 +269,6 @@ def q_normalize_names(spark, sf_dir):
 
 @register("currency_rates_as_of")
 def q_currency_rates_as_of(spark, sf_dir):
-    from tillroll.functions.dates import previous_month
     start = previous_month(P.RECON_AS_OF)[0]
     r = fxop.as_of_rates(fxop.rates_to_gbp(fx.shop_orders(Tables(spark, sf_dir))), start)
     return r.select("currency", F.col("rate_to_gbp").cast("double").alias("rate_to_gbp"))
@@ -323,10 +310,12 @@ def q_adjusted_comparison(spark, sf_dir):
 
 # ---------------------------------------------------------------- sinks
 
-from tillroll.sources import sinks  # noqa: E402
-
 
 @register("sheet_rows")
 def q_sheet_rows(spark, sf_dir):
     _, _, adjusted = _p7(spark, sf_dir)
     return sinks.sheet_rows(adjusted)
+
+
+def queries() -> dict[str, QueryFn]:
+    return dict(QUERIES)
