@@ -21,15 +21,17 @@ SEARCH_STEPS = {
     "clicked_view_all": "click-view-all",
 }
 
-PERIOD_UNITS = {"month": "month", "day": "day", "week": "week", "year": "year"}
+# Period start by calendar date (TZ-free for TIMESTAMP_NTZ; zoned timestamps use the session time zone).
+PERIOD_UNITS = {"month": "MM", "day": "DD", "week": "week", "year": "year"}
 
 
 def session_step_flags(events: DataFrame, steps: dict[str, str] = SEARCH_STEPS, period: str = "month",
                        ts_col: str = "derived_tstamp", session_col: str = "domain_sessionid",
                        label_col: str = "se_label") -> DataFrame:
     """One row per (event_date, session) with MAX(CASE label = step THEN 1 ELSE 0) per step."""
-    unit = PERIOD_UNITS[period]
-    ev = events.select(F.to_date(F.date_trunc(unit, F.col(ts_col))).alias("event_date"),
+    day = F.to_date(F.col(ts_col))
+    start = day if period == "day" else F.trunc(day, PERIOD_UNITS[period])
+    ev = events.select(start.alias("event_date"),
                        F.col(session_col).alias("session_id"), F.col(label_col).alias("label"))
     flags = [F.max(F.when(F.col("label") == lbl, 1).otherwise(0)).alias(name) for name, lbl in steps.items()]
     return ev.groupBy("event_date", "session_id").agg(*flags)

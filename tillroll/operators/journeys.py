@@ -142,7 +142,7 @@ def transition_lines(order_details: DataFrame, collections: DataFrame, products:
     margin = minor_to_major("margin")
     return x.select(
         "order_id", USER,
-        F.col("order_date").cast("timestamp").alias("order_ts"),
+        F.col("order_date").alias("order_ts"),  # kept as stored: no session time zone enters the day logic
         F.to_date("order_date").alias(DAY),
         "product_id", "product_name", "units",
         price.alias("price"), margin.alias("margin_amt"),
