@@ -64,3 +64,11 @@ def test_partner_totals_keep_currency_spellings(spark):
     rows = sorted((r["Invoicing Currency"], float(r["Purchase Price In Invoicing Currency"]))
                   for r in reconcile.partner_totals(rep).collect())
     assert rows == [("USD", 1.0), ("USD", 2.0)]
+
+
+def test_reduce_to_keys_both_ways(spark):
+    big = spark.createDataFrame([(f"i{i}", i) for i in range(100)], "iid string, v int")
+    keys = spark.createDataFrame([("i1",), ("i5",), (None,), ("zz",)], "iid string")
+    small = reconcile.reduce_to_keys(big, keys, "iid", max_keys=10)
+    assert sorted(r["iid"] for r in small.collect()) == ["i1", "i5"]
+    assert reconcile.reduce_to_keys(big, keys, "iid", max_keys=1).count() == 100  # over the bound: untouched

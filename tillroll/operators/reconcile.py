@@ -95,12 +95,27 @@ def order_line_terms(order_details: DataFrame, products: DataFrame, suppliers: D
     )
 
 
-def overcharge_detail(partner: DataFrame, lines: DataFrame) -> DataFrame:
+def reduce_to_keys(big: DataFrame, keys: DataFrame, key: str, max_keys: int | None = 5_000_000) -> DataFrame:
+    """Keep the rows of `big` whose `key` occurs in `keys` (semi-join reduction before a join).
+
+    The distinct key set is counted first (one job over the small side); within `max_keys` it is broadcast and the big
+    side is pruned by a shuffle-free semi join. Beyond the bound nothing is broadcast: the big side goes to the
+    shuffle join unchanged (where the runtime bloom filter can still prune it)."""
+    if max_keys is None:
+        return big
+    k = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    if k.count() <= max_keys:
+        return big.join(F.broadcast(k), key, "left_semi")
+    return big
+
+
+def overcharge_detail(partner: DataFrame, lines: DataFrame, max_broadcast_keys: int | None = 5_000_000) -> DataFrame:
     """Partner rows left-joined to own lines on iid, with variance columns (J18, F16, F26, F27, PF8).
 
-    A partner row matching several lines repeats (S16); `old_order` is true when sale and order dates are less than
-    3 days apart (S18)."""
-    x = partner.join(lines, "iid", "left")
+    The own side has no date filter (S15), so it is the whole order-line table; it is first reduced to the partner's
+    iids (`reduce_to_keys`), then joined. A partner row matching several lines repeats (S16); `old_order` is true
+    when sale and order dates are less than 3 days apart (S18)."""
+    x = partner.join(reduce_to_keys(lines, partner, "iid", max_broadcast_keys), "iid", "left")
     g, f = F.col("genba_reported_royalty"), F.col("fanatical_reported_royalty")
     gd, fd = g.cast("double"), f.cast("double")
     derived = {
