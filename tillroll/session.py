@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would not survive the loss of the executor that wrote it
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) before running the reports")
+    path = tempfile.mkdtemp(prefix="tillroll-ckpt-")  # local mode only (tests, benchmark)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
