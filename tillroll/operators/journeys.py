@@ -99,8 +99,8 @@ def order_journey_rows(orders: DataFrame, window_days: int, bare_numeric: str =
     per_order = Window.partitionBy(USER, "order_id")
     return x.select(
         "*",
-        F.max("seq_g2fv_row").over(per_order).alias("seq_g2fv_30d_count"),
-        F.max("seq_fv2g_row").over(per_order).alias("seq_fv2g_30d_count"),
+        F.max("seq_g2fv_row").over(per_order).cast("bigint").alias("seq_g2fv_30d_count"),  # a COUNT(*) of 0 or 1
+        F.max("seq_fv2g_row").over(per_order).cast("bigint").alias("seq_fv2g_30d_count"),
     ).drop("seq_g2fv_row", "seq_fv2g_row")
 
 
