@@ -32,7 +32,7 @@ def duck(sf001):
 def test_query_matches_oracle(spark, duck, sf001, name):
     import sys
     sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "tools"))
-    from oracle_check import digest
+    from oracle_check import digest, type_diffs
 
     df = entry.queries()[name](spark, sf001)
     rows = [tuple(r) for r in df.collect()]
@@ -42,3 +42,4 @@ def test_query_matches_oracle(spark, duck, sf001, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+    assert type_diffs(df, duck.sql(entry.oracle_sql()[name])) == {}
