@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.dates import as_date, half_open
+from tillroll.functions.dates import as_date, between_dates, half_open
 from tillroll.operators.fx import attach_rate
 
 NEWLINE_IN = "\n in "
@@ -113,7 +113,7 @@ def refund_statement(sales: DataFrame, products: DataFrame, shop_orders: DataFra
     keep = (F.when(F.col("fixed_royalty_currency").isNotNull(), F.lit(True))
             .when(F.col("bundle_name").isNotNull() & (F.col("royalty_percentage") == 0), F.lit(False))
             .otherwise(F.lit(True)))
-    x = x.where(event_day.between(as_date(event_from), as_date(event_to)) & keep)
+    x = x.where(between_dates(event_day, event_from, event_to) & keep)
     x = attach_rate(x, shop_orders, currency, as_of)
     x = x.select("*", statement_sku(F.col("isbn"), F.col("p_sku")).alias("sku_out"),
                  statement_name(F.col("product_name"), F.col("promo_name"), F.col("bundle_name")).alias("name"),
