@@ -167,13 +167,20 @@ def convert_to_gbp(totals: DataFrame, rates: DataFrame, currency: str = CURRENCY
 
 
 def supplier_royalty_totals(order_details: DataFrame, products: DataFrame, suppliers: DataFrame, *, start, end,
-                            statuses=("COMPLETE", "REFUNDED"), partner_flag: str = "vaultn") -> DataFrame:
-    """Royalties (major units) per supplier flagged for the partner, lines of [start, end)."""
-    od = order_details.where(half_open("order_date", start, end) & F.col("status").isin(*statuses)) \
-        .select("product_id", "royalty")
+                            statuses=("COMPLETE", "REFUNDED"), partner_flag: str = "vaultn",
+                            name_from: str = "supplier") -> DataFrame:
+    """Royalties (major units) per supplier flagged for the partner, lines of [start, end).
+
+    `name_from="supplier"` groups by the supplier table's name (second script); `"line"` by the name stored on the
+    order line (first script; its left joins are made inner by the flag filter)."""
+    od = order_details.where(half_open("order_date", start, end) & F.col("status").isin(*statuses))
+    od = od.select("product_id", "royalty", F.col("supplier_name").alias("_line_supplier")) if name_from == "line" \
+        else od.select("product_id", "royalty")
     p = products.select("product_id", "supplier_id")
     s = suppliers.where(F.col(partner_flag).eqNullSafe(True)).select("supplier_id", "supplier_name")
     x = od.join(p, "product_id").join(s, "supplier_id")
+    if name_from == "line":
+        x = x.drop("supplier_name").withColumnRenamed("_line_supplier", "supplier_name")
     return x.groupBy("supplier_name").agg((F.sum(F.col("royalty").cast("decimal(20,0)")) * cent()).alias("royalties"))
 
 
@@ -209,10 +216,16 @@ def promo_item_royalties(order_details: DataFrame, *, supplier: str, start, end,
 
 
 def promo_adjusted_detail(report: DataFrame, promo: DataFrame, *, publisher: str,
-                          ref_col: str = "Client Order Reference", promo_col: str = "Promotion Name") -> DataFrame:
+                          ref_col: str = "Client Order Reference", promo_col: str = "Promotion Name",
+                          match: str = "contains", keep_promo_name: bool = False) -> DataFrame:
     """P8 detail (PF21, J20, PF22, PF23): the publisher's report rows; where the report names a promotion and our
-    item has none, the price becomes our royalty (null when the item is unknown, S21) and Status 'Adjusted'."""
-    sel = report.where(F.coalesce(F.lower(F.col(PUBLISHER)).contains(publisher.lower()), F.lit(False)))
+    item has none, the price becomes our royalty (null when the item is unknown, S21) and Status 'Adjusted'.
+
+    `match="contains"` selects the publisher case-insensitively by substring (second script), `"equals"` by the
+    whole lower-cased name (first script, which also keeps our `promo_name` column: `keep_promo_name`)."""
+    name = F.lower(F.col(PUBLISHER))
+    hit = name.contains(publisher.lower()) if match == "contains" else (name == publisher.lower())
+    sel = report.where(F.coalesce(hit, F.lit(False)))
     pr = promo.select(F.col("iid").alias("_iid"), F.col("promo_name").alias("_promo"), F.col("royalties").alias("_roy"))
     x = sel.join(pr, sel[ref_col].eqNullSafe(pr["_iid"]), "left")
     cond = (F.col(promo_col).isNotNull() & (F.col(promo_col) != "")
@@ -221,14 +234,17 @@ def promo_adjusted_detail(report: DataFrame, promo: DataFrame, *, publisher: str
         PRICE: F.when(cond, F.col("_roy")).otherwise(F.col(PRICE)),
         "Status": F.when(cond, F.lit("Adjusted")).otherwise(F.col("Status")),
     })
+    if keep_promo_name:
+        return x.withColumnRenamed("_promo", "promo_name").drop("_iid", "_roy")
     return x.drop("_iid", "_promo", "_roy")
 
 
-def adjusted_comparison(comparison: DataFrame, detail: DataFrame) -> DataFrame:
+def adjusted_comparison(comparison: DataFrame, detail: DataFrame, fallback: bool = True) -> DataFrame:
     """P8 totals (A21, J21, F29): adjusted partner totals joined to the comparison on (publisher, currency as
-    written in the report), adjusted_difference falling back to the converted price."""
+    written in the report); adjusted_difference falls back to the converted price (second script) or is null
+    where nothing was adjusted (`fallback=False`, first script)."""
     s = detail.where(F.col(PUBLISHER).isNotNull() & F.col(CURRENCY).isNotNull()) \
         .groupBy(PUBLISHER, CURRENCY).agg(F.coalesce(F.sum(PRICE), F.lit(0)).alias(ADJUSTED))
     x = comparison.join(s, [PUBLISHER, CURRENCY], "left")
-    return x.withColumn("adjusted_difference",
-                        F.bround(F.coalesce(F.col(ADJUSTED), F.col(CONVERTED)) - F.col("royalties"), 2))
+    adjusted = F.coalesce(F.col(ADJUSTED), F.col(CONVERTED)) if fallback else F.col(ADJUSTED)
+    return x.withColumn("adjusted_difference", F.bround(adjusted - F.col("royalties"), 2))

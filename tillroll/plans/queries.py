@@ -248,13 +248,14 @@ def q_overcharge_by_title(spark, sf_dir):
 # ---------------------------------------------------------------- P7 / P8 publisher invoice comparison
 
 
-def _p7(spark, sf_dir, blocking=None):
+def _p7(spark, sf_dir, variant="v2"):
     t = Tables(spark, sf_dir)
     report = fx.publisher_report(t, P.RECON_START, P.RECON_END)
+    publisher = P.PROMO_PUBLISHER_V1 if variant == "v1" else P.PROMO_PUBLISHER
     return reports.publisher_reconciliation(report, fx.shop_orders(t), fx.sales_lines(t), fx.products(t),
-                                            fx.suppliers(t), as_of=P.RECON_AS_OF, promo_publisher=P.PROMO_PUBLISHER,
+                                            fx.suppliers(t), as_of=P.RECON_AS_OF, promo_publisher=publisher,
                                             promo_supplier=P.PROMO_SUPPLIER, threshold=P.MATCH_THRESHOLD,
-                                            overrides=P.PUBLISHER_OVERRIDES, blocking=blocking)
+                                            overrides=P.PUBLISHER_OVERRIDES, variant=variant)
 
 
 @register("normalize_names")
@@ -311,6 +312,18 @@ def q_adjusted_comparison(spark, sf_dir):
 # ---------------------------------------------------------------- sinks
 
 
+@register("promo_adjusted_detail_v1")
+def q_promo_adjusted_detail_v1(spark, sf_dir):
+    _, detail, _ = _p7(spark, sf_dir, "v1")
+    return decimals_as_double(detail)
+
+
+@register("adjusted_comparison_v1")
+def q_adjusted_comparison_v1(spark, sf_dir):
+    _, _, adjusted = _p7(spark, sf_dir, "v1")
+    return decimals_as_double(adjusted)
+
+
 @register("sheet_rows")
 def q_sheet_rows(spark, sf_dir):
     _, _, adjusted = _p7(spark, sf_dir)

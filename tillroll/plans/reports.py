@@ -76,18 +76,25 @@ def distributor_overcharge(report: DataFrame, order_details: DataFrame, products
 def publisher_reconciliation(report: DataFrame, shop_orders: DataFrame, order_details: DataFrame,
                              products: DataFrame, suppliers: DataFrame, *, as_of, promo_publisher: str,
                              promo_supplier: str, threshold: float = 90, overrides: dict | None = None,
-                             blocking: int | None = None):
-    """P7 + P8 for the previous full month of `as_of`: (comparison, adjusted detail, adjusted comparison)."""
+                             blocking: int | None = None, variant: str = "v2"):
+    """P7 + P8 for the previous full month of `as_of`: (comparison, adjusted detail, adjusted comparison).
+
+    variant "v2" is the second script (rate at the month start, supplier-table names, substring publisher filter,
+    fallback to the converted price); "v1" is the first one (latest rate as of `as_of`, names stored on the order
+    lines, 3-character blocking, whole-name publisher filter, our promo name kept, no fallback)."""
     from tillroll.functions.dates import previous_month
     from tillroll.operators import fx, reconcile
     from tillroll.sources.contracts import trim_headers
 
+    v1 = variant == "v1"
     start, end, _, _ = previous_month(as_of)
     rep = trim_headers(report)
-    rates = fx.as_of_rates(fx.rates_to_gbp(shop_orders), start)
-    royalties = reconcile.supplier_royalty_totals(order_details, products, suppliers, start=start, end=end)
+    rates = fx.as_of_rates(fx.rates_to_gbp(shop_orders), as_of if v1 else start)
+    royalties = reconcile.supplier_royalty_totals(order_details, products, suppliers, start=start, end=end,
+                                                  name_from="line" if v1 else "supplier")
     comparison = reconcile.publisher_comparison(rep, rates, royalties, threshold=threshold, overrides=overrides,
-                                                blocking=blocking)
+                                                blocking=3 if v1 and blocking is None else blocking)
     promo = reconcile.promo_item_royalties(order_details, supplier=promo_supplier, start=start, end=end)
-    detail = reconcile.promo_adjusted_detail(rep, promo, publisher=promo_publisher)
-    return comparison, detail, reconcile.adjusted_comparison(comparison, detail)
+    detail = reconcile.promo_adjusted_detail(rep, promo, publisher=promo_publisher,
+                                             match="equals" if v1 else "contains", keep_promo_name=v1)
+    return comparison, detail, reconcile.adjusted_comparison(comparison, detail, fallback=not v1)
