@@ -46,7 +46,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=cpus)
     qs = Q.queries()
     results = {}
     for name in HEADLINE:

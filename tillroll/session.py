@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce small shuffle partitions to the advisory size (64 MB) instead of keeping many tiny tasks
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Runtime bloom filters prune the big side of selective shuffle joins (reconciliation joins on iid).
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
@@ -26,7 +28,10 @@ SCALE_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "tillroll") -> SparkSession:
-    """Build (or reuse) a session with the library's defaults."""
+    """Build (or reuse) a session with the library's defaults.
+
+    On a cluster set `spark.sql.shuffle.partitions` from the largest shuffle (about its bytes / 128 MB, e.g. tens of
+    thousands for 100 TB of order lines) and let AQE coalesce; locally one partition per core is enough."""
     master = master or os.environ.get("SPARK_MASTER", f"local[{os.environ.get('BENCH_CPUS', '8')}]")
     builder = SparkSession.builder.master(master).appName(app)
     for k, v in SCALE_CONF.items():
