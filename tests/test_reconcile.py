@@ -72,3 +72,40 @@ def test_reduce_to_keys_both_ways(spark):
     small = reconcile.reduce_to_keys(big, keys, "iid", max_keys=10)
     assert sorted(r["iid"] for r in small.collect()) == ["i1", "i5"]
     assert reconcile.reduce_to_keys(big, keys, "iid", max_keys=1).count() == 100  # over the bound: untouched
+
+
+def test_first_script_switches(spark):
+    rep = spark.createDataFrame([
+        ("Big Pub", "USD", D("10.000"), "i1", "Summer", "Sold"),
+        ("Big Pub Games", "USD", D("20.000"), "i1", "Summer", "Sold"),
+    ], "`Publisher Name` string, `Invoicing Currency` string, `Purchase Price In Invoicing Currency` decimal(20,3), "
+       "`Client Order Reference` string, `Promotion Name` string, Status string")
+    promo = spark.createDataFrame([("i1", None, D("7.00"))], "iid string, promo_name string, royalties decimal(20,2)")
+    v2 = reconcile.promo_adjusted_detail(rep, promo, publisher="big pub")
+    v1 = reconcile.promo_adjusted_detail(rep, promo, publisher="big pub", match="equals", keep_promo_name=True)
+    assert v2.count() == 2 and v1.count() == 1 and "promo_name" in v1.columns and "promo_name" not in v2.columns
+
+    comparison = spark.createDataFrame([("Big Pub", "USD", D("10.000"), D("9.00"), D("5.00")),
+                                        ("Other", "USD", D("1.000"), D("1.00"), D("0.50"))],
+                                       "`Publisher Name` string, `Invoicing Currency` string, "
+                                       "`Purchase Price In Invoicing Currency` decimal(20,3), "
+                                       "`Converted to GBP` decimal(20,2), royalties decimal(20,2)")
+    with_fb = {r["Publisher Name"]: r["adjusted_difference"] for r in
+               reconcile.adjusted_comparison(comparison, v1).collect()}
+    no_fb = {r["Publisher Name"]: r["adjusted_difference"] for r in
+             reconcile.adjusted_comparison(comparison, v1, fallback=False).collect()}
+    assert with_fb == {"Big Pub": D("2.00"), "Other": D("0.50")}
+    assert no_fb["Big Pub"] == D("2.00") and no_fb["Other"] is None
+
+
+def test_royalty_totals_name_source(spark):
+    od = spark.createDataFrame([(1, dt.datetime(2024, 7, 3), "COMPLETE", 250, "line name"),
+                                (1, dt.datetime(2024, 7, 4), "CANCELLED", 999, "line name")],
+                               "product_id long, order_date timestamp, status string, royalty long, supplier_name string")
+    prods = spark.createDataFrame([(1, "s1")], "product_id long, supplier_id string")
+    sups = spark.createDataFrame([("s1", "Supplier One", True)], "supplier_id string, supplier_name string, vaultn boolean")
+    kw = dict(start="2024-07-01", end="2024-08-01")
+    by_sup = reconcile.supplier_royalty_totals(od, prods, sups, **kw).collect()
+    by_line = reconcile.supplier_royalty_totals(od, prods, sups, name_from="line", **kw).collect()
+    assert [(r["supplier_name"], r["royalties"]) for r in by_sup] == [("Supplier One", D("2.50"))]
+    assert [(r["supplier_name"], r["royalties"]) for r in by_line] == [("line name", D("2.50"))]
