@@ -24,13 +24,6 @@ def nullif_zero(col) -> Column:
     return F.when(c != 0, c)
 
 
-def money(col, places: int = 2, half_even: bool = False) -> Column:
-    """Round a decimal once, at the end, then hand it out as double (SQL ROUND is half-up, pandas is half-even)."""
-    c = _c(col)
-    r = F.bround(c, places) if half_even else F.round(c, places)
-    return r.cast("double")
-
-
 def avg_half_up(col, places: int = 2) -> Column:
     """Exact average of a non-negative integer column rounded half-up to `places` (aggregate expression).
 

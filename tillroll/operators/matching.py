@@ -21,8 +21,6 @@ distinct normalised names, so repeated names in the inputs cost nothing.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,7 +144,3 @@ def fuzzy_match_table(left: DataFrame, right: DataFrame, left_key: str, right_ke
     return out.select("left_name", ln["norm"].alias("left_norm"), "right_name",
                       F.col("score").alias("match_score"))
 
-
-def _ceil_check(n: int, beta: float) -> int:
-    """Prefix length used for a multiset of n elements (exposed for tests)."""
-    return n - math.ceil(n * beta) + 1

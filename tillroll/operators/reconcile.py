@@ -95,7 +95,7 @@ def order_line_terms(order_details: DataFrame, products: DataFrame, suppliers: D
     )
 
 
-def reduce_to_keys(big: DataFrame, keys: DataFrame, key: str, max_keys: int | None = 5_000_000) -> DataFrame:
+def reduce_to_keys(big: DataFrame, keys: DataFrame, key: str, max_keys: int | None = 1_000_000) -> DataFrame:
     """Keep the rows of `big` whose `key` occurs in `keys` (semi-join reduction before a join).
 
     The distinct key set is counted first (one job over the small side); within `max_keys` it is broadcast and the big
@@ -109,7 +109,7 @@ def reduce_to_keys(big: DataFrame, keys: DataFrame, key: str, max_keys: int | No
     return big
 
 
-def overcharge_detail(partner: DataFrame, lines: DataFrame, max_broadcast_keys: int | None = 5_000_000) -> DataFrame:
+def overcharge_detail(partner: DataFrame, lines: DataFrame, max_broadcast_keys: int | None = 1_000_000) -> DataFrame:
     """Partner rows left-joined to own lines on iid, with variance columns (J18, F16, F26, F27, PF8).
 
     The own side has no date filter (S15), so it is the whole order-line table; it is first reduced to the partner's

@@ -16,7 +16,6 @@ from tillroll.functions.money import minor_to_major
 
 # Product types the reference folds into "Other" (compared lower-cased).
 OTHER_TYPES = ("gift-card", "video", "comic", "voucher", "book", "audio", "software")
-SEGMENTS = ("flagship", "game", "dlc", "Other")
 
 
 def collection_flags(collections: DataFrame, flagship: str) -> DataFrame:
