@@ -41,3 +41,5 @@ MATCH_THRESHOLD = 90
 PUBLISHER_OVERRIDES = {"HOT ROD Ltd.": "HOT ROD"}
 # The first script selects the promo publisher by its whole lower-cased name.
 PROMO_PUBLISHER_V1 = "red widget ltd."
+# The reference's own defaults: 30-day sequencing window (P1) and 30-day transition window.
+REFERENCE_WINDOW_DAYS = 30

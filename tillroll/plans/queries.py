@@ -111,6 +111,13 @@ def q_order_journey(spark, sf_dir):
                                  start=P.BASKET_START, end=P.BASKET_END, window_days=P.SEQ_WINDOW_DAYS)
 
 
+@register("order_journey_30d")
+def q_order_journey_30d(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.order_journey(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
+                                 start=P.BASKET_START, end=P.BASKET_END, window_days=P.REFERENCE_WINDOW_DAYS)
+
+
 @register("order_journey_sales")
 def q_order_journey_sales(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -127,6 +134,14 @@ def _p2_inputs(spark, sf_dir):
                                       start=P.BASKET_START, end=P.BASKET_END, launch=P.LAUNCH_DATE)
 
 
+@register("top_transitions_30d")
+def q_top_transitions_30d(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.product_transitions(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
+                                       start=P.BASKET_START, end=P.BASKET_END, launch=P.LAUNCH_DATE,
+                                       max_days=P.REFERENCE_WINDOW_DAYS, top_n=P.TOP_N)
+
+
 @register("first_order_cohorts")
 def q_first_order_cohorts(spark, sf_dir):
     cohorts, _, _ = _p2_inputs(spark, sf_dir)
