@@ -43,3 +43,12 @@ def test_query_matches_oracle(spark, duck, sf001, name):
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
     assert type_diffs(df, duck.sql(entry.oracle_sql()[name])) == {}
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_has_no_cross_join_or_row_udf(spark, sf001, name):
+    df = entry.queries()[name](spark, sf001)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert node not in plan, f"{name}: {node}"

@@ -83,8 +83,16 @@ def followed_within_exprs() -> dict[str, Column]:
     }
 
 
-def order_journey_rows(orders: DataFrame, window_days: int, bare_numeric: str = "decimal(18,0)") -> DataFrame:
-    """Order rows (A3 grain) with days_since_prev_order, both sequence flags and first_order_month."""
+def order_journey_rows(orders: DataFrame, window_days: int, bare_numeric: str = "decimal(18,0)",
+                       materialize: bool = True) -> DataFrame:
+    """Order rows (A3 grain) with days_since_prev_order, both sequence flags and first_order_month.
+
+    The order roll-up feeds both the day profile and the join back, and Catalyst prunes the two branches
+    differently, so they would not share an exchange: the roll-up (far smaller than the lines it comes from) is
+    written once with a reliable checkpoint instead of scanning and aggregating the lines twice."""
+    if materialize:
+        from tillroll.session import cut_lineage
+        orders = cut_lineage(orders)
     prof = order_day_profile(orders, window_days)
     x = attach_day_profile(orders, prof)
     flags = followed_within_exprs()
