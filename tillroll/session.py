@@ -45,17 +45,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set a scratch one only when none is configured (tests)."""
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """Return the cluster's shared checkpoint folder; set a scratch one only when none is configured (local mode).
+
+    Under Spark Connect there is no SparkContext: the server's `spark.checkpoint.dir` is used as configured."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         # a machine-local folder would not survive the loss of the executor that wrote it
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) before running the reports")
     path = tempfile.mkdtemp(prefix="tillroll-ckpt-")  # local mode only (tests, benchmark)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
