@@ -39,58 +39,55 @@ def _bounds(threshold: float) -> tuple[float, float]:
     return alpha - 1e-9, beta - 1e-9
 
 
-def _tokens(names: DataFrame, side: str) -> DataFrame:
-    return names.select("norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("tok")) \
-        .withColumn("side", F.lit(side))
-
-
-def _bigrams(names: DataFrame, side: str) -> DataFrame:
-    t = _tokens(names, side).withColumn("pad", F.concat(F.lit("^"), "tok", F.lit("$")))
-    g = t.select("norm", "side", F.explode(F.expr("transform(sequence(1, length(pad) - 1), i -> substring(pad, i, 2))"))
-                 .alias("bg"))
-    occ = Window.partitionBy("side", "norm", "bg").orderBy(F.lit(1))
-    return g.withColumn("el", F.concat("bg", F.lit("#"), F.row_number().over(occ).cast("string"))).select(
-        "norm", "side", "el")
-
-
-def _token_prefix_pairs(left: DataFrame, right: DataFrame, alpha: float) -> DataFrame:
-    toks = _tokens(left, "L").unionByName(_tokens(right, "R"))
-    freq = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    t = toks.join(freq, "tok").withColumn("w", F.length("tok") + 1)
-    by_name = Window.partitionBy("side", "norm")
-    ordered = by_name.orderBy("df", "tok").rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("W", F.sum("w").over(by_name)) \
-        .withColumn("before", F.coalesce(F.sum("w").over(ordered), F.lit(0)))
-    pref = t.where(F.col("before") <= (1 - alpha) * F.col("W"))
-    lp = pref.where("side = 'L'").select(F.col("norm").alias("l"), "tok")
-    rp = pref.where("side = 'R'").select(F.col("norm").alias("r"), "tok")
-    la = t.where("side = 'L'").select(F.col("norm").alias("l"), "tok")
-    ra = t.where("side = 'R'").select(F.col("norm").alias("r"), "tok")
-    return lp.join(ra, "tok").select("l", "r").unionByName(la.join(rp, "tok").select("l", "r"))
-
-
-def _bigram_prefix_pairs(left: DataFrame, right: DataFrame, beta: float) -> DataFrame:
-    els = _bigrams(left, "L").unionByName(_bigrams(right, "R"))
-    freq = els.groupBy("el").agg(F.count(F.lit(1)).alias("df"))
-    e = els.join(freq, "el")
-    by_name = Window.partitionBy("side", "norm")
-    e = e.withColumn("n", F.count(F.lit(1)).over(by_name)) \
-        .withColumn("pos", F.row_number().over(by_name.orderBy("df", "el")))
-    pref = e.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * F.lit(beta)) + 1)
-    lp = pref.where("side = 'L'").select(F.col("norm").alias("l"), "el")
-    rp = pref.where("side = 'R'").select(F.col("norm").alias("r"), "el")
-    return lp.join(rp, "el").select("l", "r")
+def _elements(names: DataFrame, side: str) -> DataFrame:
+    """One row per prefix-filter element of each name: its distinct tokens (kind 't', weight length + 1) and its
+    token-padded bigrams numbered by occurrence (kind 'b', weight 1). Built with higher-order functions inside one
+    projection, so no shuffle is needed to number repeated bigrams."""
+    toks = "array_distinct(split(norm, ' '))"
+    bgs = f"flatten(transform({toks}, t -> transform(sequence(1, length(t) + 1), i -> substring(concat('^', t, '$'), i, 2))))"
+    e = names.select("norm", F.expr(toks).alias("_t"), F.expr(bgs).alias("_b"))
+    e = e.select("norm", F.expr(
+        "concat("
+        "transform(_t, x -> named_struct('kind', 't', 'key', x, 'w', length(x) + 1)), "
+        "transform(_b, (x, i) -> named_struct('kind', 'b', 'key', "
+        "concat(x, '#', cast(size(filter(slice(_b, 1, i + 1), y -> y = x)) as string)), 'w', 1)))").alias("e"))
+    return e.select("norm", F.lit(side).alias("side"), F.explode("e").alias("e")).select(
+        "norm", "side", F.col("e.kind").alias("kind"), F.col("e.key").alias("key"), F.col("e.w").alias("w"))
+
+
+def _prefixed(left: DataFrame, right: DataFrame, alpha: float, beta: float) -> DataFrame:
+    """Elements of both sides with `pref` = element is in its name's prefix under the global rare-first order.
+
+    Tokens: the shortest head whose remaining weight is below alpha of the name's weight. Bigrams: the first
+    |G| - ceil(beta |G|) + 1 elements."""
+    els = _elements(left, "L").unionByName(_elements(right, "R"))
+    freq = els.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("df"))
+    e = els.join(freq, ["kind", "key"])
+    by_name = Window.partitionBy("side", "norm", "kind")
+    ordered = by_name.orderBy("df", "key")
+    e = e.select("*", F.sum("w").over(by_name).alias("total_w"),
+                 F.coalesce(F.sum("w").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                 .alias("before"),
+                 F.row_number().over(ordered).alias("pos"))
+    tok_pref = F.col("before") <= (1 - alpha) * F.col("total_w")
+    # bigram weights are 1, so total_w is the multiset size |G|
+    bg_pref = F.col("pos") <= F.col("total_w") - F.ceil(F.col("total_w") * F.lit(beta)) + 1
+    return e.select("norm", "side", "kind", "key",
+                    F.when(F.col("kind") == "t", tok_pref).otherwise(bg_pref).alias("pref"))
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float = 90) -> DataFrame:
-    """Distinct (l, r) normalised-name pairs that can score >= threshold (a superset of them, see module doc)."""
+    """Distinct (l, r) normalised-name pairs that can score >= threshold (a superset of them, see module doc).
+
+    Two equi joins on the element key: (left prefix tokens and bigrams) x (right: all tokens, prefix bigrams), and
+    (left: all tokens) x (right prefix tokens). Below t ~ 67 the bigram bound is void and every bigram is kept."""
     alpha, beta = _bounds(threshold)
-    pairs = _token_prefix_pairs(left, right, alpha)
-    if beta > 0:
-        pairs = pairs.unionByName(_bigram_prefix_pairs(left, right, beta))
-    else:  # below ~67 the bigram bound is void: every name pair sharing a bigram is a candidate
-        pairs = pairs.unionByName(_bigram_prefix_pairs(left, right, 0.0))
-    return pairs.distinct()
+    e = _prefixed(left, right, alpha, max(beta, 0.0))
+    lx = e.where("side = 'L'").select(F.col("norm").alias("l"), "kind", "key", F.col("pref").alias("lp"))
+    rx = e.where("side = 'R'").select(F.col("norm").alias("r"), "kind", "key", F.col("pref").alias("rp"))
+    a = lx.where("lp").join(rx.where("kind = 't' OR rp"), ["kind", "key"]).select("l", "r")
+    b = lx.where("kind = 't'").join(rx.where("kind = 't' AND rp"), ["kind", "key"]).select("l", "r")
+    return a.unionByName(b).distinct()
 
 
 def best_matches(left_names: DataFrame, right_names: DataFrame, threshold: float = 90,
