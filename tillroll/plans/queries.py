@@ -228,6 +228,17 @@ def q_contract_rename(spark, sf_dir):
     return decimals_as_double(contracts.read_distributor_report(report))
 
 
+@register("previous_month_lines")
+def q_previous_month_lines(spark, sf_dir):
+    """IO10 + PF9: the order lines of the full month before the as-of date."""
+    from tillroll.functions.dates import half_open
+
+    start, end, _, _ = previous_month(P.RECON_AS_OF)
+    od = fx.order_details(Tables(spark, sf_dir))
+    return od.where(half_open("order_date", start, end)).select(
+        "order_id", "iid", F.to_date("order_date").alias("order_date"), "status", "product_id")
+
+
 @register("partner_aggregate")
 def q_partner_aggregate(spark, sf_dir):
     _, report = _p6(spark, sf_dir)
