@@ -98,9 +98,13 @@ def best_matches(left_names: DataFrame, right_names: DataFrame, threshold: float
     name is only compared within that block; otherwise it is compared with all right names (found exactly through
     the same prefix keys)."""
     # The distinct name sets are small (bounded by the partners' and suppliers' name lists) and feed a dozen
-    # branches; a reliable checkpoint in the shared checkpoint folder computes each once and cuts the lineage.
-    left = cut_lineage(left_names.select(F.col("norm")).where(F.col("norm") != "").distinct())
-    right = cut_lineage(right_names.select(F.col("norm")).where(F.col("norm") != "").distinct())
+    # branches; one reliable checkpoint in the shared checkpoint folder computes both once and cuts the lineage.
+    both = cut_lineage(
+        left_names.select(F.lit("L").alias("_side"), "norm")
+        .unionByName(right_names.select(F.lit("R").alias("_side"), "norm"))
+        .where(F.col("norm") != "").distinct())
+    left = both.where(F.col("_side") == "L").select("norm")
+    right = both.where(F.col("_side") == "R").select("norm")
     cand = candidate_pairs(left, right, threshold)
     if blocking:
         rb = right.select(block_key("norm", blocking).alias("b")).distinct()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import half_open
 from tillroll.functions.money import cent
+from tillroll.session import cut_lineage
 
 PARTNER_GROUP_KEYS = ["ctid_1", "iid", "product_title", "genba_product_id", "original_date_of_sale", "country_sold",
                       "activation_currency"]
@@ -115,6 +116,9 @@ def overcharge_detail(partner: DataFrame, lines: DataFrame, max_broadcast_keys:
     The own side has no date filter (S15), so it is the whole order-line table; it is first reduced to the partner's
     iids (`reduce_to_keys`), then joined. A partner row matching several lines repeats (S16); `old_order` is true
     when sale and order dates are less than 3 days apart (S18)."""
+    # the aggregated partner report is small (one partner, one month) and is read twice: by the size check and the
+    # join; one reliable checkpoint avoids rebuilding it from the report file
+    partner = cut_lineage(partner)
     x = partner.join(reduce_to_keys(lines, partner, "iid", max_broadcast_keys), "iid", "left")
     g, f = F.col("genba_reported_royalty"), F.col("fanatical_reported_royalty")
     gd, fd = g.cast("double"), f.cast("double")
