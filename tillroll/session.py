@@ -22,6 +22,8 @@ SCALE_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of shared intermediates are deleted once their DataFrames are no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
