@@ -59,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith(("local", "local-cluster")):  # single-machine masters may use a scratch folder
         # a machine-local folder would not survive the loss of the executor that wrote it
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) before running the reports")
     path = tempfile.mkdtemp(prefix="tillroll-ckpt-")  # local mode only (tests, benchmark)
