@@ -112,8 +112,11 @@ def order_journey_rows(orders: DataFrame, window_days: int, bare_numeric: str =
     ).drop("seq_g2fv_row", "seq_fv2g_row")
 
 
-def order_journey_report(rows: DataFrame, bare_numeric: str = "decimal(18,0)") -> DataFrame:
-    """A8 + W4 + O1: one row per (order, user, month, type), newest month first."""
+def order_journey_report(rows: DataFrame, bare_numeric: str = "decimal(18,0)", sort: bool = True) -> DataFrame:
+    """A8 + W4 + O1: one row per (order, user, month, type), newest month first.
+
+    The output has one row per order, so the final sort is a full range shuffle; `sort=False` skips it when the
+    report is written to a table rather than read in order."""
     agg = rows.groupBy("order_id", USER, "order_month", "order_type").agg(
         F.count(F.lit(1)).alias("orders_count"),
         F.sum("order_revenue_total").cast("double").alias("revenue_total"),
@@ -125,7 +128,7 @@ def order_journey_report(rows: DataFrame, bare_numeric: str = "decimal(18,0)") -
         F.min("first_order_month").alias("first_order_month"),
     )
     agg = agg.withColumn("months_since_first", months_between_boundaries("first_order_month", "order_month"))
-    return agg.orderBy(F.col("order_month").desc())
+    return agg.orderBy(F.col("order_month").desc()) if sort else agg
 
 
 # ---------------------------------------------------------------- P2 building blocks

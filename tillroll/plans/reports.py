@@ -14,14 +14,14 @@ from tillroll.session import cut_lineage
 
 def order_journey(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
                   start, end, window_days: int = 30, flagship_label: str | None = None,
-                  bare_numeric: str = "decimal(18,0)") -> DataFrame:
+                  bare_numeric: str = "decimal(18,0)", sort: bool = True) -> DataFrame:
     """Per order, its type, gap to the previous order, both cross-sell flags and first-purchase cohort."""
     label = flagship_label or flagship
     lines = segments.journey_lines(order_details, collections, products, flagship, start, end,
                                    flagship_label=label)
     orders = segments.order_rollup(lines, label, bare_numeric)
     rows = journeys.order_journey_rows(orders, window_days, bare_numeric)
-    return journeys.order_journey_report(rows, bare_numeric)
+    return journeys.order_journey_report(rows, bare_numeric, sort)
 
 
 def transitions_inputs(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
