@@ -167,7 +167,9 @@ def convert_to_gbp(totals: DataFrame, rates: DataFrame, currency: str = CURRENCY
     r = rates.select(F.col("currency").alias("_ccy"), "rate_to_gbp")
     x = totals.join(F.broadcast(r), totals[currency] == r["_ccy"], "left")
     rate = F.when(F.col(currency) == "GBP", F.lit(1).cast("decimal(14,6)")).otherwise(F.col("rate_to_gbp"))
-    return x.withColumn(out, F.bround(F.col(amount) * rate, 2)).drop("_ccy", "rate_to_gbp")
+    # amount narrowed to decimal(22,4) so the product (scale 10) stays exact within 38 digits: a wider product would
+    # be rounded by Spark before the half-even rounding to pence
+    return x.withColumn(out, F.bround(F.col(amount).cast("decimal(22,4)") * rate, 2)).drop("_ccy", "rate_to_gbp")
 
 
 def supplier_royalty_totals(order_details: DataFrame, products: DataFrame, suppliers: DataFrame, *, start, end,
