@@ -49,3 +49,12 @@ def test_sheet_rows_and_replace_report(spark):
     p2 = sinks.replace_report(df.limit(1), base, "Overall Comparison")
     assert p1 == p2 and spark.read.parquet(p2).count() == 1
     assert sinks.preview(df, 1).count() == 1
+
+
+def test_sql_frame_binds_parameters(spark, sf001):
+    from tillroll.sources.tables import sql_frame
+
+    Tables(spark, sf001).orders.createOrReplaceTempView("shop_orders_io5")
+    df = sql_frame(spark, "SELECT count(*) AS n FROM shop_orders_io5 WHERE o_orderdate >= :start AND o_orderdate < :end",
+                   start=dt.date(1998, 7, 1), end=dt.date(1998, 8, 1))
+    assert df.first()["n"] > 0

@@ -30,6 +30,11 @@ def read_snapshot(spark: SparkSession, table_name: str) -> DataFrame:
     return spark.table(table_name)
 
 
+def sql_frame(spark: SparkSession, query: str, **params) -> DataFrame:
+    """IO3/IO5: a SQL text with bound named parameters (`:start`, `:end`) as a lazy DataFrame (no string splicing)."""
+    return spark.sql(query, args=params or None)
+
+
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str, lower: int, upper: int,
               num_partitions: int, fetch_size: int = 200_000, properties: dict | None = None) -> DataFrame:
     """Partitioned warehouse read (IO1/IO4): parallel range reads replace the chunked single-client fetch."""
