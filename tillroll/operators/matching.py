@@ -14,7 +14,9 @@ keys are chosen so that every pair able to reach the threshold shares one (an ex
    both sides must intersect (the prefix-filtering lemma), so prefix bigrams are equi-joined with prefix bigrams.
 
 A frequent token or bigram enters a name's prefix only when the name consists mostly of frequent parts, so hot keys
-do not multiply into all pairs of their group. Candidates are de-duplicated, scored by an Arrow UDF, and the best
+do not multiply into all pairs of their group. The filter is proven exact for thresholds above 2/3 (the default is 90);
+below that the bigram bound is void, every bigram is indexed, and a pair sharing neither a token nor a bigram is not
+scored. Candidates are de-duplicated, scored by an Arrow UDF, and the best
 match per left name is a `min_by` aggregate (score desc, then name asc, the first best wins). All of this runs on
 distinct normalised names, so repeated names in the inputs cost nothing.
 """
