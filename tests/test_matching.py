@@ -83,7 +83,7 @@ def _random_names(rnd, n):
     return sorted(names)
 
 
-@pytest.mark.parametrize("threshold,blocking", [(90, None), (80, None), (90, 3)])
+@pytest.mark.parametrize("threshold,blocking", [(90, None), (80, None), (70, None), (90, 3)])
 def test_fuzzy_join_is_exact(spark, threshold, blocking):
     rnd = random.Random(threshold + (blocking or 0))
     left, right = _random_names(rnd, 120), _random_names(rnd, 150)
