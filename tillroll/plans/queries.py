@@ -190,6 +190,12 @@ def q_implied_daily_rate(spark, sf_dir):
                     .alias("conversion_to_publisher"))
 
 
+@register("first_partial_refunds")
+def q_first_partial_refunds(spark, sf_dir):
+    from tillroll.operators import royalty
+    return royalty.first_partial_refunds(fx.notes(Tables(spark, sf_dir)))
+
+
 @register("royalty_statement")
 def q_royalty_statement(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -317,6 +323,42 @@ def q_fuzzy_match_blocked(spark, sf_dir):
                                       blocking=3)
 
 
+def _p7_parts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    start, end, _, _ = previous_month(P.RECON_AS_OF)
+    rep = contracts.trim_headers(fx.publisher_report(t, P.RECON_START, P.RECON_END))
+    return t, rep, start, end
+
+
+@register("partner_totals")
+def q_partner_totals(spark, sf_dir):
+    _, rep, _, _ = _p7_parts(spark, sf_dir)
+    return decimals_as_double(reconcile.partner_totals(rep))
+
+
+@register("converted_totals")
+def q_converted_totals(spark, sf_dir):
+    t, rep, start, _ = _p7_parts(spark, sf_dir)
+    rates = fxop.as_of_rates(fxop.rates_to_gbp(fx.shop_orders(t)), start)
+    conv = reconcile.override_names(reconcile.convert_to_gbp(reconcile.partner_totals(rep), rates),
+                                    reconcile.PUBLISHER, P.PUBLISHER_OVERRIDES)
+    return decimals_as_double(conv)
+
+
+@register("supplier_royalty_totals")
+def q_supplier_royalty_totals(spark, sf_dir):
+    t, _, start, end = _p7_parts(spark, sf_dir)
+    return decimals_as_double(reconcile.supplier_royalty_totals(fx.sales_lines(t), fx.products(t), fx.suppliers(t),
+                                                                start=start, end=end))
+
+
+@register("promo_item_royalties")
+def q_promo_item_royalties(spark, sf_dir):
+    t, _, start, end = _p7_parts(spark, sf_dir)
+    return decimals_as_double(reconcile.promo_item_royalties(fx.sales_lines(t), supplier=P.PROMO_SUPPLIER,
+                                                             start=start, end=end))
+
+
 @register("publisher_comparison")
 def q_publisher_comparison(spark, sf_dir):
     comparison, _, _ = _p7(spark, sf_dir)
