@@ -109,3 +109,46 @@ def test_royalty_totals_name_source(spark):
     by_line = reconcile.supplier_royalty_totals(od, prods, sups, name_from="line", **kw).collect()
     assert [(r["supplier_name"], r["royalties"]) for r in by_sup] == [("Supplier One", D("2.50"))]
     assert [(r["supplier_name"], r["royalties"]) for r in by_line] == [("line name", D("2.50"))]
+
+
+LINE_SCHEMA = ("iid string, product_name string, product_id long, royalty long, revenue_ex_vat_pf long, "
+               "royalty_percentage decimal(6,2), order_date timestamp, status string, order_id long, currency string, "
+               "bundle_name string, promo_name string, vat_rate decimal(4,2), transaction_fee int")
+
+
+def test_distributor_terms_and_variances(spark):
+    """S16 fan-out, S17 service charge as percent and as fraction, S18 old_order, S29 null CTID."""
+    lines = spark.createDataFrame([
+        ("10x1", "T", 1, 800, 1000, D("0.20"), dt.datetime(2024, 7, 2), "COMPLETE", 10, "USD", None, None, D("0.2"), 50),
+        ("10x1", "T", 1, 800, 1000, D("0.20"), dt.datetime(2024, 7, 20), "COMPLETE", 11, "EUR", None, None, D("0.2"), 50),
+    ], LINE_SCHEMA)
+    products = spark.createDataFrame([(1, "s1")], "product_id long, supplier_id string")
+    suppliers = spark.createDataFrame([("s1", "S", D("12.00"), True)],
+                                      "supplier_id string, supplier_name string, genba_service_charge decimal(5,2), "
+                                      "allows_transaction_fees boolean")
+    discounts = spark.createDataFrame([], "product_id long, star_deal boolean, discount_percent decimal(5,2), "
+                                          "self_funded_percent decimal(5,2), product_discount_self_fund_percent decimal(5,2)")
+    stars = spark.createDataFrame([], "product_id long")
+    terms = reconcile.order_line_terms(lines, products, suppliers, discounts, stars, start="2024-07-01", end="2024-08-01")
+    t = terms.collect()[0]
+    # (1 - 0.2) * 12 / 100 + 0.2 for the assumed royalty, (1 - 0.2) * 12 + 0.2 for the blended rate
+    assert t["fanatical_assumed_royalty"] == D("10.00") * (D("0.8") * D("0.12") + D("0.2"))
+    assert t["blended_rate"] == D("0.8") * D("12") + D("0.2")
+    assert t["allowable_transaction_fee"] == D("0.50") and t["fanatical_reported_royalty"] == D("8.00")
+
+    partner = spark.createDataFrame([
+        ("10x1-7", "10x1", "T", "g1", dt.date(2024, 7, 4), "GB", "USD", D("1"), D("9.5")),
+        (None, None, "U", "g2", dt.date(2024, 7, 4), "GB", "USD", D("1"), D("3.0")),
+    ], "ctid_1 string, iid string, product_title string, genba_product_id string, original_date_of_sale date, "
+       "country_sold string, genba_currency string, activation_qty decimal(10,2), genba_reported_royalty decimal(10,2)")
+    detail = reconcile.overcharge_detail(partner, terms).collect()
+    matched = sorted((r for r in detail if r["iid"] == "10x1"), key=lambda r: r["order_id"])
+    assert len(matched) == 2  # S16: one partner row, two own lines
+    assert [r["old_order"] for r in matched] == [True, False]  # S18: |Jul 4 - Jul 2| < 3, |Jul 4 - Jul 20| >= 3
+    assert matched[0]["overcharge"] == D("1.50") and matched[0]["overcharge_after_transaction_fee_handling"] == D("1.00")
+    assert matched[0]["currency_match"] is True and matched[1]["currency_match"] is False
+    orphan = [r for r in detail if r["iid"] is None][0]  # S29: a null CTID matches nothing, stays null
+    assert orphan["order_id"] is None and orphan["overcharge"] == D("3.00") and orphan["overcharge_perc"] is None
+    totals = {r["product_title"]: r["Total Overcharge"] for r in reconcile.overcharge_by_title(
+        reconcile.overcharge_detail(partner, terms)).collect()}
+    assert totals == {"T": D("2.00"), "U": D("3.00")}  # the repeated partner amount inflates the total (S16)

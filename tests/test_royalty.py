@@ -68,3 +68,14 @@ def test_as_of_rate_pick(spark):
                                    ("EUR", dt.date(2024, 5, 1), 1.0)], "currency string, rate_date date, rate_to_gbp double")
     r = fx.as_of_rates(rates, "2024-04-15").collect()
     assert [(x["currency"], x["rate_to_gbp"]) for x in r] == [("EUR", 0.9)]
+
+
+def test_net_is_rounded_on_its_own(spark):
+    """net = round(sum value - sum deductions), so it can differ by a cent from value - deductions."""
+    d = dt.datetime(2024, 7, 1)
+    sales = spark.createDataFrame([(1, 1, d, "COMPLETE", True, "S", "P", None, None, 1001, None, D("0.004"), None, 0,
+                                    D("0.1"), None, None, None, None)], SALES)
+    shop = spark.createDataFrame([(d, "USD", 0.5, 1.0)], ORDERS)
+    r = royalty.royalty_statement(sales, _products(spark), shop, start="2024-07-01", end="2024-08-01",
+                                  as_of="2024-07-01").collect()[0]
+    assert (r["value"], r["deductions"], r["net"]) == (5.01, 0.0, 5.0)
