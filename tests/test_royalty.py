@@ -73,9 +73,10 @@ def test_as_of_rate_pick(spark):
 def test_net_is_rounded_on_its_own(spark):
     """net = round(sum value - sum deductions), so it can differ by a cent from value - deductions."""
     d = dt.datetime(2024, 7, 1)
-    sales = spark.createDataFrame([(1, 1, d, "COMPLETE", True, "S", "P", None, None, 1001, None, D("0.004"), None, 0,
+    # value 2002 c x 0.25 = 5.005 -> 5.01; deductions 1 c x 0.25 = 0.0025 -> 0.00; net round(5.0025) = 5.00
+    sales = spark.createDataFrame([(1, 1, d, "COMPLETE", True, "S", "P", None, None, 2002, 1, None, None, 0,
                                     D("0.1"), None, None, None, None)], SALES)
-    shop = spark.createDataFrame([(d, "USD", 0.5, 1.0)], ORDERS)
+    shop = spark.createDataFrame([(d, "USD", 0.25, 1.0)], ORDERS)
     r = royalty.royalty_statement(sales, _products(spark), shop, start="2024-07-01", end="2024-08-01",
                                   as_of="2024-07-01").collect()[0]
     assert (r["value"], r["deductions"], r["net"]) == (5.01, 0.0, 5.0)
