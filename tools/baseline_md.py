@@ -20,8 +20,8 @@ tuning constant is a 200,000-row fetch chunk size, and it is not a benchmark.
 
 Protocol: `bench.py` on the sf{d['sf']} tables, one warm-up and {d['runs']} timed runs per query, action =
 `write.format("noop")` (the whole plan runs, nothing is collected), median reported. Each timing includes building
-the plan, including the eager size checks and checkpoints some reports make. Medians drift by about ±20% between
-sessions on this machine.
+the plan, including the eager size checks and checkpoints some reports make. Medians drift between sessions on this
+machine: the same code summed to between 25 and 34 s in the last runs, and single queries vary by up to 2×.
 
 Config: Spark {d['spark']}, master {d['master']}, driver memory 16g, `spark.sql.shuffle.partitions` = 8, AQE on
 (coalescing to the advisory size, skew join), UTC session.
