@@ -41,15 +41,16 @@ def order_day_profile(orders: DataFrame, window_days: int) -> DataFrame:
         F.max("has_fv").alias("day_has_fv"),
         F.max("has_game").alias("day_has_game"),
     )
-    by_user = Window.partitionBy(USER)
-    in_order = by_user.orderBy(DAY)
-    ahead = by_user.orderBy(F.unix_date(F.col(DAY))).rangeBetween(1, window_days)
+    # one ordering for all three (days are unique per user here), so Spark sorts each user's days once
+    in_order = Window.partitionBy(USER).orderBy(F.unix_date(F.col(DAY)))
+    ahead = in_order.rangeBetween(1, window_days)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return days.select(
         USER, DAY, "first_order_id",
         F.lag(DAY).over(in_order).alias("prev_order_date"),
         F.coalesce(F.max("day_has_fv").over(ahead), F.lit(0)).alias("fv_ahead"),
         F.coalesce(F.max("day_has_game").over(ahead), F.lit(0)).alias("game_ahead"),
-        F.min(DAY).over(by_user).alias("first_order_date"),
+        F.min(DAY).over(whole).alias("first_order_date"),
     )
 
 

@@ -65,9 +65,9 @@ def _prefixed(left: DataFrame, right: DataFrame, alpha: float, beta: float) -> D
     els = _elements(left, "L").unionByName(_elements(right, "R"))
     freq = els.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("df"))
     e = els.join(freq, ["kind", "key"])
-    by_name = Window.partitionBy("side", "norm", "kind")
-    ordered = by_name.orderBy("df", "key")
-    e = e.select("*", F.sum("w").over(by_name).alias("total_w"),
+    ordered = Window.partitionBy("side", "norm", "kind").orderBy("df", "key")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    e = e.select("*", F.sum("w").over(whole).alias("total_w"),
                  F.coalesce(F.sum("w").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
                  .alias("before"),
                  F.row_number().over(ordered).alias("pos"))
