@@ -4,6 +4,10 @@ The reports read order lines, products, collections, shop orders, notes, supplie
 test data has none of these, so each view derives one from the given tables with plain column expressions; the same
 definitions are written in DuckDB SQL in `tillroll.plans.oracle_sql` for the independent check. All views are lazy and
 grow with the input tables.
+
+The modulo expressions below assign fixture attributes (status, currency, channel flag, which products have a
+collection row or a discount), as FIXTURES.md §2 prescribes; they do not sample rows. Every registered query runs over
+all rows of the tables it reads.
 """
 
 from __future__ import annotations
