@@ -65,7 +65,7 @@ def _brute(left, right, t, blocking=None):
     return out
 
 
-WORDS = ["games", "studio", "interactive", "entertainment", "thunder", "thunderful", "old", "cold", "gear", "gears",
+WORDS = ["games", "studio", "interactive", "entertainment", "thunder", "thunders", "old", "cold", "gear", "gears",
          "red", "rod", "blue", "soft", "software", "media", "digital", "publishing", "north", "norths", "ab", "x"]
 
 
