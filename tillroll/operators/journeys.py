@@ -19,6 +19,12 @@ from tillroll.functions.dates import months_between_boundaries
 
 USER, DAY = "user_id", "order_date"
 
+# The transition report's cohort labels and its default direction labels.
+COHORT_FLAGSHIP_FIRST = "FV_FIRST"
+COHORT_GAME_THEN_FLAGSHIP = "GAME_THEN_FV"
+DIRECTION_FLAGSHIP_TO_GAME = "FV→Game"
+DIRECTION_GAME_TO_FLAGSHIP = "Game→FV"
+
 
 def _pure(flag: str, others: list[str]) -> Column:
     cond = F.col(flag) == 1
@@ -194,9 +200,9 @@ def first_order_cohorts(orders: DataFrame, launch) -> DataFrame:
         F.max(F.when(after, 1).otherwise(0)).alias("fv_after_launch"),
     )
     first = F.col("first")
-    cohort = (F.when((first["has_fv"] == 1) & (F.to_date(first["order_ts"]) >= launch_d), F.lit("FV_FIRST"))
+    cohort = (F.when((first["has_fv"] == 1) & (F.to_date(first["order_ts"]) >= launch_d), F.lit(COHORT_FLAGSHIP_FIRST))
               .when((first["has_game"] == 1) & (first["has_fv"] == 0) & (F.col("fv_after_launch") == 1),
-                    F.lit("GAME_THEN_FV")))
+                    F.lit(COHORT_GAME_THEN_FLAGSHIP)))
     return per_user.select(USER, cohort.alias("cohort_type")).where(F.col("cohort_type").isNotNull())
 
 

@@ -169,7 +169,8 @@ def q_next_flagged_order(spark, sf_dir):
 @register("transition_edges")
 def q_transition_edges(spark, sf_dir):
     _, lines, orders = _p2_inputs(spark, sf_dir)
-    return journeys.transition_edges(journeys.next_flagged_orders(orders), lines, "FV→Game", "Game→FV")
+    return journeys.transition_edges(journeys.next_flagged_orders(orders), lines, journeys.DIRECTION_FLAGSHIP_TO_GAME,
+                                     journeys.DIRECTION_GAME_TO_FLAGSHIP)
 
 
 @register("top_transitions")

@@ -38,13 +38,15 @@ def transitions_inputs(order_details: DataFrame, collections: DataFrame, product
 
 
 def product_transitions(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
-                        start, end, launch, max_days: int = 30, top_n: int = 50, flagship_short: str = "FV",
+                        start, end, launch, max_days: int = 30, top_n: int = 50,
+                        directions: tuple[str, str] = (journeys.DIRECTION_FLAGSHIP_TO_GAME,
+                                                       journeys.DIRECTION_GAME_TO_FLAGSHIP),
                         flagship_label: str | None = None) -> DataFrame:
     """Top-N product transitions flagship -> game and game -> flagship among the two first-order cohorts."""
     _, lines, orders = transitions_inputs(order_details, collections, products, flagship=flagship, start=start,
                                           end=end, launch=launch, flagship_label=flagship_label)
     pairs = journeys.next_flagged_orders(orders)
-    edges = journeys.transition_edges(pairs, lines, f"{flagship_short}→Game", f"Game→{flagship_short}")
+    edges = journeys.transition_edges(pairs, lines, *directions)
     return journeys.top_transitions(edges, max_days, top_n)
 
 
