@@ -15,6 +15,14 @@ from tillroll.functions.dates import half_open
 from tillroll.functions.money import cent
 from tillroll.session import cut_lineage
 
+# The publisher report's columns and the comparison's added columns, the statuses counted and skipped,
+# the labels written, and the home currency.
+PUBLISHER, CURRENCY, PRICE = "Publisher Name", "Invoicing Currency", "Purchase Price In Invoicing Currency"
+CONVERTED, ADJUSTED = "Converted to GBP", "Adjusted Purchase Price In Invoicing Currency"
+ROYALTY_STATUSES = ("COMPLETE", "REFUNDED")
+SKIPPED_STATUSES = ("CANCELLED", "INITIALISED")
+STAR_DEAL, ADJUSTED_STATUS, HOME_CURRENCY = "Star Deal", "Adjusted", "GBP"
+
 PARTNER_GROUP_KEYS = ["ctid_1", "iid", "product_title", "genba_product_id", "original_date_of_sale", "country_sold",
                       "activation_currency"]
 
@@ -73,7 +81,7 @@ def order_line_terms(order_details: DataFrame, products: DataFrame, suppliers: D
     rp = F.col("a.royalty_percentage")
     svc = F.col("genba_service_charge")
     dflt = F.lit(default_service_charge).cast("decimal(6,4)")
-    deal = F.when(F.col("c.star_product_id").isNotNull() | F.col("b.star_deal").eqNullSafe(True), F.lit("Star Deal")) \
+    deal = F.when(F.col("c.star_product_id").isNotNull() | F.col("b.star_deal").eqNullSafe(True), F.lit(STAR_DEAL)) \
         .otherwise(F.coalesce(F.col("a.bundle_name"), F.col("a.promo_name")))
     return x.select(
         F.col("a.iid").alias("iid"), F.col("a.product_name").alias("product_name"),
@@ -147,8 +155,6 @@ def overcharge_by_title(detail: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- P7 / P8 publisher invoice comparison
 
-PUBLISHER, CURRENCY, PRICE = "Publisher Name", "Invoicing Currency", "Purchase Price In Invoicing Currency"
-CONVERTED, ADJUSTED = "Converted to GBP", "Adjusted Purchase Price In Invoicing Currency"
 
 
 def partner_totals(report: DataFrame, name: str = PUBLISHER, currency: str = CURRENCY,
@@ -166,14 +172,14 @@ def convert_to_gbp(totals: DataFrame, rates: DataFrame, currency: str = CURRENCY
     `rates` (currency, rate_to_gbp) has one row per currency, so it is broadcast."""
     r = rates.select(F.col("currency").alias("_ccy"), "rate_to_gbp")
     x = totals.join(F.broadcast(r), totals[currency] == r["_ccy"], "left")
-    rate = F.when(F.col(currency) == "GBP", F.lit(1).cast("decimal(14,6)")).otherwise(F.col("rate_to_gbp"))
+    rate = F.when(F.col(currency) == HOME_CURRENCY, F.lit(1).cast("decimal(14,6)")).otherwise(F.col("rate_to_gbp"))
     # amount narrowed to decimal(22,4) so the product (scale 10) stays exact within 38 digits: a wider product would
     # be rounded by Spark before the half-even rounding to pence
     return x.withColumn(out, F.bround(F.col(amount).cast("decimal(22,4)") * rate, 2)).drop("_ccy", "rate_to_gbp")
 
 
 def supplier_royalty_totals(order_details: DataFrame, products: DataFrame, suppliers: DataFrame, *, start, end,
-                            statuses=("COMPLETE", "REFUNDED"), partner_flag: str = "vaultn",
+                            statuses=ROYALTY_STATUSES, partner_flag: str = "vaultn",
                             name_from: str = "supplier") -> DataFrame:
     """Royalties (major units) per supplier flagged for the partner, lines of [start, end).
 
@@ -213,7 +219,7 @@ def publisher_comparison(report: DataFrame, rates: DataFrame, royalties: DataFra
 
 
 def promo_item_royalties(order_details: DataFrame, *, supplier: str, start, end,
-                         excluded=("CANCELLED", "INITIALISED")) -> DataFrame:
+                         excluded=SKIPPED_STATUSES) -> DataFrame:
     """Royalties per (iid, status, promo_name, bundle_name) of one supplier's lines in [start, end)."""
     od = order_details.where(half_open("order_date", start, end) & ~F.col("status").isin(*excluded)
                              & (F.col("supplier_name") == supplier))
@@ -238,7 +244,7 @@ def promo_adjusted_detail(report: DataFrame, promo: DataFrame, *, publisher: str
             & (F.col("_promo").isNull() | (F.col("_promo") == "")))
     x = x.withColumns({
         PRICE: F.when(cond, F.col("_roy")).otherwise(F.col(PRICE)),
-        "Status": F.when(cond, F.lit("Adjusted")).otherwise(F.col("Status")),
+        "Status": F.when(cond, F.lit(ADJUSTED_STATUS)).otherwise(F.col("Status")),
     })
     if keep_promo_name:
         return x.withColumnRenamed("_promo", "promo_name").drop("_iid", "_roy")

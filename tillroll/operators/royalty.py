@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import as_date, between_dates, half_open
 from tillroll.operators.fx import attach_rate
 
+# The statement name separator, the partial-refund note prefix and the completed status.
 NEWLINE_IN = "\n in "
+PARTIAL_REFUND_PREFIX = "Partial refund of "
+COMPLETE = "COMPLETE"
 
 
 def statement_name(product_name: Column, promo: Column, bundle: Column) -> Column:
@@ -66,7 +69,7 @@ def _statement_aggs(sign: int) -> list[Column]:
 
 def royalty_statement(sales: DataFrame, products: DataFrame, shop_orders: DataFrame, *, start, end, as_of,
                       currency: str = "USD", percentage: str = "0.05", channel_col: str = "drivethrurpg",
-                      statuses=("COMPLETE",)) -> DataFrame:
+                      statuses=(COMPLETE,)) -> DataFrame:
     """Completed channel sales of the month per supplier, product and bundle/promo, converted with the day's
     implied rate (fallback: the as-of day's), with the exclusivity fee reported as the royalty (S14)."""
     lines = sales.where(F.col(channel_col).eqNullSafe(True) & F.col("status").isin(*statuses)
@@ -93,7 +96,7 @@ def royalty_statement(sales: DataFrame, products: DataFrame, shop_orders: DataFr
         F.col("royalty").cast("double").alias("royalty"), "in_bundle")
 
 
-def first_partial_refunds(notes: DataFrame, prefix: str = "Partial refund of ") -> DataFrame:
+def first_partial_refunds(notes: DataFrame, prefix: str = PARTIAL_REFUND_PREFIX) -> DataFrame:
     """order_id -> MIN(date) of notes starting with the prefix (A7, PF16)."""
     return notes.where(F.col("note").startswith(prefix)).groupBy("order_id") \
         .agg(F.min("date").alias("first_partial_refund"))
@@ -104,7 +107,7 @@ def refund_statement(sales: DataFrame, products: DataFrame, shop_orders: DataFra
                      channel_col: str = "drivethrurpg") -> DataFrame:
     """Non-completed channel lines whose first refund / fraud / chargeback / partial refund day falls in the
     inclusive window, sign-reversed except `value` (S11). Rate joined on the rate's own date (S10 corrected)."""
-    lines = sales.where(F.col(channel_col).eqNullSafe(True) & (F.col("status") != "COMPLETE")
+    lines = sales.where(F.col(channel_col).eqNullSafe(True) & (F.col("status") != COMPLETE)
                         & (F.col("order_date") >= as_date(min_order_date)))
     p = products.select("product_id", "isbn", F.col("sku").alias("p_sku"))
     x = lines.join(p, "product_id").join(first_partial_refunds(notes), "order_id", "left")

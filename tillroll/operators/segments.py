@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import minor_to_major
 
-# Product types the reference folds into "Other" (compared lower-cased).
+# Product types folded into "Other" (compared lower-cased), then the segment and order-type labels.
 OTHER_TYPES = ("gift-card", "video", "comic", "voucher", "book", "audio", "software")
+GAME, DLC, OTHER, UNKNOWN, MIXED = "game", "dlc", "Other", "Unknown", "Mixed"
+COMPLETE = "COMPLETE"
 
 
 def collection_flags(collections: DataFrame, flagship: str) -> DataFrame:
@@ -33,14 +35,14 @@ def segment_expr(is_flagship: Column, product_type: Column, flagship_label: str)
     """flagship beats product type, type beats 'Other' (known product without the flag), else 'Unknown'."""
     return (F.when(is_flagship.eqNullSafe(True), F.lit(flagship_label))
             .when(product_type.isNotNull(), product_type)
-            .when(is_flagship.eqNullSafe(False), F.lit("Other"))
-            .otherwise(F.lit("Unknown")))
+            .when(is_flagship.eqNullSafe(False), F.lit(OTHER))
+            .otherwise(F.lit(UNKNOWN)))
 
 
 def segment_group_expr(segment: Column, flagship_label: str, other_types=OTHER_TYPES) -> Column:
     """fold minor types into 'Other' case-insensitively; other values keep their case."""
     return (F.when(segment == flagship_label, F.lit(flagship_label))
-            .when(F.lower(segment).isin(*other_types), F.lit("Other"))
+            .when(F.lower(segment).isin(*other_types), F.lit(OTHER))
             .otherwise(segment))
 
 
@@ -62,7 +64,7 @@ def classify_lines(lines: DataFrame, collections: DataFrame, products: DataFrame
 
 
 def journey_lines(order_details: DataFrame, collections: DataFrame, products: DataFrame, flagship: str,
-                  start, end, status: str = "COMPLETE", flagship_label: str | None = None) -> DataFrame:
+                  start, end, status: str = COMPLETE, flagship_label: str | None = None) -> DataFrame:
     """P1 line CTE: completed lines in [start, end) with date, month, decimal money and segment (PF1, PF9, PF11)."""
     from tillroll.functions.dates import half_open, month_start
 
@@ -87,9 +89,9 @@ def order_rollup(lines: DataFrame, flagship_label: str, bare_numeric: str = "dec
     g = F.col("segment_group")
     has = {
         "has_fv": F.max(flag_expr(g, flagship_label)),
-        "has_game": F.max(flag_expr(g, "game")),
-        "has_dlc": F.max(flag_expr(g, "dlc")),
-        "has_other": F.max(flag_expr(g, "Other")),
+        "has_game": F.max(flag_expr(g, GAME)),
+        "has_dlc": F.max(flag_expr(g, DLC)),
+        "has_other": F.max(flag_expr(g, OTHER)),
     }
     o = lines.groupBy("order_id", "user_id", "order_date", "order_month").agg(
         F.sum("revenue").cast(bare_numeric).alias("order_revenue_total"),
@@ -98,7 +100,7 @@ def order_rollup(lines: DataFrame, flagship_label: str, bare_numeric: str = "dec
         *[v.alias(k) for k, v in has.items()],
     )
     n = F.col("has_fv") + F.col("has_game") + F.col("has_dlc") + F.col("has_other")
-    order_type = (F.when(n > 1, "Mixed").when(F.col("has_fv") == 1, flagship_label)
-                  .when(F.col("has_game") == 1, "game").when(F.col("has_dlc") == 1, "dlc")
-                  .when(F.col("has_other") == 1, "Other").otherwise("Unknown"))
+    order_type = (F.when(n > 1, MIXED).when(F.col("has_fv") == 1, flagship_label)
+                  .when(F.col("has_game") == 1, GAME).when(F.col("has_dlc") == 1, DLC)
+                  .when(F.col("has_other") == 1, OTHER).otherwise(UNKNOWN))
     return o.withColumn("order_type", order_type)
