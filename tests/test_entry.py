@@ -52,3 +52,20 @@ def test_plan_has_no_cross_join_or_row_udf(spark, sf001, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert node not in plan, f"{name}: {node}"
+
+
+def test_report_switches(spark, sf001):
+    from tillroll.plans import params as P
+    from tillroll.plans import reports
+    from tillroll.sources import fixtures as fx
+    from tillroll.sources.tables import Tables
+
+    t = Tables(spark, sf001)
+    unsorted = reports.order_journey(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
+                                     start=P.BASKET_START, end=P.BASKET_END, window_days=7, sort=False)
+    unsorted.write.format("noop").mode("overwrite").save()
+    assert "rangepartitioning" not in unsorted._jdf.queryExecution().executedPlan().toString()
+    top = reports.product_transitions(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
+                                      start=P.BASKET_START, end=P.BASKET_END, launch=P.LAUNCH_DATE,
+                                      directions=("A", "B"))
+    assert {r["direction"] for r in top.collect()} <= {"A", "B"}
