@@ -11,12 +11,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality_cnn
+
+    return quality_cnn.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import packing
 
     return packing.packed_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard_join
+
+    return jaccard_join.similarity_classes(_table(spark, sf_dir, "documents"))
+
+
 def op10_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_files
 
