@@ -29,6 +29,18 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_classes(_table(spark, sf_dir, "documents"))
 
 
+def op6_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
 def op10_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_files
 
