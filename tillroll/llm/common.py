@@ -40,7 +40,7 @@ def open_output(uri: str):
     """A writable stream for a URI of the shared folder, usable inside a task."""
     fs, path = _fs(uri)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return fs.open_output_stream(path)
+    return fs.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):

@@ -29,12 +29,24 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_classes(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_record_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op6_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontaminate
 
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import sharding
+
+    return sharding.sharded(_table(spark, sf_dir, "documents"))
+
+
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
 
