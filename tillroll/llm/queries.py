@@ -29,6 +29,12 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_classes(_table(spark, sf_dir, "documents"))
 
 
+def op4_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import fingerprints
+
+    return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op5_warc_record_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
 
@@ -47,6 +53,12 @@ def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import license_scan
+
+    return license_scan.scanned(_table(spark, sf_dir, "documents"))
+
+
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
 
