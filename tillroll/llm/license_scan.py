@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-K, GAP, MIN_TEMPLATE, MIN_SPAN = 4, 3, 0.5, 0.6
+K, GAP, MIN_TEMPLATE, MIN_SPAN = 4, 3, 0.7, 0.6
 TEMPLATES_BYTES = 1 << 20
 #: The base phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
