@@ -47,7 +47,7 @@ def choose_bands(threshold: float, recall: float = 0.9995, hashes: int = 160) ->
     with most rows, which has fewest candidates below the threshold."""
     for rows in range(hashes, 0, -1):
         hit = threshold ** rows
-        bands = 1 if hit >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - hit))
+        bands = 1 if hit >= 1 else math.ceil(math.log(1 - recall) / math.log1p(-hit))
         if rows * bands <= hashes:
             return bands, rows
     raise ValueError("no banding reaches this recall within the number of hashes")

@@ -41,20 +41,25 @@ class Bins:
         self.by_free: list[set[int]] = [set() for _ in range(capacity + 1)]
         self.used = 0
 
-    def _set_free(self, b: int, free: int) -> None:
-        old = self.by_free[self.free[b]]
-        old.discard(b)
-        if not old:
+    def hide(self, b: int) -> None:
+        same = self.by_free[self.free[b]]
+        same.discard(b)
+        if not same:
             self.used &= ~(1 << self.free[b])
+
+    def show(self, b: int) -> None:
+        self.by_free[self.free[b]].add(b)
+        self.used |= 1 << self.free[b]
+
+    def _set_free(self, b: int, free: int) -> None:
+        self.hide(b)
         self.free[b] = free
-        self.by_free[free].add(b)
-        self.used |= 1 << free
+        self.show(b)
 
     def new(self) -> int:
         self.items.append([])
         self.free.append(self.capacity)
-        self.by_free[self.capacity].add(len(self.items) - 1)
-        self.used |= 1 << self.capacity
+        self.show(len(self.items) - 1)
         return len(self.items) - 1
 
     def tightest(self, size: int) -> int | None:
@@ -71,10 +76,7 @@ class Bins:
         self._set_free(b, self.free[b] + size)
 
     def drop(self, b: int) -> None:
-        free = self.free[b]
-        self.by_free[free].discard(b)
-        if not self.by_free[free]:
-            self.used &= ~(1 << free)
+        self.hide(b)
         self.items[b] = []
 
 
@@ -86,38 +88,43 @@ def _best_fit(sizes: list[int], capacity: int) -> Bins:
     return bins
 
 
-def _improve(bins: Bins, sizes: list[int], least: int, rounds: int = 40, partners: int = 64) -> None:
-    """Empty the emptiest bin over and over: move its items where they fit, or exchange them (one or two of them) for a
-    smaller one of a fuller bin, which makes that bin fuller and so the sum of squared fills larger. `rounds` bounds
-    the passes over one bin and `partners` the underfull bins tried in a pass; they bound time, never what is packed."""
-    alive = {b for b, x in enumerate(bins.items) if x}
-    while len(alive) > least:
-        poor = max(alive, key=lambda b: (bins.free[b], b))
-        for _ in range(rounds):
-            changed = False
-            for item in sorted(bins.items[poor], key=lambda i: -sizes[i]):
-                bins.by_free[bins.free[poor]].discard(poor)  # not into itself
-                if not bins.by_free[bins.free[poor]]:
-                    bins.used &= ~(1 << bins.free[poor])
-                to = bins.tightest(sizes[item])
-                bins.by_free[bins.free[poor]].add(poor)
-                bins.used |= 1 << bins.free[poor]
-                if to is not None and bins.free[to] <= bins.free[poor]:
-                    bins.take(poor, item, sizes[item]), bins.put(to, item, sizes[item])
-                    changed = True
+def _improve(bins: Bins, sizes: list[int], least: int, rounds: int = 40, givers: int = 32, partners: int = 64) -> None:
+    """Local search on the sum of squared fills: the emptiest bins give items to fuller ones where they fit, or exchange one
+    or two of them for a smaller one, which makes the other bin fuller. It ends when `least` bins remain or a round changes
+    nothing. `rounds`, `givers` and `partners` (underfull bins tried) bound time, never what is packed."""
+    for _ in range(rounds):
+        alive = [b for b, x in enumerate(bins.items) if x]
+        if len(alive) <= least:
+            return
+        underfull = sorted((b for b in alive if bins.free[b]), key=lambda b: (-bins.free[b], b))
+        changed, left = False, len(alive)
+        for n, poor in enumerate(underfull[:givers]):
+            changed |= _give(bins, sizes, poor)
+            for rich in underfull[n + 1:n + 1 + partners]:
+                if bins.items[poor] and bins.items[rich]:
+                    changed |= _exchange(bins, sizes, poor, rich)
             if not bins.items[poor]:
-                break
-            rich = sorted((b for b in alive if b != poor and bins.free[b]), key=lambda b: (-bins.free[b], b))[:partners]
-            for b in rich:
-                changed |= _exchange(bins, sizes, poor, b)
-                if not bins.items[poor]:
-                    break
-            if not changed:
-                break
-        if bins.items[poor]:
-            return  # the emptiest bin stays: no exchange improves it
-        bins.drop(poor)
-        alive.discard(poor)
+                bins.drop(poor)
+                left -= 1
+                if left <= least:
+                    return
+        if not changed:
+            return
+
+
+def _give(bins: Bins, sizes: list[int], poor: int) -> bool:
+    """Move items of `poor` into bins that are at least as full."""
+    changed = False
+    for item in sorted(bins.items[poor], key=lambda i: -sizes[i]):
+        free = bins.free[poor]
+        bins.hide(poor)  # not into itself
+        to = bins.tightest(sizes[item])
+        bins.show(poor)
+        if to is not None and bins.free[to] <= free:
+            bins.take(poor, item, sizes[item])
+            bins.put(to, item, sizes[item])
+            changed = True
+    return changed
 
 
 def _exchange(bins: Bins, sizes: list[int], poor: int, rich: int) -> bool:

@@ -2,7 +2,8 @@
 
 Rows of equal text weigh together as one point; its dimensions are the size of its text, its language and its source (as
 order-preserving numbers). The tree splits the heaviest leaf's points at the distributed weighted median of the dimension
-in which they are spread widest, measured against that dimension's spread over all points, until every leaf has the
+in which they are spread widest, measured against that dimension's spread over all points (along another one only
+where a heavy point at the median would leave uneven halves), until every leaf has the
 target weight, total / shards. With a number of shards that is no power of two a split is uneven in proportion.
 
 The median comes from histograms: each job counts the weight in BINS intervals of every open leaf's range and the next job
@@ -25,6 +26,8 @@ from . import common as C
 BINS = 1 << 10
 #: A point heavier than this share of a leaf's target is split by hashed doc_id.
 POINT_SHARE = 1 / 100
+#: A split is also tried along the other dimensions if it is off by more than this share of its leaf.
+UNEVEN = 0.001
 #: Rows that one task numbers within a shard, on the average.
 SLOT_ROWS = 20_000
 DIMENSIONS = ("by_size", "by_lang", "by_source")
@@ -64,7 +67,7 @@ def kd_splits(points: DataFrame, shards: int) -> tuple[dict[int, tuple[str, int]
         for d in DIMENSIONS:
             stats += [F.min(d).alias(f"{d}_low"), F.max(d).alias(f"{d}_high")]
         found = {r["leaf"]: r for r in placed.groupBy("leaf").agg(*stats).collect()}
-        ranges: dict[int, list] = {}
+        tried: dict[int, list] = {}
         for leaf, n in open_leaves.items():
             if n < 2:
                 continue
@@ -74,10 +77,18 @@ def kd_splits(points: DataFrame, shards: int) -> tuple[dict[int, tuple[str, int]
                 continue
             width = {d: (r[f"{d}_high"] >> TIE_BITS) - (r[f"{d}_low"] >> TIE_BITS) for d in DIMENSIONS}
             spread = spread or {d: max(1, w) for d, w in width.items()}
-            widest = max(DIMENSIONS, key=lambda d: (width[d] / spread[d], -DIMENSIONS.index(d)))
-            ranges[leaf] = [widest, r[f"{widest}_low"], r[f"{widest}_high"] + 1, r["weight"] * (n // 2) / n, 0, r["weight"]]
-        for leaf, cut in _weighted_quantiles(placed, ranges).items():
-            splits[leaf] = (ranges[leaf][0], cut)
+            tried[leaf] = sorted(DIMENSIONS, key=lambda d: (-width[d] / spread[d], DIMENSIONS.index(d)))
+        best: dict[int, tuple] = {}
+        for nth in range(len(DIMENSIONS)):  # beyond the widest only where one heavy point keeps its halves uneven
+            ranges = {}
+            for leaf, dimensions in tried.items():
+                r, d, n = found[leaf], dimensions[nth], open_leaves[leaf]
+                if leaf not in best or best[leaf][0] > r["weight"] * UNEVEN:
+                    ranges[leaf] = [d, r[f"{d}_low"], r[f"{d}_high"] + 1, r["weight"] * (n // 2) / n, 0, r["weight"]]
+            for leaf, (error, cut) in (_weighted_quantiles(placed, ranges) if ranges else {}).items():
+                if leaf not in best or error < best[leaf][0]:
+                    best[leaf] = (error, tried[leaf][nth], cut)
+        splits |= {leaf: (d, cut) for leaf, (_, d, cut) in best.items()}
         nxt = {}
         for leaf in order:
             n = open_leaves[leaf]
@@ -86,10 +97,10 @@ def kd_splits(points: DataFrame, shards: int) -> tuple[dict[int, tuple[str, int]
     return splits, {leaf: i for i, leaf in enumerate(order)}
 
 
-def _weighted_quantiles(placed: DataFrame, ranges: dict[int, list]) -> dict[int, int]:
-    """For each leaf the coordinate at which the weight below comes nearest to what is wanted. ranges: leaf -> [dimension, low,
+def _weighted_quantiles(placed: DataFrame, ranges: dict[int, list]) -> dict[int, tuple[float, int]]:
+    """For each leaf (how far off, coordinate) where the weight below comes nearest to what is wanted. ranges: leaf -> [dimension, low,
     high, wanted weight, weight below low, weight of the leaf]."""
-    cuts: dict[int, int] = {}
+    cuts: dict[int, tuple[float, int]] = {}
     while len(cuts) < len(ranges):
         todo = {k: v for k, v in ranges.items() if k not in cuts}
         bins = None
@@ -112,7 +123,7 @@ def _weighted_quantiles(placed: DataFrame, ranges: dict[int, list]) -> dict[int,
                     break
                 below += w
             if shift == 0 or w <= weight / 5000:  # one coordinate, or too light to matter: cut at its nearer end
-                cuts[leaf] = a if wanted - below <= below + w - wanted else z
+                cuts[leaf] = min((abs(wanted - below), a), (abs(below + w - wanted), z))
             else:
                 ranges[leaf] = [dimension, a, z, wanted, below, weight]
     return cuts
