@@ -17,7 +17,10 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from tillroll.plans import literal, params as P, queries as Q  # noqa: E402
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+import selfjoin as literal  # noqa: E402
+from tillroll.plans import params as P, queries as Q  # noqa: E402
 from tillroll.plans import reports  # noqa: E402
 from tillroll.session import get_spark  # noqa: E402
 from tillroll.sources import fixtures as fx  # noqa: E402
@@ -60,7 +63,7 @@ def main() -> None:
         return segments.order_rollup(lines, P.FLAGSHIP)
 
     def transition_orders():
-        _, _, orders = reports.transitions_inputs(fx.baskets(t), fx.product_collections(t), fx.products(t),
+        _, orders = reports.transitions_inputs(fx.baskets(t), fx.product_collections(t), fx.products(t),
                                                   flagship=P.FLAGSHIP, start=P.BASKET_START, end=P.BASKET_END,
                                                   launch=P.LAUNCH_DATE)
         return orders

@@ -33,3 +33,16 @@ def test_funnel_daily_period(spark):
     df = spark.createDataFrame(rows, "derived_tstamp timestamp, domain_sessionid string, se_label string")
     out = search_funnel(df, period="day").collect()
     assert [r["total_sessions"] for r in out] == [1, 1]
+
+
+def test_funnel_with_other_steps(spark):
+    import pytest
+
+    rows = [(ts("2024-01-01 10:00:00"), "a", "view"), (ts("2024-01-01 11:00:00"), "a", "buy"), (ts("2024-01-02 10:00:00"), "b", "view")]
+    df = spark.createDataFrame(rows, "derived_tstamp timestamp, domain_sessionid string, se_label string")
+    r = search_funnel(df, steps={"opened": "view", "bought": "buy"}).first()
+    assert (r["total_sessions"], r["sessions_opened"], r["sessions_bought"]) == (2, 2, 1)
+    r = search_funnel(df, steps={"opened": "view", "bought": "buy"}, columns={"any": ("opened", "bought")}).first()
+    assert r["sessions_any"] == 3
+    with pytest.raises(ValueError):
+        search_funnel(df, steps={"opened": "view"}, columns={"x": ("bought",)})

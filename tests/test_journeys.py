@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillroll.operators import journeys
-from tillroll.plans import literal
+from tests import selfjoin as literal
 
 ORDER_SCHEMA = ("order_id long, user_id long, order_date date, order_month date, order_revenue_total long, "
                 "order_margin_total long, units long, has_fv int, has_game int, has_dlc int, has_other int, "
@@ -148,3 +148,51 @@ def test_next_flagged_bucket_unit_does_not_change_result(spark):
     for unit in ("hour", "minute"):
         other = journeys.next_flagged_orders(orders, unit)
         assert day.exceptAll(other).count() == 0 and other.exceptAll(day).count() == 0
+
+
+def test_next_flagged_within_one_day_is_linear_and_exact(spark):
+    """All orders of one user fall on one day; the answer is compared with a backward scan in plain Python."""
+    import random
+    import time
+
+    def run(n):
+        rnd = random.Random(n)
+        rows = []
+        for oid in range(n):
+            t = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rnd.randrange(86_400))
+            rows.append((oid, 7, t, t.date(), int(rnd.random() < 0.01), int(rnd.random() < 0.01)))
+        df = spark.createDataFrame(rows, TRANS_SCHEMA).repartition(4).cache()
+        df.count()
+        began = time.time()
+        got = {(r["kind"], r["source_order_id"]): r["target_order_id"] for r in journeys.next_flagged_orders(df, "day").collect()}
+        took = time.time() - began
+        want, game, fv = {}, None, None
+        for oid, _, _, _, has_fv, has_game in sorted(rows, key=lambda r: (r[2], r[0]), reverse=True):
+            game, fv = (oid if has_game else game), (oid if has_fv else fv)
+            if has_fv and game is not None:
+                want["fv2game", oid] = game
+            if has_game and fv is not None:
+                want["game2fv", oid] = fv
+        assert got == want
+        return took
+
+    run(1000)
+    small = run(10_000)
+    assert run(40_000) < 4 * small + 3
+
+
+def test_report_sort_splits_a_month(spark):
+    rows = [(i, i % 50, dt.date(2024, 1, 1), "game") for i in range(4000)]
+    df = spark.createDataFrame(rows, "order_id long, user_id long, order_month date, order_type string").selectExpr(
+        "*", "cast(1 as decimal(18,2)) AS order_revenue_total", "cast(1 as decimal(18,2)) AS order_margin_total",
+        "cast(null as decimal(18,0)) AS days_since_prev_order", "0 AS seq_g2fv_30d_count", "0 AS seq_fv2g_30d_count",
+        "0 AS has_fv", "0 AS has_other", "0 AS has_dlc", "1 AS has_game", "order_month AS first_order_month")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = journeys.order_journey_report(df)
+        sizes = [n for n in out.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect() if n]
+        assert len(sizes) > 1 and max(sizes) < 3000
+        got = [(r["user_id"], r["order_id"]) for r in out.collect()]
+        assert got == sorted(got)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -83,7 +83,7 @@ def _random_names(rnd, n):
     return sorted(names)
 
 
-@pytest.mark.parametrize("threshold,blocking", [(90, None), (80, None), (70, None), (90, 3)])
+@pytest.mark.parametrize("threshold,blocking", [(90, None), (80, None), (67, None), (90, 3)])
 def test_fuzzy_join_is_exact(spark, threshold, blocking):
     rnd = random.Random(threshold + (blocking or 0))
     left, right = _random_names(rnd, 120), _random_names(rnd, 150)
@@ -102,11 +102,34 @@ def test_candidates_avoid_all_pairs(spark):
     names = sorted({"games " + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
                     for _ in range(300)})
     df = spark.createDataFrame([(x,) for x in names], "norm string")
-    alpha, beta = matching._bounds(90)
-    pref = matching._prefixed(df, df, alpha, beta)
+    pref = matching._prefixed(df, df, *matching._bounds(90))
     assert pref.where("kind = 't' AND key = 'games' AND pref").count() == 0  # the hot token indexes no name
-    n = matching.candidate_pairs(df, df, 90).count()
-    assert n < 0.1 * len(names) ** 2  # the bigram prefixes keep a few percent of the ~90,000 pairs
+    assert matching.candidate_pairs(df, df, 90).count() < 0.01 * len(names) ** 2
+
+
+def test_candidates_of_word_list_names(spark):
+    # names of 2-3 words from a 400-word list: what reaches the scorer is a vanishing share of all pairs
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(4, 9))) for _ in range(400)]
+    shares = []
+    for n in (400, 1600):
+        left, right = ([" ".join(rnd.choice(words) for _ in range(rnd.randint(2, 3))) for _ in range(n)] for _ in range(2))
+        dfs = [spark.createDataFrame([(x,) for x in sorted(set(v))], "norm string") for v in (left, right)]
+        shares.append(matching.candidate_pairs(*dfs, 90).count() / n ** 2)
+    assert shares[1] < 0.01 and shares[0] < 0.01
+
+
+@pytest.mark.parametrize("threshold", [0, 40, 60, 66])
+def test_thresholds_without_a_complete_filter_are_refused(spark, threshold):
+    df = spark.createDataFrame([("xaybzcw",)], "norm string")
+    with pytest.raises(ValueError):
+        matching.best_matches(df, df, threshold)
+
+
+def test_names_of_other_scripts(spark):
+    rows = [("Газпром Игры",), ("Ελλάς Ώρα ΑΕ",), ("ＡＣＭＥ ｌｔｄ",), ("Ștefan Việt",), ("ACME™",), ("株式会社テスト",)]
+    df = spark.createDataFrame(rows, "n string").select(normalize_name("n").alias("x"))
+    assert [r["x"] for r in df.collect()] == ["gazprom igry", "ellas ora ae", "acme", "stefan viet", "acmetm", "株式会社テスト"]
 
 
 def test_fuzzy_join_empty_and_ties(spark):

@@ -66,12 +66,19 @@ def test_partner_totals_keep_currency_spellings(spark):
     assert rows == [("USD", 1.0), ("USD", 2.0)]
 
 
-def test_reduce_to_keys_both_ways(spark):
+def test_reduce_to_keys(spark):
     big = spark.createDataFrame([(f"i{i}", i) for i in range(100)], "iid string, v int")
     keys = spark.createDataFrame([("i1",), ("i5",), (None,), ("zz",)], "iid string")
-    small = reconcile.reduce_to_keys(big, keys, "iid", max_keys=10)
-    assert sorted(r["iid"] for r in small.collect()) == ["i1", "i5"]
-    assert reconcile.reduce_to_keys(big, keys, "iid", max_keys=1).count() == 100  # over the bound: untouched
+    assert sorted(r["iid"] for r in reconcile.reduce_to_keys(big, keys, "iid").collect()) == ["i1", "i5"]
+
+
+def test_lines_are_reduced_before_any_join(spark, sf001):
+    from tillroll.plans import queries
+
+    plan = queries.queries()["overcharge_detail"](spark, sf001)._jdf.queryExecution().optimizedPlan().toString()
+    at = [i for i, x in enumerate(plan.split("\n")) if "LeftSemi" in x]
+    others = [i for i, x in enumerate(plan.split("\n")) if "Join LeftOuter" in x]
+    assert len(at) == 1 and at[0] > max(i for i in others if i < at[0]) and len([i for i in others if i < at[0]]) >= 5
 
 
 def test_first_script_switches(spark):
@@ -105,8 +112,8 @@ def test_royalty_totals_name_source(spark):
     prods = spark.createDataFrame([(1, "s1")], "product_id long, supplier_id string")
     sups = spark.createDataFrame([("s1", "Supplier One", True)], "supplier_id string, supplier_name string, vaultn boolean")
     kw = dict(start="2024-07-01", end="2024-08-01")
-    by_sup = reconcile.supplier_royalty_totals(od, prods, sups, **kw).collect()
-    by_line = reconcile.supplier_royalty_totals(od, prods, sups, name_from="line", **kw).collect()
+    by_sup = reconcile.supplier_royalty_totals(od, prods, sups, partner_flag="vaultn", **kw).collect()
+    by_line = reconcile.supplier_royalty_totals(od, prods, sups, name_from="line", partner_flag="vaultn", **kw).collect()
     assert [(r["supplier_name"], r["royalties"]) for r in by_sup] == [("Supplier One", D("2.50"))]
     assert [(r["supplier_name"], r["royalties"]) for r in by_line] == [("line name", D("2.50"))]
 

@@ -23,7 +23,7 @@ def test_rate_fallback_and_missing_rate(spark):
         (3, 2, d3, "COMPLETE", True, "S", "Q", None, "B", 2000, None, None, None, 100, D('0.1'), None, None, None, None),
     ], SALES)
     shop = spark.createDataFrame([(d1, "USD", 1.2, 1.0), (d1, "USD", 1.4, 1.0), (d2, "USD", 5.0, 0.0)], ORDERS)
-    out = {r["name"]: r for r in royalty.royalty_statement(sales, _products(spark), shop, start="2024-07-01",
+    out = {r["name"]: r for r in royalty.royalty_statement(sales, _products(spark), shop, channel_col="drivethrurpg", start="2024-07-01",
                                                            end="2024-08-01", as_of="2024-07-01").collect()}
     p = out["P"]
     # day 1: rate 1.3; day 2: zero denominator -> null daily rate -> fallback (as-of day 1) 1.3
@@ -38,7 +38,7 @@ def test_no_rate_at_all_keeps_count(spark):
     sales = spark.createDataFrame([(1, 1, d, "COMPLETE", True, "S", "P", "X", None, 1000, None, None, None, 50, D("0.1"),
                                     None, None, None, None)], SALES)
     shop = spark.createDataFrame([], ORDERS)
-    r = royalty.royalty_statement(sales, _products(spark), shop, start="2024-07-01", end="2024-08-01",
+    r = royalty.royalty_statement(sales, _products(spark), shop, channel_col="drivethrurpg", start="2024-07-01", end="2024-08-01",
                                   as_of="2024-07-01").collect()[0]
     assert r["qty"] == 1 and r["value"] is None and r["name"] == "P\n in X"
 
@@ -55,7 +55,7 @@ def test_refund_sign_table(spark):
     ], SALES)
     shop = spark.createDataFrame([(d, "USD", 2.0, 1.0)], ORDERS)
     notes = spark.createDataFrame([(1, dt.date(2024, 7, 20), "Partial refund of 1")], "order_id long, date date, note string")
-    out = royalty.refund_statement(sales, _products(spark), shop, notes, min_order_date="2024-01-01",
+    out = royalty.refund_statement(sales, _products(spark), shop, notes, channel_col="drivethrurpg", min_order_date="2024-01-01",
                                    event_from="2024-07-01", event_to="2024-07-31", as_of="2024-06-01").collect()
     assert len(out) == 1  # bundle with 0 royalty dropped, COMPLETE dropped, August event dropped
     r = out[0]
@@ -77,6 +77,6 @@ def test_net_is_rounded_on_its_own(spark):
     sales = spark.createDataFrame([(1, 1, d, "COMPLETE", True, "S", "P", None, None, 2002, 1, None, None, 0,
                                     D("0.1"), None, None, None, None)], SALES)
     shop = spark.createDataFrame([(d, "USD", 0.25, 1.0)], ORDERS)
-    r = royalty.royalty_statement(sales, _products(spark), shop, start="2024-07-01", end="2024-08-01",
+    r = royalty.royalty_statement(sales, _products(spark), shop, channel_col="drivethrurpg", start="2024-07-01", end="2024-08-01",
                                   as_of="2024-07-01").collect()[0]
     assert (r["value"], r["deductions"], r["net"]) == (5.01, 0.0, 5.0)

@@ -58,3 +58,29 @@ def test_sql_frame_binds_parameters(spark, sf001):
     df = sql_frame(spark, "SELECT count(*) AS n FROM shop_orders_io5 WHERE o_orderdate >= :start AND o_orderdate < :end",
                    start=dt.date(1998, 7, 1), end=dt.date(1998, 8, 1))
     assert df.first()["n"] > 0
+
+
+def test_jdbc_options_read_a_query_in_partitions():
+    from tillroll.sources.tables import jdbc_options
+
+    o = jdbc_options("jdbc:x", "SELECT * FROM t;", "id", 0, 100, 4, properties={"user": "u"})
+    assert "query" not in o and o["dbtable"] == "(SELECT * FROM t) AS source_rows"
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"], o["user"]) == ("id", "0", "100", "4", "u")
+
+
+def test_dates_as_partners_write_them(spark):
+    cells = ["2025-07-31", "2025-07-31 10:11:12", "07/31/2025", "31/07/2025", "31 Jul 2025", "31.7.2025", "20250731", "n/a", None]
+    df = spark.createDataFrame([(c,) for c in cells], "d string")
+    got = [r[0] for r in df.select(contracts.lenient_date("d")).collect()]
+    assert got == [dt.date(2025, 7, 31)] * 7 + [None, None]
+    day_first = spark.createDataFrame([("03/04/2025",)], "d string").select(contracts.lenient_date("d", ("d/M/yyyy",)))
+    assert day_first.first()[0] == dt.date(2025, 4, 3)
+
+
+def test_single_file_is_bounded(spark, monkeypatch):
+    base = tempfile.mkdtemp(prefix="tillroll-one-")
+    sinks.write_csv(spark.range(10), f"{base}/a", single_file=True)
+    assert len([f for f in os.listdir(f"{base}/a") if f.startswith("part-")]) == 1
+    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 5)
+    with pytest.raises(ValueError):
+        sinks.write_csv(spark.range(10), f"{base}/b", single_file=True)

@@ -1,6 +1,6 @@
 """Company-name normalisation as built-in column expressions.
 
-null -> '', transliterate to ASCII, lower-case, '&' -> ' and ', every non-alphanumeric -> space, drop company-form
+null -> '', lower-case, transliterate to ASCII, '&' -> ' and ', all but letters and digits -> space, drop company-form
 words, squeeze spaces, trim. All JVM-side (`translate`, `regexp_replace`), no UDF.
 """
 
@@ -16,42 +16,50 @@ COMPANY_SUFFIXES = (
     "ltd", "limited", "inc", "corp", "corporation", "co", "company", "gmbh", "ag", "plc", "llc", "llp", "pte", "pty",
     "bv", "nv", "sas", "sl", "sa", r"sp\s*z\s*o\s*o", "oy", "oyj", "ab",
 )
-# Letters whose ASCII form is not their decomposition's base letter.
-MULTI_LETTER = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "TH", "ð": "d", "Ð": "D",
-                "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ı": "i", "ħ": "h", "Ħ": "H",
-                "ŀ": "l", "Ŀ": "L", "ŋ": "ng", "Ŋ": "NG", "ĸ": "q", "ŉ": "'n", "ſ": "s", "Ĳ": "IJ", "ĳ": "ij"}
+# Lower-case letters and signs whose ASCII form is not their decomposition's base letter.
+MULTI_LETTER = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d", "ø": "o", "đ": "d", "ł": "l", "ı": "i", "ħ": "h",
+                "ŀ": "l", "ŋ": "ng", "ĸ": "q", "ŉ": "'n", "ſ": "s", "ĳ": "ij", "ﬁ": "fi", "ﬂ": "fl", "™": "tm"}
+# Common transliteration of Cyrillic and Greek lower-case letters.
+CYRILLIC = {"а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k",
+            "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh",
+            "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "iu", "я": "ia",
+            "ё": "e", "є": "ie", "і": "i", "ї": "i", "ґ": "g"}
+GREEK = {"α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l",
+         "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph",
+         "χ": "kh", "ψ": "ps", "ω": "o", "ά": "a", "έ": "e", "ή": "e", "ί": "i", "ό": "o", "ύ": "u", "ώ": "o"}
+SEVERAL = MULTI_LETTER | CYRILLIC | GREEK
 
 
-def _single_letter_table() -> tuple[str, str]:
-    """Latin-1 Supplement and Latin Extended-A letters mapped to their NFKD base letter (rule-built)."""
-    src, dst = [], []
-    for code in range(0x00C0, 0x0180):
+def single_letters() -> dict[str, str]:
+    """Accented Latin and full-width characters mapped to their compatibility decomposition's base letter (rule-built)."""
+    table = {}
+    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)):
         ch = chr(code)
-        if ch in MULTI_LETTER:
-            continue
-        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if len(base) == 1 and base.isascii() and base != ch:
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
+        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)).lower()
+        if ch not in SEVERAL and len(base) == 1 and base.isascii() and base != ch:
+            table[ch] = base
+    return table
 
 
-_SRC, _DST = _single_letter_table()
+_SINGLE = single_letters() | {k: v for k, v in SEVERAL.items() if len(v) == 1}
+_SRC, _DST = "".join(_SINGLE), "".join(_SINGLE.values())
+_REPLACED = {k: v for k, v in SEVERAL.items() if len(v) != 1}
 SUFFIX_PATTERN = r"\b(" + "|".join(COMPANY_SUFFIXES) + r")\b"
 
 
 def transliterate(col: Column) -> Column:
+    """Lower-case text in ASCII where a rule or table has its letters (Latin, Greek, Cyrillic, full width); others stay."""
     out = F.translate(col, _SRC, _DST)
-    for k, v in MULTI_LETTER.items():
+    for k, v in _REPLACED.items():
         out = F.replace(out, F.lit(k), F.lit(v))
     return out
 
 
 def normalize_name(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    s = F.lower(transliterate(F.coalesce(c.cast("string"), F.lit(""))))
+    s = transliterate(F.lower(F.coalesce(c.cast("string"), F.lit(""))))
     s = F.replace(s, F.lit("&"), F.lit(" and "))
-    s = F.regexp_replace(s, r"[^a-z0-9\s]", " ")
+    s = F.regexp_replace(s, r"[^\p{L}\p{N}\s]", " ")  # letters of other scripts stay, so that no name becomes empty
     s = F.regexp_replace(s, SUFFIX_PATTERN, " ")
     s = F.regexp_replace(s, r"\s+", " ")
     return F.trim(s)

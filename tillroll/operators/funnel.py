@@ -8,7 +8,10 @@ one row per period out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The reference's search-box steps, in funnel order (output column -> event label).
@@ -21,6 +24,12 @@ SEARCH_STEPS = {
     "clicked_view_all": "click-view-all",
 }
 
+# The reference's funnel columns and the step flags that each adds up.
+SEARCH_COLUMNS = {
+    "focused": ("focused",), "typed": ("typed",), "saw_suggestions": ("saw_suggestions",),
+    "submitted": ("submitted_enter", "submitted_click"), "clicked_view_all": ("clicked_view_all",),
+}
+
 # Period start by calendar date (TZ-free for TIMESTAMP_NTZ; zoned timestamps use the session time zone).
 PERIOD_UNITS = {"month": "MM", "day": "DD", "week": "week", "year": "year"}
 
@@ -37,16 +46,22 @@ def session_step_flags(events: DataFrame, steps: dict[str, str] = SEARCH_STEPS,
     return ev.groupBy("event_date", "session_id").agg(*flags)
 
 
-def search_funnel(events: DataFrame, period: str = "month", steps: dict[str, str] = SEARCH_STEPS) -> DataFrame:
-    """Sessions per period reaching each search step. `sessions_submitted` adds the two submit flags, so a session
+def funnel_sums(steps: dict[str, str], columns: dict[str, tuple[str, ...]] | None = None) -> list[Column]:
+    """The second level's aggregates: sessions, and per output column the sum of its step flags. Steps other than the
+    search box's get a column each unless `columns` says otherwise."""
+    if columns is None:
+        columns = SEARCH_COLUMNS if steps == SEARCH_STEPS else {name: (name,) for name in steps}
+    unknown = {f for flags in columns.values() for f in flags} - set(steps)
+    if unknown:
+        raise ValueError(f"funnel columns use unknown steps: {sorted(unknown)}")
+    return [F.count(F.lit(1)).alias("total_sessions"),
+            *[F.sum(reduce(add, map(F.col, flags))).cast("bigint").alias(f"sessions_{name}")
+              for name, flags in columns.items()]]
+
+
+def search_funnel(events: DataFrame, period: str = "month", steps: dict[str, str] = SEARCH_STEPS,
+                  columns: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Sessions per period reaching each step (by default the search box's). `sessions_submitted` adds the two submit flags, so a session
     that used both ways counts twice, as in the reference; a session spanning two periods counts in each."""
     per_session = session_step_flags(events, steps, period)
-    out = per_session.groupBy("event_date").agg(
-        F.count(F.lit(1)).alias("total_sessions"),
-        F.sum("focused").cast("bigint").alias("sessions_focused"),
-        F.sum("typed").cast("bigint").alias("sessions_typed"),
-        F.sum("saw_suggestions").cast("bigint").alias("sessions_saw_suggestions"),
-        F.sum(F.col("submitted_enter") + F.col("submitted_click")).cast("bigint").alias("sessions_submitted"),
-        F.sum("clicked_view_all").cast("bigint").alias("sessions_clicked_view_all"),
-    )
-    return out.orderBy("event_date")
+    return per_session.groupBy("event_date").agg(*funnel_sums(steps, columns)).orderBy("event_date")

@@ -55,6 +55,7 @@ def rates_to_gbp(shop_orders: DataFrame, rate_scale: int = 6) -> DataFrame:
     AVG(revenue_inc_vat / local_price) per currency and month; GBP is 1 (F25's rate source, re-aimed from a bundled
     rate library to a table). Bounded by months x currencies."""
     o = shop_orders.where(F.col("local_price") != 0)
+    o = o.withColumn("currency", F.upper(F.trim("currency")))  # as the totals that are looked up (J22)
     t = o.groupBy("currency", F.trunc(F.to_date("order_date"), "MM").alias("rate_date")).agg(
         F.avg(F.col("revenue_inc_vat") / F.col("local_price")).alias("r"))
     rate = F.when(F.col("currency") == "GBP", F.lit(1)).otherwise(F.col("r"))

@@ -120,7 +120,8 @@ def order_journey_rows(orders: DataFrame, window_days: int, bare_numeric: str =
 
 
 def order_journey_report(rows: DataFrame, bare_numeric: str = "decimal(18,0)", sort: bool = True) -> DataFrame:
-    """A8 + W4 + O1: one row per (order, user, month, type), newest month first.
+    """A8 + W4 + O1: one row per (order, user, month, type), newest month first, then by user and order, so that the
+    range partitions of the sort split a month.
 
     The output has one row per order, so the final sort is a full range shuffle; `sort=False` skips it when the
     report is written to a table rather than read in order."""
@@ -135,7 +136,7 @@ def order_journey_report(rows: DataFrame, bare_numeric: str = "decimal(18,0)", s
         F.min("first_order_month").alias("first_order_month"),
     )
     agg = agg.withColumn("months_since_first", months_between_boundaries("first_order_month", "order_month"))
-    return agg.orderBy(F.col("order_month").desc()) if sort else agg
+    return agg.orderBy(F.col("order_month").desc(), USER, "order_id", "order_type") if sort else agg
 
 
 # ---------------------------------------------------------------- P2 building blocks
@@ -206,30 +207,32 @@ def first_order_cohorts(orders: DataFrame, launch) -> DataFrame:
     return per_user.select(USER, cohort.alias("cohort_type")).where(F.col("cohort_type").isNotNull())
 
 
-def next_flagged_orders(orders: DataFrame, bucket_unit: str = "day") -> DataFrame:
+def next_flagged_orders(orders: DataFrame, bucket_unit: str = "hour") -> DataFrame:
     """J9 for both directions in one pass: for every flagship order the same-or-next game order of the user, and for
     every game order the same-or-next flagship order (order = first line time, then order id; S27: a mixed basket is
     its own successor). Same rows as the reference's `seq >= seq` self join + ROW_NUMBER = 1.
 
     Forward fill in two levels so no window runs over a user's raw orders: inside the order's (user, time bucket) with
     a window, and across buckets with a window over the per-(user, bucket) summary, whose size per user is bounded by
-    the calendar. `bucket_unit` ('day', 'hour', 'minute') trades the two: finer buckets split a user who orders very
-    often within one day; the result does not depend on it."""
+    the calendar. Both windows run in descending order with a frame up to the current row, which Spark extends row by
+    row; the mirrored frame (current row to the end) would be rescanned for every row. `bucket_unit` ('day', 'hour',
+    'minute') trades the two levels: finer buckets split a user who orders very often within one hour; the result does
+    not depend on it."""
     o = orders.where(F.col(USER).isNotNull()).withColumn(
         "_b", F.date_trunc(bucket_unit, F.col("order_ts")))
     pos = F.struct("order_ts", "order_id", DAY)
     hit_game = F.when(F.col("has_game") == 1, pos)
     hit_fv = F.when(F.col("has_fv") == 1, pos)
-    same_day = Window.partitionBy(USER, "_b").orderBy("order_ts", "order_id") \
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    to_here = Window.partitionBy(USER, "_b").orderBy(F.col("order_ts").desc(), F.col("order_id").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = o.select(USER, "order_id", DAY, "_b", "has_fv", "has_game",
-                 F.first(hit_game, ignorenulls=True).over(same_day).alias("_g_in"),
-                 F.first(hit_fv, ignorenulls=True).over(same_day).alias("_f_in"))
-    later = Window.partitionBy(USER).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+                 F.last(hit_game, ignorenulls=True).over(to_here).alias("_g_in"),
+                 F.last(hit_fv, ignorenulls=True).over(to_here).alias("_f_in"))
+    later = Window.partitionBy(USER).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     days = o.groupBy(USER, "_b").agg(F.min(hit_game).alias("_g"), F.min(hit_fv).alias("_f")).select(
         F.col(USER).alias("_u"), F.col("_b").alias("_d"),
-        F.first("_g", ignorenulls=True).over(later).alias("_g_later"),
-        F.first("_f", ignorenulls=True).over(later).alias("_f_later"))
+        F.last("_g", ignorenulls=True).over(later).alias("_g_later"),
+        F.last("_f", ignorenulls=True).over(later).alias("_f_later"))
     j = x.join(days, (x[USER] == days["_u"]) & (x["_b"] == days["_d"]), "left")
     nxt_g = F.coalesce("_g_in", "_g_later")
     nxt_f = F.coalesce("_f_in", "_f_later")

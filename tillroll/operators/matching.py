@@ -10,15 +10,18 @@ keys are chosen so that every pair able to reach the threshold shares one (an ex
    shared weight shares a token of one side's prefix, so prefix tokens are joined with all tokens of the other side.
 2. Character path. ratio(T+A, T+B) >= t bounds indel(A, B), and each insertion or deletion changes at most three
    of the name's token-padded bigrams, so the two bigram multisets overlap in at least beta = (1 - 3u) / (1 + u)
-   of either one (0.64 at t = 90). With the same rare-first order, prefixes of length |G| - ceil(beta |G|) + 1 on
-   both sides must intersect (the prefix-filtering lemma), so prefix bigrams are equi-joined with prefix bigrams.
-
-A frequent token or bigram enters a name's prefix only when the name consists mostly of frequent parts, so hot keys
-do not multiply into all pairs of their group. The filter is proven exact for thresholds above 2/3 (the default is 90);
-below that the bigram bound is void, every bigram is indexed, and a pair sharing neither a token nor a bigram is not
-scored. Candidates are de-duplicated, scored by an Arrow UDF, and the best
-match per left name is a `min_by` aggregate (score desc, then name asc, the first best wins). All of this runs on
-distinct normalised names, so repeated names in the inputs cost nothing.
+   of either one (0.64 at t = 90). With the same rare-first order, prefixes of length |G| - ceil(beta |G|) + k on
+   both sides share at least k elements (the prefix-filtering lemma, for k up to the overlap). Names whose overlap
+   must be two or more are joined on pairs of prefix bigrams (k = 2), shorter ones on single ones: bigrams are few
+   and frequent, pairs of them are not.
+
+Candidates must then reach one of the two bounds in full (shared token weight, or multiset overlap), computed with
+array functions before any Python runs. A frequent token or bigram enters a name's prefix only when the name consists
+mostly of frequent parts, so hot keys do not multiply into all pairs of their group. The filter is exact for
+thresholds above 2/3 (the default is 90); below that the bigram bound is void, so such thresholds are refused.
+The remaining pairs are scored by an Arrow UDF, and the best match per left name is a `min_by` aggregate (score desc,
+then name asc, the first best wins). All of this runs on distinct normalised names, so repeated names in the inputs
+cost nothing.
 """
 
 from __future__ import annotations
@@ -33,63 +36,70 @@ from tillroll.session import cut_lineage
 
 def _bounds(threshold: float) -> tuple[float, float]:
     u = 1.0 - threshold / 100.0
+    if 1.0 - 3.0 * u <= 0:
+        raise ValueError("thresholds up to 66.7 are not supported: no filter on shared parts is complete there")
     if u <= 0:
         return 1.0, 1.0
     rho = (1.0 - u) / (2.0 * u)
     alpha = rho / (1.0 + rho)
-    beta = max(0.0, (1.0 - 3.0 * u) / (1.0 + u))
+    beta = (1.0 - 3.0 * u) / (1.0 + u)
     return alpha - 1e-9, beta - 1e-9
 
 
-def _elements(names: DataFrame, side: str) -> DataFrame:
-    """One row per prefix-filter element of each name: its distinct tokens (kind 't', weight length + 1) and its
-    token-padded bigrams numbered by occurrence (kind 'b', weight 1). Built with higher-order functions inside one
-    projection, so no shuffle is needed to number repeated bigrams."""
+def _parts(names: DataFrame) -> DataFrame:
+    """norm, its distinct tokens and its token-padded bigrams numbered by occurrence, so that arrays act as multisets."""
     toks = "array_distinct(split(norm, ' '))"
-    bgs = f"flatten(transform({toks}, t -> transform(sequence(1, length(t) + 1), i -> substring(concat('^', t, '$'), i, 2))))"
-    e = names.select("norm", F.expr(toks).alias("_t"), F.expr(bgs).alias("_b"))
-    e = e.select("norm", F.expr(
-        "concat("
-        "transform(_t, x -> named_struct('kind', 't', 'key', x, 'w', length(x) + 1)), "
-        "transform(_b, (x, i) -> named_struct('kind', 'b', 'key', "
-        "concat(x, '#', cast(size(filter(slice(_b, 1, i + 1), y -> y = x)) as string)), 'w', 1)))").alias("e"))
-    return e.select("norm", F.lit(side).alias("side"), F.explode("e").alias("e")).select(
-        "norm", "side", F.col("e.kind").alias("kind"), F.col("e.key").alias("key"), F.col("e.w").alias("w"))
+    bgs = "flatten(transform(toks, t -> transform(sequence(1, length(t) + 1), i -> substring(concat('^', t, '$'), i, 2))))"
+    p = names.select("norm", F.expr(toks).alias("toks")).withColumn("raw", F.expr(bgs))
+    return p.select("norm", "toks", F.expr("transform(raw, (x, i) -> concat(x, '#', cast(size(filter("
+                                           "slice(raw, 1, i + 1), y -> y = x)) as string)))").alias("bgs"))
 
 
 def _prefixed(left: DataFrame, right: DataFrame, alpha: float, beta: float) -> DataFrame:
-    """Elements of both sides with `pref` = element is in its name's prefix under the global rare-first order.
-
-    Tokens: the shortest head whose remaining weight is below alpha of the name's weight. Bigrams: the first
-    |G| - ceil(beta |G|) + 1 elements."""
-    els = _elements(left, "L").unionByName(_elements(right, "R"))
-    freq = els.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("df"))
-    e = els.join(freq, ["kind", "key"])
-    ordered = Window.partitionBy("side", "norm", "kind").orderBy("df", "key")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    e = e.select("*", F.sum("w").over(whole).alias("total_w"),
-                 F.coalesce(F.sum("w").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-                 .alias("before"),
-                 F.row_number().over(ordered).alias("pos"))
-    tok_pref = F.col("before") <= (1 - alpha) * F.col("total_w")
-    # bigram weights are 1, so total_w is the multiset size |G|
-    bg_pref = F.col("pos") <= F.col("total_w") - F.ceil(F.col("total_w") * F.lit(beta)) + 1
-    return e.select("norm", "side", "kind", "key",
-                    F.when(F.col("kind") == "t", tok_pref).otherwise(bg_pref).alias("pref"))
+    """Filter elements of both sides: kind 't' (tokens), 1 (prefix bigrams) or 2 (pairs of prefix bigrams); `pref` tells whether
+    the element indexes its name, `k` how many shared bigrams the name's overlap allows to ask for (1 or 2).
+
+    Rare-first order. Tokens: the shortest head whose remaining weight is below alpha of the name's weight. Bigrams: the
+    first |G| - ceil(beta |G|) + k elements."""
+    parts = _parts(left).withColumn("side", F.lit("L")).unionByName(_parts(right).withColumn("side", F.lit("R")))
+    e = parts.select("side", "norm", F.explode(F.expr(
+        "concat(transform(toks, x -> named_struct('kind', 't', 'key', x, 'w', length(x) + 1)), "
+        "transform(bgs, x -> named_struct('kind', 'b', 'key', x, 'w', 1)))")).alias("e")).select("side", "norm", "e.*")
+    freq = e.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("df"))
+    # a name's elements in rare-first order: at most its length
+    listed = e.join(freq, ["kind", "key"]).groupBy("side", "norm").agg(
+        F.sort_array(F.collect_list(F.when(F.col("kind") == "t", F.struct("df", "key", "w")))).alias("t"),
+        F.sort_array(F.collect_list(F.when(F.col("kind") == "b", F.struct("df", "key")))).alias("b"))
+    need = F.ceil(F.size("b") * F.lit(beta)).cast("int")
+    k = F.greatest(F.lit(1), F.least(F.lit(2), need))
+    tokens = F.expr(f"""transform(t, (x, i) -> named_struct('kind', 't', 'key', x.key, 'pref',
+        aggregate(slice(t, 1, i), 0, (s, y) -> s + y.w) <= (1 - {alpha!r}) * aggregate(t, 0, (s, y) -> s + y.w)))""")
+    singles = F.expr("transform(slice(b, 1, size(b) - need + 1), x -> named_struct('kind', '1', 'key', x.key, 'pref', true))")
+    pairs = F.expr("""if(k = 2, flatten(transform(slice(b, 1, size(b) - need + 2), (x, i) -> transform(
+        slice(b, i + 2, greatest(size(b) - need + 2 - i - 1, 0)),
+        y -> named_struct('kind', '2', 'key', concat(x.key, ' ', y.key), 'pref', true)))),
+        cast(array() as array<struct<kind: string, key: string, pref: boolean>>))""")
+    # pairs are listed in rare-first order on both sides, so equal pairs have equal keys
+    return listed.withColumn("need", need).withColumn("k", k).select(
+        "side", "norm", "k", F.explode(F.concat(tokens, singles, pairs)).alias("x")).select("side", "norm", "k", "x.*")
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float = 90) -> DataFrame:
-    """Distinct (l, r) normalised-name pairs that can score >= threshold (a superset of them, see module doc).
-
-    Two equi joins on the element key: (left prefix tokens and bigrams) x (right: all tokens, prefix bigrams), and
-    (left: all tokens) x (right prefix tokens). Below t ~ 67 the bigram bound is void and every bigram is kept."""
+    """Distinct (l, r) normalised-name pairs that can score >= threshold (a superset of them, see module doc)."""
     alpha, beta = _bounds(threshold)
-    e = _prefixed(left, right, alpha, max(beta, 0.0))
-    lx = e.where("side = 'L'").select(F.col("norm").alias("l"), "kind", "key", F.col("pref").alias("lp"))
-    rx = e.where("side = 'R'").select(F.col("norm").alias("r"), "kind", "key", F.col("pref").alias("rp"))
-    a = lx.where("lp").join(rx.where("kind = 't' OR rp"), ["kind", "key"]).select("l", "r")
-    b = lx.where("kind = 't'").join(rx.where("kind = 't' AND rp"), ["kind", "key"]).select("l", "r")
-    return a.unionByName(b).distinct()
+    e = _prefixed(left, right, alpha, beta)
+    lx = e.where("side = 'L'").select(F.col("norm").alias("l"), "kind", "key", F.col("pref").alias("lp"), F.col("k").alias("lk"))
+    rx = e.where("side = 'R'").select(F.col("norm").alias("r"), "kind", "key", F.col("pref").alias("rp"), F.col("k").alias("rk"))
+    found = lx.join(rx, ["kind", "key"]).where(
+        "(kind = 't' AND (lp OR rp)) OR (kind = '1' AND least(lk, rk) = 1) OR (kind = '2' AND least(lk, rk) = 2)")
+    pairs = found.select("l", "r").distinct()
+    lp = _parts(left).select(F.col("norm").alias("l"), F.col("toks").alias("lt"), F.col("bgs").alias("lb"))
+    rp = _parts(right).select(F.col("norm").alias("r"), F.col("toks").alias("rt"), F.col("bgs").alias("rb"))
+    weight = "aggregate({0}, 0, (s, x) -> s + length(x) + 1)"
+    shared = weight.format("array_intersect(lt, rt)")
+    bound = (F.expr(shared) >= alpha * F.least(F.expr(weight.format("lt")), F.expr(weight.format("rt")))) | (
+        F.size(F.array_intersect("lb", "rb")) >= beta * F.greatest(F.size("lb"), F.size("rb")))
+    return pairs.join(lp, "l").join(rp, "r").where(bound).select("l", "r")
 
 
 def best_matches(left_names: DataFrame, right_names: DataFrame, threshold: float = 90,

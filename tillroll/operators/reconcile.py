@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import half_open
 from tillroll.functions.money import cent
-from tillroll.session import cut_lineage
 
 # The publisher report's columns and the comparison's added columns, the statuses counted and skipped,
 # the labels written, and the home currency.
@@ -104,30 +103,27 @@ def order_line_terms(order_details: DataFrame, products: DataFrame, suppliers: D
     )
 
 
-def reduce_to_keys(big: DataFrame, keys: DataFrame, key: str, max_keys: int | None = 1_000_000) -> DataFrame:
-    """Keep the rows of `big` whose `key` occurs in `keys` (semi-join reduction before a join).
+def reduce_to_keys(big: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Keep the rows of `big` whose `key` occurs in `keys`: a semi join. At run time Spark broadcasts the distinct keys if
+    they are small and shuffles both sides otherwise."""
+    return big.join(keys.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
 
-    The distinct key set is counted first (one job over the small side); within `max_keys` it is broadcast and the big
-    side is pruned by a shuffle-free semi join. Beyond the bound nothing is broadcast: the big side goes to the
-    shuffle join unchanged (where the runtime bloom filter can still prune it)."""
-    if max_keys is None:
-        return big
-    k = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    if k.count() <= max_keys:
-        return big.join(F.broadcast(k), key, "left_semi")
-    return big
 
+def match_counts(partner: DataFrame, lines: DataFrame) -> DataFrame:
+    """S16 diagnostic: per partner row key (iid) how many own lines it matches; partner rows with 0 are unmatched, those
+    with several fan out in the detail."""
+    own = lines.groupBy("iid").agg(F.count("*").alias("match_count"))
+    p = partner.groupBy("iid").agg(F.count("*").alias("partner_rows"))
+    return p.join(own, "iid", "left").select("iid", "partner_rows", F.coalesce("match_count", F.lit(0)).alias("match_count"))
 
-def overcharge_detail(partner: DataFrame, lines: DataFrame, max_broadcast_keys: int | None = 1_000_000) -> DataFrame:
+
+def overcharge_detail(partner: DataFrame, lines: DataFrame) -> DataFrame:
     """Partner rows left-joined to own lines on iid, with variance columns (J18, F16, F26, F27, PF8).
 
-    The own side has no date filter (S15), so it is the whole order-line table; it is first reduced to the partner's
-    iids (`reduce_to_keys`), then joined. A partner row matching several lines repeats (S16); `old_order` is true
-    when sale and order dates are less than 3 days apart (S18)."""
-    # the aggregated partner report is small (one partner, one month) and is read twice: by the size check and the
-    # join; one reliable checkpoint avoids rebuilding it from the report file
-    partner = cut_lineage(partner)
-    x = partner.join(reduce_to_keys(lines, partner, "iid", max_broadcast_keys), "iid", "left")
+    The own side has no date filter (S15), so `lines` should be built from order lines already reduced to the partner's
+    iids (`reduce_to_keys`, as `reports.distributor_overcharge` does). A partner row matching several lines repeats
+    (S16); `old_order` is true when sale and order dates are less than 3 days apart (S18)."""
+    x = partner.join(lines, "iid", "left")
     g, f = F.col("genba_reported_royalty"), F.col("fanatical_reported_royalty")
     gd, fd = g.cast("double"), f.cast("double")
     derived = {
@@ -179,7 +175,7 @@ def convert_to_gbp(totals: DataFrame, rates: DataFrame, currency: str = CURRENCY
 
 
 def supplier_royalty_totals(order_details: DataFrame, products: DataFrame, suppliers: DataFrame, *, start, end,
-                            statuses=ROYALTY_STATUSES, partner_flag: str = "vaultn",
+                            statuses=ROYALTY_STATUSES, partner_flag: str,
                             name_from: str = "supplier") -> DataFrame:
     """Royalties (major units) per supplier flagged for the partner, lines of [start, end).
 
@@ -210,9 +206,10 @@ def publisher_comparison(report: DataFrame, rates: DataFrame, royalties: DataFra
                          overrides: dict[str, str] | None = None, blocking: int | None = None) -> DataFrame:
     """Partner totals in GBP next to own royalties of the fuzzily matched supplier, and their difference."""
     from tillroll.operators.matching import fuzzy_join
+    from tillroll.session import cut_lineage
 
     conv = convert_to_gbp(partner_totals(report), rates)
-    conv = override_names(conv, PUBLISHER, overrides)
+    conv = cut_lineage(override_names(conv, PUBLISHER, overrides))  # a row per publisher and currency, read twice
     m = fuzzy_join(conv, royalties, PUBLISHER, "supplier_name", threshold, blocking)
     return m.select(PUBLISHER, CURRENCY, PRICE, CONVERTED, "royalties",
                     F.bround(F.col(CONVERTED) - F.col("royalties"), 2).alias("Difference"))

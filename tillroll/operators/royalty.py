@@ -68,7 +68,7 @@ def _statement_aggs(sign: int) -> list[Column]:
 
 
 def royalty_statement(sales: DataFrame, products: DataFrame, shop_orders: DataFrame, *, start, end, as_of,
-                      currency: str = "USD", percentage: str = "0.05", channel_col: str = "drivethrurpg",
+                      channel_col: str, currency: str = "USD", percentage: str = "0.05",
                       statuses=(COMPLETE,)) -> DataFrame:
     """Completed channel sales of the month per supplier, product and bundle/promo, converted with the day's
     implied rate (fallback: the as-of day's), with the exclusivity fee reported as the royalty (S14)."""
@@ -103,8 +103,8 @@ def first_partial_refunds(notes: DataFrame, prefix: str = PARTIAL_REFUND_PREFIX)
 
 
 def refund_statement(sales: DataFrame, products: DataFrame, shop_orders: DataFrame, notes: DataFrame, *,
-                     min_order_date, event_from, event_to, as_of, currency: str = "USD", percentage: str = "0.05",
-                     channel_col: str = "drivethrurpg") -> DataFrame:
+                     min_order_date, event_from, event_to, as_of, channel_col: str, currency: str = "USD",
+                     percentage: str = "0.05") -> DataFrame:
     """Non-completed channel lines whose first refund / fraud / chargeback / partial refund day falls in the
     inclusive window, sign-reversed except `value` (S11). Rate joined on the rate's own date (S10 corrected)."""
     lines = sales.where(F.col(channel_col).eqNullSafe(True) & (F.col("status") != COMPLETE)

@@ -43,3 +43,7 @@ PUBLISHER_OVERRIDES = {"HOT ROD Ltd.": "HOT ROD"}
 PROMO_PUBLISHER_V1 = "red widget ltd."
 # The reference's own defaults: 30-day sequencing window (P1) and 30-day transition window.
 REFERENCE_WINDOW_DAYS = 30
+
+# The sales channel's and the partner's flag columns in the test tables' views.
+ROYALTY_CHANNEL = "drivethrurpg"
+PARTNER_FLAG = "vaultn"

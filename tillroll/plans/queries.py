@@ -14,7 +14,7 @@ from pyspark.sql.types import DecimalType
 
 from tillroll.functions.dates import previous_month
 from tillroll.functions.names import normalize_name
-from tillroll.operators import funnel, journeys, matching, reconcile, segments
+from tillroll.operators import funnel, journeys, matching, reconcile, royalty, segments
 from tillroll.operators import fx as fxop
 from tillroll.plans import params as P
 from tillroll.plans import reports
@@ -128,10 +128,12 @@ def q_order_journey_sales(spark, sf_dir):
 
 # ---------------------------------------------------------------- P2 product transitions
 
+_P2 = dict(flagship=P.FLAGSHIP, start=P.BASKET_START, end=P.BASKET_END, launch=P.LAUNCH_DATE)
+
+
 def _p2_inputs(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return reports.transitions_inputs(fx.baskets(t), fx.product_collections(t), fx.products(t), flagship=P.FLAGSHIP,
-                                      start=P.BASKET_START, end=P.BASKET_END, launch=P.LAUNCH_DATE)
+    return reports.transitions_inputs(fx.baskets(t), fx.product_collections(t), fx.products(t), **_P2)
 
 
 @register("top_transitions_30d")
@@ -144,8 +146,8 @@ def q_top_transitions_30d(spark, sf_dir):
 
 @register("first_order_cohorts")
 def q_first_order_cohorts(spark, sf_dir):
-    cohorts, _, _ = _p2_inputs(spark, sf_dir)
-    return cohorts
+    t = Tables(spark, sf_dir)
+    return reports.transition_cohorts(fx.baskets(t), fx.product_collections(t), fx.products(t), **_P2)[1]
 
 
 @register("eligible_lines")
@@ -162,13 +164,13 @@ def q_eligible_lines(spark, sf_dir):
 
 @register("next_flagged_order")
 def q_next_flagged_order(spark, sf_dir):
-    _, _, orders = _p2_inputs(spark, sf_dir)
+    _, orders = _p2_inputs(spark, sf_dir)
     return journeys.next_flagged_orders(orders)
 
 
 @register("transition_edges")
 def q_transition_edges(spark, sf_dir):
-    _, lines, orders = _p2_inputs(spark, sf_dir)
+    lines, orders = _p2_inputs(spark, sf_dir)
     return journeys.transition_edges(journeys.next_flagged_orders(orders), lines, journeys.DIRECTION_FLAGSHIP_TO_GAME,
                                      journeys.DIRECTION_GAME_TO_FLAGSHIP)
 
@@ -193,25 +195,25 @@ def q_implied_daily_rate(spark, sf_dir):
 
 @register("first_partial_refunds")
 def q_first_partial_refunds(spark, sf_dir):
-    from tillroll.operators import royalty
     return royalty.first_partial_refunds(fx.notes(Tables(spark, sf_dir)))
 
 
 @register("royalty_statement")
 def q_royalty_statement(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return reports.royalty_statement(fx.sales_lines(t), fx.products(t), fx.shop_orders(t), start=P.ROYALTY_START,
-                                     end=P.ROYALTY_END, as_of=P.ROYALTY_AS_OF, currency=P.ROYALTY_CURRENCY,
+    return royalty.royalty_statement(fx.sales_lines(t), fx.products(t), fx.shop_orders(t), start=P.ROYALTY_START,
+                                     end=P.ROYALTY_END, as_of=P.ROYALTY_AS_OF, channel_col=P.ROYALTY_CHANNEL,
+                                     currency=P.ROYALTY_CURRENCY,
                                      percentage=P.ROYALTY_PERCENTAGE)
 
 
 @register("refund_statement")
 def q_refund_statement(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return reports.refund_statement(fx.sales_lines(t), fx.products(t), fx.shop_orders(t), fx.notes(t),
+    return royalty.refund_statement(fx.sales_lines(t), fx.products(t), fx.shop_orders(t), fx.notes(t),
                                     min_order_date=P.REFUND_MIN_ORDER_DATE, event_from=P.REFUND_EVENT_FROM,
                                     event_to=P.REFUND_EVENT_TO, as_of=P.ROYALTY_AS_OF,
-                                    currency=P.ROYALTY_CURRENCY, percentage=P.ROYALTY_PERCENTAGE)
+                                    channel_col=P.ROYALTY_CHANNEL, currency=P.ROYALTY_CURRENCY, percentage=P.ROYALTY_PERCENTAGE)
 
 
 # ---------------------------------------------------------------- P6 distributor reconciliation
@@ -269,6 +271,13 @@ def q_overcharge_detail(spark, sf_dir):
     return decimals_as_double(detail)
 
 
+@register("overcharge_match_counts")
+def q_overcharge_match_counts(spark, sf_dir):
+    t, report = _p6(spark, sf_dir)
+    partner = reconcile.partner_aggregate(contracts.read_distributor_report(report))
+    return reconcile.match_counts(partner, reconcile.reduce_to_keys(fx.sales_lines(t), partner, "iid"))
+
+
 @register("overcharge_by_title")
 def q_overcharge_by_title(spark, sf_dir):
     t, report = _p6(spark, sf_dir)
@@ -285,8 +294,9 @@ def _p7(spark, sf_dir, variant="v2"):
     t = Tables(spark, sf_dir)
     report = fx.publisher_report(t, P.RECON_START, P.RECON_END)
     publisher = P.PROMO_PUBLISHER_V1 if variant == "v1" else P.PROMO_PUBLISHER
-    return reports.publisher_reconciliation(report, fx.shop_orders(t), fx.sales_lines(t), fx.products(t),
-                                            fx.suppliers(t), as_of=P.RECON_AS_OF, promo_publisher=publisher,
+    return reports.PublisherReconciliation(report, fx.shop_orders(t), fx.sales_lines(t), fx.products(t),
+                                            fx.suppliers(t), as_of=P.RECON_AS_OF, partner_flag=P.PARTNER_FLAG,
+                                            promo_publisher=publisher,
                                             promo_supplier=P.PROMO_SUPPLIER, threshold=P.MATCH_THRESHOLD,
                                             overrides=P.PUBLISHER_OVERRIDES, variant=variant)
 
@@ -350,7 +360,7 @@ def q_converted_totals(spark, sf_dir):
 def q_supplier_royalty_totals(spark, sf_dir):
     t, _, start, end = _p7_parts(spark, sf_dir)
     return decimals_as_double(reconcile.supplier_royalty_totals(fx.sales_lines(t), fx.products(t), fx.suppliers(t),
-                                                                start=start, end=end))
+                                                                start=start, end=end, partner_flag=P.PARTNER_FLAG))
 
 
 @register("promo_item_royalties")
@@ -362,20 +372,17 @@ def q_promo_item_royalties(spark, sf_dir):
 
 @register("publisher_comparison")
 def q_publisher_comparison(spark, sf_dir):
-    comparison, _, _ = _p7(spark, sf_dir)
-    return decimals_as_double(comparison)
+    return decimals_as_double(_p7(spark, sf_dir).comparison())
 
 
 @register("promo_adjusted_detail")
 def q_promo_adjusted_detail(spark, sf_dir):
-    _, detail, _ = _p7(spark, sf_dir)
-    return decimals_as_double(detail)
+    return decimals_as_double(_p7(spark, sf_dir).detail())
 
 
 @register("adjusted_comparison")
 def q_adjusted_comparison(spark, sf_dir):
-    _, _, adjusted = _p7(spark, sf_dir)
-    return decimals_as_double(adjusted)
+    return decimals_as_double(_p7(spark, sf_dir).adjusted())
 
 
 # ---------------------------------------------------------------- sinks
@@ -383,20 +390,17 @@ def q_adjusted_comparison(spark, sf_dir):
 
 @register("promo_adjusted_detail_v1")
 def q_promo_adjusted_detail_v1(spark, sf_dir):
-    _, detail, _ = _p7(spark, sf_dir, "v1")
-    return decimals_as_double(detail)
+    return decimals_as_double(_p7(spark, sf_dir, "v1").detail())
 
 
 @register("adjusted_comparison_v1")
 def q_adjusted_comparison_v1(spark, sf_dir):
-    _, _, adjusted = _p7(spark, sf_dir, "v1")
-    return decimals_as_double(adjusted)
+    return decimals_as_double(_p7(spark, sf_dir, "v1").adjusted())
 
 
 @register("sheet_rows")
 def q_sheet_rows(spark, sf_dir):
-    _, _, adjusted = _p7(spark, sf_dir)
-    return sinks.sheet_rows(adjusted)
+    return sinks.sheet_rows(_p7(spark, sf_dir).adjusted())
 
 
 def queries() -> dict[str, QueryFn]:

@@ -24,17 +24,21 @@ def order_journey(order_details: DataFrame, collections: DataFrame, products: Da
     return journeys.order_journey_report(rows, bare_numeric, sort)
 
 
-def transitions_inputs(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
-                       start, end, launch, flagship_label: str | None = None):
-    """Eligible lines and orders of the two cohorts (P2 up to `orders`)."""
+def transition_cohorts(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str, start,
+                       end, launch, flagship_label: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(lines, the two cohorts' users) of P2, lazily."""
     lines = journeys.transition_lines(order_details, collections, products, flagship, start, end, flagship_label)
-    cohorts = journeys.first_order_cohorts(journeys.transition_orders(lines), launch)
-    # The eligible lines feed the forward fill and both sides of the edge join; one reliable checkpoint (shared
-    # checkpoint folder) computes them once instead of re-reading and re-joining the order lines in every branch.
+    return lines, journeys.first_order_cohorts(journeys.transition_orders(lines), launch)
+
+
+def transitions_inputs(order_details: DataFrame, collections: DataFrame, products: DataFrame, **kw):
+    """Eligible lines and orders of the two cohorts (P2 up to `orders`). Runs a job: the eligible lines feed the forward
+    fill and both sides of the edge join, so a reliable checkpoint (shared checkpoint folder) computes them once instead
+    of re-reading and re-joining the order lines in every branch."""
+    lines, cohorts = transition_cohorts(order_details, collections, products, **kw)
     needed = ["order_id", "user_id", "order_ts", "order_date", "product_name", "is_fv", "is_game"]
     el_lines = cut_lineage(lines.select(*needed).join(cohorts.select("user_id"), "user_id", "left_semi"))
-    el_orders = journeys.transition_orders(el_lines)
-    return cohorts, el_lines, el_orders
+    return el_lines, journeys.transition_orders(el_lines)
 
 
 def product_transitions(order_details: DataFrame, collections: DataFrame, products: DataFrame, *, flagship: str,
@@ -43,25 +47,13 @@ def product_transitions(order_details: DataFrame, collections: DataFrame, produc
                                                        journeys.DIRECTION_GAME_TO_FLAGSHIP),
                         flagship_label: str | None = None) -> DataFrame:
     """Top-N product transitions flagship -> game and game -> flagship among the two first-order cohorts."""
-    _, lines, orders = transitions_inputs(order_details, collections, products, flagship=flagship, start=start,
+    lines, orders = transitions_inputs(order_details, collections, products, flagship=flagship, start=start,
                                           end=end, launch=launch, flagship_label=flagship_label)
     pairs = journeys.next_flagged_orders(orders)
     edges = journeys.transition_edges(pairs, lines, *directions)
     return journeys.top_transitions(edges, max_days, top_n)
 
 
-def royalty_statement(sales, products, shop_orders, **kw):
-    """P3 (see `tillroll.operators.royalty.royalty_statement`)."""
-    from tillroll.operators import royalty
-    return royalty.royalty_statement(sales, products, shop_orders, **kw)
-
-
-def refund_statement(sales, products, shop_orders, notes, **kw):
-    """P4 (see `tillroll.operators.royalty.refund_statement`)."""
-    from tillroll.operators import royalty
-    return royalty.refund_statement(sales, products, shop_orders, notes, **kw)
-
-
 def distributor_overcharge(report: DataFrame, order_details: DataFrame, products: DataFrame, suppliers: DataFrame,
                            discounts: DataFrame, star_deals: DataFrame, *, start, end):
     """(detail rows, total overcharge per title) for a distributor report in spreadsheet form."""
@@ -69,34 +61,56 @@ def distributor_overcharge(report: DataFrame, order_details: DataFrame, products
     from tillroll.sources.contracts import read_distributor_report
 
     partner = reconcile.partner_aggregate(read_distributor_report(report))
-    lines = reconcile.order_line_terms(order_details, products, suppliers, discounts, star_deals, start=start,
-                                       end=end)
+    # the whole order-line table is cut to the partner's iids before it is joined to anything
+    own = reconcile.reduce_to_keys(order_details, partner, "iid")
+    lines = reconcile.order_line_terms(own, products, suppliers, discounts, star_deals, start=start, end=end)
     detail = reconcile.overcharge_detail(partner, lines)
     return detail, reconcile.overcharge_by_title(detail)
 
 
-def publisher_reconciliation(report: DataFrame, shop_orders: DataFrame, order_details: DataFrame,
-                             products: DataFrame, suppliers: DataFrame, *, as_of, promo_publisher: str,
-                             promo_supplier: str, threshold: float = 90, overrides: dict | None = None,
-                             blocking: int | None = None, variant: str = "v2"):
-    """P7 + P8 for the previous full month of `as_of`: (comparison, adjusted detail, adjusted comparison).
+class PublisherReconciliation:
+    """P7 + P8 for the previous full month of `as_of`; each result is built only when it is asked for.
 
     variant "v2" is the second script (rate at the month start, supplier-table names, substring publisher filter,
     fallback to the converted price); "v1" is the first one (latest rate as of `as_of`, names stored on the order
     lines, 3-character blocking, whole-name publisher filter, our promo name kept, no fallback)."""
-    from tillroll.functions.dates import previous_month
-    from tillroll.operators import fx, reconcile
-    from tillroll.sources.contracts import trim_headers
-
-    v1 = variant == "v1"
-    start, end, _, _ = previous_month(as_of)
-    rep = trim_headers(report)
-    rates = fx.as_of_rates(fx.rates_to_gbp(shop_orders), as_of if v1 else start)
-    royalties = reconcile.supplier_royalty_totals(order_details, products, suppliers, start=start, end=end,
-                                                  name_from="line" if v1 else "supplier")
-    comparison = reconcile.publisher_comparison(rep, rates, royalties, threshold=threshold, overrides=overrides,
-                                                blocking=3 if v1 and blocking is None else blocking)
-    promo = reconcile.promo_item_royalties(order_details, supplier=promo_supplier, start=start, end=end)
-    detail = reconcile.promo_adjusted_detail(rep, promo, publisher=promo_publisher,
-                                             match="equals" if v1 else "contains", keep_promo_name=v1)
-    return comparison, detail, reconcile.adjusted_comparison(comparison, detail, fallback=not v1)
+
+    def __init__(self, report: DataFrame, shop_orders: DataFrame, order_details: DataFrame, products: DataFrame,
+                 suppliers: DataFrame, *, as_of, partner_flag: str, promo_publisher: str, promo_supplier: str,
+                 threshold: float = 90, overrides: dict | None = None, blocking: int | None = None, variant: str = "v2"):
+        from tillroll.functions.dates import previous_month
+        from tillroll.sources.contracts import trim_headers
+
+        self.v1 = variant == "v1"
+        self.start, self.end, _, _ = previous_month(as_of)
+        self.report, self.as_of = trim_headers(report), as_of
+        self.shop_orders, self.order_details, self.products, self.suppliers = shop_orders, order_details, products, suppliers
+        self.partner_flag, self.promo_publisher, self.promo_supplier = partner_flag, promo_publisher, promo_supplier
+        self.threshold, self.overrides = threshold, overrides
+        self.blocking = 3 if self.v1 and blocking is None else blocking
+
+    def comparison(self) -> DataFrame:
+        """P7. Runs jobs: the partner's totals and the suppliers' royalties (two small tables that the matching and the
+        join back both read) and the distinct names are checkpointed."""
+        from tillroll.operators import fx, reconcile
+
+        rates = fx.as_of_rates(fx.rates_to_gbp(self.shop_orders), self.as_of if self.v1 else self.start)
+        royalties = reconcile.supplier_royalty_totals(
+            self.order_details, self.products, self.suppliers, start=self.start, end=self.end,
+            partner_flag=self.partner_flag, name_from="line" if self.v1 else "supplier")
+        return reconcile.publisher_comparison(self.report, rates, cut_lineage(royalties), threshold=self.threshold,
+                                              overrides=self.overrides, blocking=self.blocking)
+
+    def detail(self) -> DataFrame:
+        """P8 rows, lazily."""
+        from tillroll.operators import reconcile
+
+        promo = reconcile.promo_item_royalties(self.order_details, supplier=self.promo_supplier, start=self.start, end=self.end)
+        return reconcile.promo_adjusted_detail(self.report, promo, publisher=self.promo_publisher,
+                                               match="equals" if self.v1 else "contains", keep_promo_name=self.v1)
+
+    def adjusted(self) -> DataFrame:
+        """P8 totals next to P7."""
+        from tillroll.operators import reconcile
+
+        return reconcile.adjusted_comparison(self.comparison(), self.detail(), fallback=not self.v1)

@@ -6,7 +6,9 @@ is for scripts, tests and the benchmark.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +40,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.master(master).appName(app)
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+    if shuffle_partitions or master.startswith("local"):  # a cluster's own setting stays
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -63,6 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         # a machine-local folder would not survive the loss of the executor that wrote it
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) before running the reports")
     path = tempfile.mkdtemp(prefix="tillroll-ckpt-")  # local mode only (tests, benchmark)
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return path
 

@@ -7,7 +7,7 @@ null instead of failing the job (ANSI casts raise).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The distributor report's spreadsheet headers and their canonical names, in report order.
@@ -36,6 +36,7 @@ DISTRIBUTOR_COLUMNS = {
     "Service Charge VAT": "service_charge_vat",
     "Grand Total": "grand_total",
 }
+# Which of them are dates and which are numbers.
 DISTRIBUTOR_DATES = ("date_of_sale", "original_date_of_sale", "date_fulfilled")
 DISTRIBUTOR_NUMERICS = (
     "activation_qty", "srp_activation_currency", "wsp_activation_currency", "service_charge_activation_currency",
@@ -45,6 +46,10 @@ DISTRIBUTOR_NUMERICS = (
 NUMERIC_TYPE = "decimal(24,6)"
 
 
+#: Date patterns tried in order after the ISO form; ambiguous ones are read as the first that fits.
+DATE_PATTERNS = ("M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "d-MMM-yyyy", "d.M.yyyy", "yyyyMMdd")
+
+
 class MissingColumnsError(ValueError):
     pass
 
@@ -62,17 +67,25 @@ def require_columns(df: DataFrame, required) -> DataFrame:
     return df
 
 
-def apply_contract(df: DataFrame, colmap: dict[str, str], dates=(), numerics=(),
-                   numeric_type: str = NUMERIC_TYPE) -> DataFrame:
-    """IO7 + IO9: check, rename, then parse dates and numbers leniently (unparsable -> null)."""
+def lenient_date(column: str, patterns=DATE_PATTERNS) -> Column:
+    """IO9/F32: a text cell as a date: ISO dates and times first, then each pattern; null if none fits."""
+    text = F.trim(F.col(column).cast("string"))
+    return F.coalesce(text.try_cast("timestamp").cast("date"),
+                      *[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in patterns])
+
+
+def apply_contract(df: DataFrame, colmap: dict[str, str], dates=(), numerics=(), numeric_type: str = NUMERIC_TYPE,
+                   date_patterns=DATE_PATTERNS) -> DataFrame:
+    """IO7 + IO9: check, rename, then parse dates and numbers leniently (unparsable -> null). `date_patterns` are tried in
+    order, so a publisher that writes the day first passes ("d/M/yyyy", ...)."""
     df = require_columns(df, list(colmap)).withColumnsRenamed(colmap)
-    casts = {c: F.col(c).cast("string").try_cast("timestamp").cast("date") for c in dates}
+    casts = {c: lenient_date(c, date_patterns) for c in dates}
     casts.update({c: F.col(c).cast("string").try_cast(numeric_type) for c in numerics})
     return df.withColumns(casts)
 
 
-def read_distributor_report(df: DataFrame) -> DataFrame:
-    return apply_contract(df, DISTRIBUTOR_COLUMNS, DISTRIBUTOR_DATES, DISTRIBUTOR_NUMERICS)
+def read_distributor_report(df: DataFrame, date_patterns=DATE_PATTERNS) -> DataFrame:
+    return apply_contract(df, DISTRIBUTOR_COLUMNS, DISTRIBUTOR_DATES, DISTRIBUTOR_NUMERICS, date_patterns=date_patterns)
 
 
 def read_report_files(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

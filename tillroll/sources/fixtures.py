@@ -214,6 +214,12 @@ def _month_lines(t: Tables, start: str, end: str, date_col: str) -> DataFrame:
     return od.where((F.col(date_col) >= F.lit(start).cast("date")) & (F.col(date_col) < F.lit(end).cast("date")))
 
 
+def _written_date(day: Column) -> Column:
+    """A date as partners write it: ISO, month first, or with the month's name."""
+    return F.when(F.col("line_number") % 3 == 0, F.date_format(day, "M/d/yyyy")).when(
+        F.col("line_number") % 3 == 1, F.date_format(day, "d MMM yyyy")).otherwise(day.cast("string"))
+
+
 def distributor_report(t: Tables, start: str, end: str) -> DataFrame:
     """Distributor's monthly activation report with its spreadsheet headers, every cell as text."""
     lines = _month_lines(t, start, end, "ship_date")
@@ -224,10 +230,11 @@ def distributor_report(t: Tables, start: str, end: str) -> DataFrame:
     s = lambda c: c.cast("string")
     return x.select(
         s(F.to_date("ship_date")).alias("Date of Sale"),
-        s(F.date_add(F.to_date("order_date"), F.col("line_number") - 1)).alias("Original Date of Sale"),
+        _written_date(F.date_add(F.to_date("order_date"), F.col("line_number") - 1)).alias("Original Date of Sale"),
         s(F.to_date("ship_date")).alias("Date Fulfilled"),
         F.concat(F.lit("guid-"), F.col("iid")).alias("Transaction GUID"),
-        F.concat(F.col("iid"), F.lit("-"), s(F.col("supp_key"))).alias("CTID"),
+        F.concat(F.when(F.col("line_number") == 6, F.lit("unknown")).otherwise(F.col("iid")), F.lit("-"),
+                 s(F.col("supp_key"))).alias("CTID"),
         F.upper("title").alias("Publisher Name"),
         F.col("title").alias("Product Title"),
         F.concat(F.lit("SKU-"), s(F.col("product_id"))).alias("SKU"),
@@ -254,7 +261,8 @@ def publisher_report(t: Tables, start: str, end: str) -> DataFrame:
     lines = _month_lines(t, start, end, "order_date")
     names = t.part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"))
     x = lines.join(names, "product_id", "left")
-    pub = F.when(F.col("product_id") % 2 == 0, F.concat(F.upper("title"), F.lit(" Ltd.")))\
+    pub = F.when(F.col("product_id") % 7 == 0, F.concat(F.upper("title"), F.lit(" Игры Ελλάς ＡＢ, Çà™")))\
+        .when(F.col("product_id") % 2 == 0, F.concat(F.upper("title"), F.lit(" Ltd.")))\
         .otherwise(F.concat(F.upper("title"), F.lit(" & Co, GmbH")))
     m = F.col("line_number") % 3
     cur = F.when(m == 0, F.concat(F.lit(" "), F.lower("currency"))).when(m == 1, F.concat("currency", F.lit(" ")))\

@@ -1,7 +1,8 @@
 """Report sinks (IO12-IO15).
 
 The reference writes CSV files on a laptop and pastes frames into spreadsheet tabs. Here every sink is a distributed
-`DataFrameWriter` call: a report is a directory (or table) named after the report, replaced atomically per write.
+`DataFrameWriter` call: a report is a directory (or table) named after the report. Replacing a directory is not atomic: a
+failed write leaves no report, so readers that run meanwhile should read a table.
 """
 
 from __future__ import annotations
@@ -11,9 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 
+#: Most rows of a report that is written as one file.
+SINGLE_FILE_ROWS = 1_000_000
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """IO12: header CSV without an index column. `single_file` coalesces to one part for small hand-off reports."""
-    out = df.coalesce(1) if single_file else df
+    """IO12: header CSV without an index column. `single_file` gathers a small hand-off report into one part after its
+    (still parallel) last stage; one of more than SINGLE_FILE_ROWS rows is refused, as one task would write it."""
+    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for a single file")
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

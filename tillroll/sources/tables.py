@@ -2,7 +2,7 @@
 
 Everything is read lazily with `spark.read.parquet`, so Catalyst prunes columns and pushes filters into the scan. A
 warehouse relation can be passed by name instead (`spark.table`), which is how a month-stamped snapshot such as
-`royalty.orders_details_<yyyy_mm>_<stamp>` is read: the name is an argument, never edited in code.
+`sales.order_lines_<yyyy_mm>_<stamp>` is read: the name is an argument, never edited in code.
 """
 
 from __future__ import annotations
@@ -38,12 +38,17 @@ def sql_frame(spark: SparkSession, query: str, **params) -> DataFrame:
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str, lower: int, upper: int,
               num_partitions: int, fetch_size: int = 200_000, properties: dict | None = None) -> DataFrame:
     """Partitioned warehouse read (IO1/IO4): parallel range reads replace the chunked single-client fetch."""
-    reader = (spark.read.format("jdbc").option("url", url).option("query", query)
-              .option("partitionColumn", partition_column).option("lowerBound", lower).option("upperBound", upper)
-              .option("numPartitions", num_partitions).option("fetchsize", fetch_size))
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    return reader.load()
+    options = jdbc_options(url, query, partition_column, lower, upper, num_partitions, fetch_size, properties)
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def jdbc_options(url: str, query: str, partition_column: str, lower: int, upper: int, num_partitions: int,
+                 fetch_size: int = 200_000, properties: dict | None = None) -> dict[str, str]:
+    """The JDBC source takes no partition column together with `query`, so the query is an aliased subquery in `dbtable`.
+    The bounds only set the strides; rows outside them are read by the first and last partition."""
+    options = {"url": url, "dbtable": f"({query.strip().rstrip(';')}) AS source_rows", "partitionColumn": partition_column,
+               "lowerBound": lower, "upperBound": upper, "numPartitions": num_partitions, "fetchsize": fetch_size}
+    return {k: str(v) for k, v in (options | (properties or {})).items()}
 
 
 class Tables:

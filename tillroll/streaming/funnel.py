@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.funnel import SEARCH_STEPS
+from tillroll.operators.funnel import SEARCH_STEPS, funnel_sums
 
 
 def daily_funnel_stream(events: DataFrame, lateness: str = "1 hour", ts_col: str = "derived_tstamp",
@@ -24,14 +24,7 @@ def daily_funnel_stream(events: DataFrame, lateness: str = "1 hour", ts_col: str
     ev = events.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, lateness)
     flags = [F.max(F.when(F.col(label_col) == lbl, 1).otherwise(0)).alias(name) for name, lbl in steps.items()]
     per_session = ev.groupBy(F.window(ts_col, "1 day").alias("day"), F.col(session_col)).agg(*flags)
-    per_day = per_session.groupBy(F.window(F.window_time("day"), "1 day").alias("day")).agg(
-        F.count(F.lit(1)).alias("total_sessions"),
-        F.sum("focused").cast("bigint").alias("sessions_focused"),
-        F.sum("typed").cast("bigint").alias("sessions_typed"),
-        F.sum("saw_suggestions").cast("bigint").alias("sessions_saw_suggestions"),
-        F.sum(F.col("submitted_enter") + F.col("submitted_click")).cast("bigint").alias("sessions_submitted"),
-        F.sum("clicked_view_all").cast("bigint").alias("sessions_clicked_view_all"),
-    )
+    per_day = per_session.groupBy(F.window(F.window_time("day"), "1 day").alias("day")).agg(*funnel_sums(steps))
     return per_day.select(F.to_date(F.col("day.start")).alias("event_date"), *[c for c in per_day.columns
                                                                                  if c != "day"])
 
