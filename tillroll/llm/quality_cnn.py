@@ -35,7 +35,7 @@ ACCEPT = 0.3
 class FitLimits:
     """Bounds of the sample that the network is fitted on: documents of each label, bytes of one document, bytes in all."""
 
-    per_label: int = 1500
+    per_label: int = 2500
     document_bytes: int = 1 << 16
     total_bytes: int = 24 << 20
     epochs: int = 12

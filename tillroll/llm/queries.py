@@ -76,4 +76,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import oracle
+
+    return dict(oracle.ORACLE)
