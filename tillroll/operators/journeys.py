@@ -268,9 +268,9 @@ def transition_edges(pairs: DataFrame, lines: DataFrame, fv_to_game: str, game_t
                     F.when(fv2g, F.lit(fv_to_game)).otherwise(F.lit(game_to_fv)).alias("direction"))
 
 
-def top_transitions(edges: DataFrame, max_days: int, top_n: int) -> DataFrame:
+def top_transitions(edges: DataFrame, max_days: int, top_n: int, rank: str | None = None) -> DataFrame:
     """Per (direction, source, target) distinct users, order pairs and mean days, top-N per
-    direction by users then pairs (names as the last tie-break, S4).
+    direction by users then pairs (names as the last tie-break, S4); `rank` names a column for the place.
 
     Edges are unique per (direction, user, source order, products), so the reference's DISTINCT pair count equals
     the row count; a null product name never matches the USING join, so its pair count is 0 (S8). The top-N is a
@@ -291,4 +291,5 @@ def top_transitions(edges: DataFrame, max_days: int, top_n: int) -> DataFrame:
                                                 F.col("source_product").asc_nulls_last(),
                                                 F.col("target_product").asc_nulls_last())
     ranked = agg.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= top_n)
-    return ranked.orderBy("direction", "_rk").drop("_rk")
+    ranked = ranked.orderBy("direction", "_rk")
+    return ranked.withColumnRenamed("_rk", rank) if rank else ranked.drop("_rk")

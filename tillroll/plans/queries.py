@@ -20,7 +20,7 @@ from tillroll.plans import params as P
 from tillroll.plans import reports
 from tillroll.sources import contracts, sinks
 from tillroll.sources import fixtures as fx
-from tillroll.sources.tables import Tables
+from tillroll.sources.tables import Tables, read_snapshot, sql_frame
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -403,5 +403,66 @@ def q_sheet_rows(spark, sf_dir):
     return sinks.sheet_rows(_p7(spark, sf_dir).adjusted())
 
 
+# ---------------------------------------------------------------- scans and sinks, written and read back
+
+
+def _report_folder(spark) -> str:
+    import uuid
+
+    from tillroll.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark)}/reports-{uuid.uuid4().hex}"
+
+
+@register("snapshot_scan")
+def q_snapshot_scan(spark, sf_dir):
+    """IO2: a month-stamped snapshot by name."""
+    fx.order_details(Tables(spark, sf_dir)).createOrReplaceTempView("order_lines_1998_07_stamp")
+    return read_snapshot(spark, "order_lines_1998_07_stamp").select("order_id", "iid", "product_id", "status", "line_number")
+
+
+@register("sql_parameters")
+def q_sql_parameters(spark, sf_dir):
+    """IO3/IO5: a SQL text with bound parameters."""
+    fx.order_details(Tables(spark, sf_dir)).createOrReplaceTempView("order_lines_by_sql")
+    return sql_frame(spark, "SELECT status, count(*) AS n_lines FROM order_lines_by_sql WHERE order_date >= :since "
+                            "AND order_date < :until GROUP BY status", since=P.RECON_START, until=P.RECON_END)
+
+
+@register("report_files")
+def q_report_files(spark, sf_dir):
+    """IO12 + IO6 + IO9: the partner's report written as CSV and read back through its contract."""
+    _, report = _p6(spark, sf_dir)
+    folder = f"{_report_folder(spark)}/partner"
+    sinks.write_csv(report, folder)
+    return decimals_as_double(contracts.read_distributor_report(contracts.read_report_files(spark, folder)))
+
+
+@register("replaced_report")
+def q_replaced_report(spark, sf_dir):
+    """IO14: a report written under its name, replaced by a later one and read back."""
+    _, rep, _, _ = _p7_parts(spark, sf_dir)
+    base, totals = _report_folder(spark), decimals_as_double(reconcile.partner_totals(rep))
+    sinks.replace_report(totals.limit(0), base, "Partner totals")
+    return spark.read.parquet(sinks.replace_report(totals, base, "Partner totals"))
+
+
+@register("sheet_rows_dates")
+def q_sheet_rows_dates(spark, sf_dir):
+    """IO13 + F31/X3: spreadsheet cells of a report with a date column."""
+    _, report = _p6(spark, sf_dir)
+    partner = reconcile.partner_aggregate(contracts.read_distributor_report(report))
+    return sinks.sheet_rows(partner.select("ctid_1", "iid", "original_date_of_sale", "product_title"))
+
+
+@register("top_transitions_ranked")
+def q_top_transitions_ranked(spark, sf_dir):
+    """The order of the transition report as a column."""
+    lines, orders = _p2_inputs(spark, sf_dir)
+    edges = journeys.transition_edges(journeys.next_flagged_orders(orders), lines, journeys.DIRECTION_FLAGSHIP_TO_GAME,
+                                      journeys.DIRECTION_GAME_TO_FLAGSHIP)
+    return journeys.top_transitions(edges, P.MAX_DAYS_TO_NEXT, P.TOP_N, rank="place")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)

@@ -50,7 +50,8 @@ def search_events(t: Tables) -> DataFrame:
     return e.select(
         e.ts.alias("derived_tstamp"),
         session_id(e.user_id, e.ts).cast("string").alias("domain_sessionid"),
-        _map(e.event_type, SE_LABELS).alias("se_label"),
+        F.when((e.event_type == "error") & (e.user_id % 3 == 0), "click-view-all")
+        .otherwise(_map(e.event_type, SE_LABELS)).alias("se_label"),
     )
 
 
@@ -127,7 +128,8 @@ def order_details(t: Tables) -> DataFrame:
         F.when(status == "REFUNDED", F.col("l_shipdate")).alias("first_refund"),
         F.when((status == "CANCELLED") & (F.col("l_linenumber") % 2 == 0),
                F.col("l_shipdate") + F.expr("INTERVAL 5 DAYS")).alias("first_fraud"),
-        F.lit(None).cast("timestamp_ntz").alias("first_chargeback"),
+        F.when((status == "CANCELLED") & (F.col("l_linenumber") % 3 == 0),
+               F.col("l_shipdate") + F.expr("INTERVAL 2 DAYS")).alias("first_chargeback"),
         F.when(F.col("l_suppkey") % 10 == 0, F.lit("USD")).alias("fixed_royalty_currency"),
         F.concat(F.col("l_orderkey").cast("string"), F.lit("x"), F.col("l_linenumber").cast("string")).alias("iid"),
         _currency(F.col("l_orderkey")).alias("currency"),
@@ -261,7 +263,9 @@ def publisher_report(t: Tables, start: str, end: str) -> DataFrame:
     lines = _month_lines(t, start, end, "order_date")
     names = t.part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"))
     x = lines.join(names, "product_id", "left")
-    pub = F.when(F.col("product_id") % 7 == 0, F.concat(F.upper("title"), F.lit(" Игры Ελλάς ＡＢ, Çà™")))\
+    # 'LARGE ' begins other suppliers' names too, so that blocking on the first characters changes the match
+    pub = F.when(F.col("product_id") % 11 == 0, F.concat(F.lit("LARGE "), F.upper("title")))\
+        .when(F.col("product_id") % 7 == 0, F.concat(F.upper("title"), F.lit(" Игры Ελλάς ＡＢ, Çà™")))\
         .when(F.col("product_id") % 2 == 0, F.concat(F.upper("title"), F.lit(" Ltd.")))\
         .otherwise(F.concat(F.upper("title"), F.lit(" & Co, GmbH")))
     m = F.col("line_number") % 3
