@@ -91,12 +91,15 @@ def followed_within_exprs() -> dict[str, Column]:
 
 
 def order_journey_rows(orders: DataFrame, window_days: int, bare_numeric: str = "decimal(18,0)",
-                       materialize: bool = True) -> DataFrame:
+                       materialize: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Order rows (A3 grain) with days_since_prev_order, both sequence flags and first_order_month.
 
     The order roll-up feeds both the day profile and the join back, and Catalyst prunes the two branches
     differently, so they would not share an exchange: the roll-up (far smaller than the lines it comes from) is
-    written once with a reliable checkpoint instead of scanning and aggregating the lines twice."""
+    written once with a reliable checkpoint instead of scanning and aggregating the lines twice. `keep` names the
+    roll-up's columns that the caller needs besides the keys and flags; no others are written."""
+    if keep is not None:
+        orders = orders.select(*dict.fromkeys([USER, "order_id", DAY, "has_fv", "has_game", "has_dlc", "has_other", *keep]))
     if materialize:
         from tillroll.session import cut_lineage
         orders = cut_lineage(orders)

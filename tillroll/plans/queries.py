@@ -82,14 +82,14 @@ def q_order_rollup(spark, sf_dir):
 
 @register("order_gaps")
 def q_order_gaps(spark, sf_dir):
-    rows = journeys.order_journey_rows(_basket_orders(spark, sf_dir), P.SEQ_WINDOW_DAYS)
+    rows = journeys.order_journey_rows(_basket_orders(spark, sf_dir), P.SEQ_WINDOW_DAYS, keep=[])
     return rows.select("user_id", "order_id", "order_date",
                        F.col("days_since_prev_order").cast("bigint").alias("days_since_prev_order"))
 
 
 @register("followed_within")
 def q_followed_within(spark, sf_dir):
-    rows = journeys.order_journey_rows(_basket_orders(spark, sf_dir), P.SEQ_WINDOW_DAYS)
+    rows = journeys.order_journey_rows(_basket_orders(spark, sf_dir), P.SEQ_WINDOW_DAYS, keep=[])
     return rows.select("user_id", "order_id", "order_date", "seq_g2fv_30d_count", "seq_fv2g_30d_count")
 
 
@@ -98,7 +98,8 @@ def q_first_month_cohort(spark, sf_dir):
     t = Tables(spark, sf_dir)
     lines = segments.journey_lines(fx.order_details(t), fx.product_collections(t), fx.products(t), P.FLAGSHIP,
                                    P.SALES_JOURNEY_START, P.SALES_JOURNEY_END)
-    rows = journeys.order_journey_rows(segments.order_rollup(lines, P.FLAGSHIP), P.SALES_SEQ_WINDOW_DAYS)
+    rows = journeys.order_journey_rows(segments.order_rollup(lines, P.FLAGSHIP), P.SALES_SEQ_WINDOW_DAYS,
+                                       keep=["order_month"])
     return rows.select("user_id", "order_id", "order_month", "first_order_month",
                        journeys.months_between_boundaries("first_order_month", "order_month")
                        .alias("months_since_first"))

@@ -20,7 +20,8 @@ def order_journey(order_details: DataFrame, collections: DataFrame, products: Da
     lines = segments.journey_lines(order_details, collections, products, flagship, start, end,
                                    flagship_label=label)
     orders = segments.order_rollup(lines, label, bare_numeric)
-    rows = journeys.order_journey_rows(orders, window_days, bare_numeric)
+    rows = journeys.order_journey_rows(orders, window_days, bare_numeric, keep=[
+        "order_month", "order_type", "order_revenue_total", "order_margin_total"])
     return journeys.order_journey_report(rows, bare_numeric, sort)
 
 
