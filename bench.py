@@ -73,6 +73,13 @@ def main() -> None:
         all orders, the skew the design must survive."""
         return df.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
 
+    def hot_day(df):
+        """The same, with all of that user's orders on one day (their times of day stay)."""
+        on_day = F.to_timestamp_ntz(F.concat(F.lit("2024-01-01 "), F.date_format("order_ts", "HH:mm:ss")))
+        first = F.col("user_id") == 0
+        return hot(df).withColumns({"order_ts": F.when(first, on_day).otherwise(F.col("order_ts").cast("timestamp_ntz")),
+                                    "order_date": F.when(first, F.to_date(on_day)).otherwise(F.col("order_date"))})
+
     def all_transition_orders():
         lines = journeys.transition_lines(fx.baskets(t), fx.product_collections(t), fx.products(t), P.FLAGSHIP,
                                           P.BASKET_START, P.BASKET_END)
@@ -84,13 +91,17 @@ def main() -> None:
         "followed_within_hot_users_window": round(_time(
             lambda: journeys.order_journey_rows(hot(basket_orders()), P.SEQ_WINDOW_DAYS), runs), 3),
         "next_flagged_hot_users_selfjoin": round(_time(
-            lambda: literal.next_flagged_selfjoin(hot(all_transition_orders())), runs), 3),
+            lambda: literal.next_flagged_both(hot(all_transition_orders())), runs), 3),
+        "next_flagged_hot_day_selfjoin": round(_time(
+            lambda: literal.next_flagged_both(hot_day(all_transition_orders())), runs), 3),
+        "next_flagged_hot_day_window": round(_time(
+            lambda: journeys.next_flagged_orders(hot_day(all_transition_orders())), runs), 3),
         "next_flagged_hot_users_window": round(_time(
             lambda: journeys.next_flagged_orders(hot(all_transition_orders())), runs), 3),
         "followed_within_selfjoin": round(_time(
             lambda: literal.followed_within_selfjoin(basket_orders(), P.SEQ_WINDOW_DAYS), runs), 3),
         "next_flagged_order_selfjoin": round(_time(
-            lambda: literal.next_flagged_selfjoin(transition_orders()), runs), 3),
+            lambda: literal.next_flagged_both(transition_orders()), runs), 3),
         "followed_within_window": round(_time(
             lambda: journeys.order_journey_rows(basket_orders(), P.SEQ_WINDOW_DAYS), runs), 3),
     }

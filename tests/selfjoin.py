@@ -46,3 +46,10 @@ def next_flagged_selfjoin(orders: DataFrame) -> DataFrame:
     return j.select(F.col("b.user_id").alias("user_id"), F.col("b.order_id").alias("source_order_id"),
                     F.col("ng.order_id").alias("target_order_id"), F.row_number().over(w).alias("rn")) \
         .where("rn = 1").drop("rn")
+
+
+def next_flagged_both(orders: DataFrame) -> DataFrame:
+    """Both directions, as `journeys.next_flagged_orders` returns them, by one self join each."""
+    swapped = orders.withColumnsRenamed({"has_fv": "has_game", "has_game": "has_fv"})
+    return next_flagged_selfjoin(orders).withColumn("kind", F.lit("fv2game")).unionByName(
+        next_flagged_selfjoin(swapped).withColumn("kind", F.lit("game2fv")))

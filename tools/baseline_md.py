@@ -20,8 +20,8 @@ tuning constant is a 200,000-row fetch chunk size, and it is not a benchmark.
 
 Protocol: `bench.py` on the sf{d['sf']} tables, one warm-up and {d['runs']} timed runs per query, action =
 `write.format("noop")` (the whole plan runs, nothing is collected), median reported. Each timing includes building
-the plan, including the eager size checks and checkpoints some reports make. Medians drift between sessions on this
-machine: the same code summed to between 25 and 34 s in the last runs, and single queries vary by up to 2×.
+the plan, including the eager size checks and checkpoints some reports make. Medians drift between sessions and
+machines: the same code has summed to between 25 and 62 s, so only figures of one run can be compared.
 
 Config: Spark {d['spark']}, master {d['master']}, driver memory 16g, `spark.sql.shuffle.partitions` = 8, AQE on
 (coalescing to the advisory size, skew join), UTC session.
@@ -37,9 +37,6 @@ Where the time goes at this scale (Spark event log, written to a scratch folder)
   the small shuffles to one or a few partitions.
 - A query is a chain of small stages, each about 100-250 ms, dominated by per-stage overhead (see `PLANS.md` for
   each plan's shuffles and joins).
-- Since the first measurement (36.1 s) the total has come down to {d['value']:.1f} s. The changes: AQE coalescing
-  to the advisory size instead of the core count, checkpoints of shared intermediates instead of per-branch rescans,
-  a one-pass forward fill, and fewer shuffles in the fuzzy join.
 - At 100 TB the same plans are scan- and shuffle-bound instead. The design targets that: pruned scans with pushed
   filters, map-side partial aggregation, broadcast only of calendar- or currency-bounded tables or behind a size
   check, windows bounded by the calendar, and checkpoints instead of re-scanning in every branch (see README "Scale
@@ -47,18 +44,17 @@ Where the time goes at this scale (Spark event log, written to a scratch folder)
 
 ### Window rewrites versus the literal self joins
 
-Same inputs and same protocol (`bench.py`, `baselines`). The "hot" columns use the same orders with every third user
-folded into one, so one user holds a third of all orders.
+Same inputs and same protocol (`bench.py`, `baselines`); the next-flagged forms answer both directions. The "hot user"
+column has every third user folded into one, so one user holds a third of all orders; in "hot day" all of that user's
+orders fall on one day.
 
-| Form | Orders as in the tables | One user holding a third of all orders |
-| --- | --- | --- |
-| followed within N days: RANGE window over the (user, day) summary | {b['followed_within_window']:.2f} s | {b['followed_within_hot_users_window']:.2f} s |
-| followed within N days: range self join + ROW_NUMBER | {b['followed_within_selfjoin']:.2f} s | {b['followed_within_hot_users_selfjoin']:.2f} s |
-| next flagged order: two-level forward fill | {d['queries']['next_flagged_order']:.2f} s (whole query) | {b['next_flagged_hot_users_window']:.2f} s |
-| next flagged order: `>=` self join + ROW_NUMBER | {b['next_flagged_order_selfjoin']:.2f} s | {b['next_flagged_hot_users_selfjoin']:.2f} s |
-
-With evenly spread users both forms are overhead-bound at this size. With one hot user the self joins fall behind,
-because their pairs grow with the square of that user's orders: in this run next-flagged is
-{b['next_flagged_hot_users_selfjoin'] / b['next_flagged_hot_users_window']:.1f}× slower (between 1.5× and 3× across
-runs), with only a few thousand orders for that user. The window forms' input per user is bounded by the days in the period, so their time does not
-move. At 100 TB, with a hot user holding billions of orders, the self joins would not finish.""")
+| Form | Orders as in the tables | Hot user | Hot day |
+| --- | --- | --- | --- |
+| followed within N days: RANGE window over the (user, day) summary | {b['followed_within_window']:.2f} s | {b['followed_within_hot_users_window']:.2f} s | |
+| followed within N days: range self join + ROW_NUMBER | {b['followed_within_selfjoin']:.2f} s | {b['followed_within_hot_users_selfjoin']:.2f} s | |
+| next flagged order: two-level forward fill | {d['queries']['next_flagged_order']:.2f} s (whole query) | {b['next_flagged_hot_users_window']:.2f} s | {b['next_flagged_hot_day_window']:.2f} s |
+| next flagged order: `>=` self joins + ROW_NUMBER | {b['next_flagged_order_selfjoin']:.2f} s | {b['next_flagged_hot_users_selfjoin']:.2f} s | {b['next_flagged_hot_day_selfjoin']:.2f} s |
+
+At this size every form is dominated by per-stage overhead, and which one is faster on evenly spread users changes
+between sessions. The self joins' pairs grow with the square of a user's orders; the windows' work grows in proportion
+(a test takes 10,000 and 40,000 orders of one user on one day).""")
