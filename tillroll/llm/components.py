@@ -12,8 +12,8 @@ def connected_components(edges: DataFrame, low: str, high: str) -> DataFrame:
     """(node, component) for every node of an undirected edge table; the component is its smallest node.
 
     Each step links all larger (large star) or smaller (small star) neighbours of a node to its smallest neighbour. The
-    minimum is a partial aggregate and is joined back on a unique key, so a node with very many edges is neither
-    collected nor held by one task. Every step is written, so that the lineage stays short; the number of steps grows
+    minimum is a partial aggregate, written, and joined back on a unique key, so that Spark can split the edges of a node
+    with very many of them over several tasks. Every step is written, so that the lineage stays short; the number of steps grows
     with the logarithm of the longest path."""
     now = written(edges.select(F.greatest(low, high).alias("u"), F.least(low, high).alias("v")).where("u <> v").distinct(),
                   "edges")
@@ -25,8 +25,9 @@ def connected_components(edges: DataFrame, low: str, high: str) -> DataFrame:
         before = mark
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.join(written(least, "least"), "u").where("v > u")
+        large = written(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
     stars = now.groupBy("u").agg(F.min("v").alias("component"))

@@ -208,6 +208,7 @@ def _classes(documents: DataFrame, n: int, threshold: float, recall: float, *col
         F.min("bands").alias("bands")).withColumn("class", F.monotonically_increasing_id()), "classes")
     entries = classes.where("grams > 0").select("class", F.explode("bands").alias("bucket"))
     buckets = entries.groupBy("bucket").agg(F.min("class").alias("least"), F.count("*").alias("n")).where("n > 1")
+    buckets = C.written(buckets, "buckets")  # so that the entries of a hot bucket can be split in the join
     links = entries.join(buckets, "bucket").where("class <> least").select("class", "least")
     candidates = C.written(connected_components(links, "class", "least"), "candidates")
     # the n-gram sets of candidate classes, each read from one document of the class
@@ -216,6 +217,7 @@ def _classes(documents: DataFrame, n: int, threshold: float, recall: float, *col
     load = chosen.groupBy("component").agg(F.sum("grams").alias("all_grams"), F.count("*").alias("members"))
     load = load.select("component", F.greatest(F.ceil(F.col("all_grams") / BLOCK_GRAMS),
                                                F.ceil(F.col("members") / BLOCK_CLASSES)).cast("int").alias("blocks"))
+    load = C.written(load, "blocks")
     members = C.written(chosen.join(load, "component").withColumn(
         "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")), "members")
     # every class is in `blocks` pairs of blocks, including that of its own block with itself
