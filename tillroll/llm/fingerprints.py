@@ -23,6 +23,8 @@ DENSE, STRATA, BUCKETS = 8, 9, 16
 MODULUS = 1 << 32
 #: Where a text is cut: line breaks, and white space after a sentence end.
 PARAGRAPH_ENDS = r"[\r\n]+|(?<=[.!?])\s+"
+#: Ranges of documents per shuffle partition: several, so that the partitions come out even.
+RANGES = 8
 #: Differing buckets from which a stratum counts as saturated.
 SATURATED = 13
 
@@ -99,7 +101,7 @@ def with_next(documents: DataFrame) -> DataFrame:
     range before (that of the first range to the last), so that every row finds the next one inside its own range: one
     shuffle, no window over all rows. The driver sees one row per range."""
     rows = C.text_rows(documents, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    bucket, n = C.range_bucket(rows, "doc_id", 2 * C.shuffle_partitions(documents.sparkSession))
+    bucket, n = C.range_bucket(rows, "doc_id", RANGES * C.shuffle_partitions(documents.sparkSession))
     rows = rows.withColumn("bucket", bucket)
     least = rows.groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("f"))
     firsts = {r["bucket"]: r["f"]["doc_id"] for r in least.collect()}
