@@ -191,3 +191,30 @@ def test_pii_of_tables(spark, sf001):
     odd = H.odd_documents(spark)
     assert sorted(map(str, P.replaced(odd).collect())) == sorted(map(str, odd.collect()))
     assert P.report(H.empty_documents(spark)).count() == 0
+
+
+def hinted(texts):
+    import numpy as np
+
+    raw = [t.encode() for t in texts]
+    return P._hinted(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+
+
+WITHOUT_ASCII_DIGITS = [
+    'password = "correcthorsebattery"', "TOKEN:\u2003'abcdefgh'", 'api\u212aey="abcdefgh"', '"\u017fecret" : "abcdefgh"',
+    "call (٤٣٧) ٥٥٥-٠٦٨٩", "१२३-४५-६७८९", "４１１１１１１１１１１１１１１１", "abcdefab" * 4, "ABCDEFAB" * 4, "Señora Ruiz", "x@example.com"]
+
+
+def test_every_text_with_an_entity_is_searched(spark):
+    for text in WITHOUT_ASCII_DIGITS:
+        assert P._entities(text) and hinted(["abcdefabcdef", text, "a="]).count(1) == 1, text
+    df = spark.createDataFrame(list(enumerate(WITHOUT_ASCII_DIGITS)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in P.report(df).collect()}
+    assert all(out[i]["n_replaced"] and out[i]["text"] != t for i, t in enumerate(WITHOUT_ASCII_DIGITS))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.sampled_from([*WITHOUT_ASCII_DIGITS, "key", '"', "'", "=", ":", "abcdef" * 3, "Mr", "Herr"]),
+                                   st.text(max_size=9)), max_size=5).map("".join), max_size=5))
+def test_hints_of_any_texts(texts):
+    assert {i for i, t in enumerate(texts) if P._entities(t)} <= set(hinted(texts))

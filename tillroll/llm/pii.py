@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,7 +64,15 @@ ENTITY = re.compile("|".join((
 
 _HINT = np.zeros(256, bool)
 _HINT[ord("@")] = _HINT[0x30:0x3A] = True
-_HINTS = re.compile("|".join(sorted({t[:3] for k in TITLES.values() for t in k})).encode())
+_SPACE = rb"[\s\x1c-\x1f\x80-\xff]*[\"']"
+_DIGITS = [c.encode() for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isdecimal()]
+#: Titles by their first letters, the assignment before a quoted secret, and digits that aren't ASCII.
+_HINTS = re.compile(b"|".join([*(t.encode() for t in sorted({t[:3] for k in TITLES.values() for t in k})),
+                               b"=" + _SPACE, b":" + _SPACE,
+                               *(h + b"[" + b"".join(d[-1:] for d in _DIGITS if d[:-1] == h) + b"]"
+                                 for h in sorted({d[:-1] for d in _DIGITS}))]))
+#: 32 letters of a hexadecimal number; it consumes one, so that no match hides one of the next row.
+_HEX_HINT = re.compile(rb"[a-fA-F](?=[a-fA-F]{31})")
 _LETTERS = {"accented": "àâäçèéêëîïñóôöùûüíáú", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
             "greek": "αβγδεζηθικλμνξοπρστυφχψω", "latin": "abcdefghijklmnopqrstuvwxyz"}
 
@@ -190,9 +199,11 @@ def rendered(kind: str, mention: str, new: str) -> str:
 
 
 def _hinted(body: np.ndarray, offsets: np.ndarray) -> list[int]:
-    """Rows that may hold an entity: those with a digit, an at sign or the beginning of a title."""
+    """Rows that may hold an entity: all that ENTITY matches has a digit (of any script), an at sign, the beginning of a
+    title, an assignment of something quoted, or many hexadecimal letters."""
+    raw = body.tobytes()
     at = [np.flatnonzero(_HINT[body])]
-    at.append(np.array([m.start() for m in _HINTS.finditer(body.tobytes())], np.int64))
+    at += [np.array([m.start() for m in hint.finditer(raw)], np.int64) for hint in (_HINTS, _HEX_HINT)]
     return np.unique(np.searchsorted(offsets, np.concatenate(at), "right") - 1).tolist()
 
 
