@@ -218,3 +218,44 @@ def test_every_text_with_an_entity_is_searched(spark):
                                    st.text(max_size=9)), max_size=5).map("".join), max_size=5))
 def test_hints_of_any_texts(texts):
     assert {i for i, t in enumerate(texts) if P._entities(t)} <= set(hinted(texts))
+
+
+def surrogates_of(spark, found):
+    df = spark.createDataFrame(found, "kind string, canonical string")
+    return {(r["kind"], r["canonical"]): r for r in P.attempts(df, b"k").collect()}
+
+
+def test_more_names_than_the_pool_of_given_names(spark):
+    found = [("given:latin:m", f"name{i}") for i in range(6000)] + [("given:cyrillic:f", f"имя{i}") for i in range(3000)]
+    got = surrogates_of(spark, found)
+    assert len(got) == 9000 == len({r["surrogate"] for r in got.values()})
+    assert all(r["surrogate"] == P.surrogate(b"k", *k, r["attempt"]) for k, r in got.items())
+
+
+def test_crowded_and_full_formats_get_free_values(spark):
+    found = [("email", f"{c}@example.com") for c in "abcdefghijklmnopqrstuvwxyz"]  # every value of the format
+    found += [("email", f"{c}@x.com") for c in "abcdefghijklmnopqrstuvwxyz"] + [("email", "-@y.com"), ("secret", "--------")]
+    found += [("phone:1", f"1{i:03d}") for i in range(600)]  # of 800 values, 400 are left
+    found += [("card", "4111111111111111"), ("card", "4111111111111112"), ("ssn", "123456789"), ("ip", "1.2.3.4")]
+    found = sorted(set(found))
+    got = surrogates_of(spark, found)
+    assert set(got) == set(found)
+    for kind in ("email", "phone", "secret"):
+        new = [r["surrogate"] for (k, _), r in got.items() if k.startswith(kind)]
+        assert len(set(new)) == len(new) and not set(new) & {c for k, c in found if k.startswith(kind)}
+    assert all(r["surrogate"] == P.surrogate(b"k", *k, r["attempt"]) for k, r in got.items())
+    phones = [r["surrogate"] for (k, _), r in got.items() if k == "phone:1"]
+    free = {f"1{i:03d}" for i in range(200, 1000)} - {c for k, c in found if k == "phone:1"}
+    assert free <= set(phones) and all(p[0] == "1" for p in phones)  # longer ones only when all others are used
+    assert P.rendered("phone:1", "+1 234", "12345") == "+1 2345"
+
+
+@pytest.mark.parametrize("kind, canonical", [
+    ("email", "a.b@x.com"), ("phone:1", "1234"), ("ssn", "123"), ("card", "42"), ("card", "41"), ("secret", "a1"),
+    ("secret", "Xy"), ("secret", "-½"), ("ip", "1.2.3.4"), ("secret", "σ-")])
+def test_values_of_a_format_are_listed_once(kind, canonical):
+    size = min(3000, P.math.prod(map(len, P._format(b"k", kind, canonical)[1])) * 3)
+    values = [P._nth(b"k", kind, canonical, n) for n in range(size)]
+    assert len(set(values)) == size
+    if kind == "card":
+        assert all((P._luhn(v) == 0) == (P._luhn(canonical) == 0) for v in values)

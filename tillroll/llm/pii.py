@@ -6,7 +6,10 @@ country code, mail addresses their top-level domain, and names get names of the
 an HMAC of the entity's canonical form, so that all mentions of an entity, however formatted, agree in all documents.
 
 Distinctness: the distinct entities of all documents are gathered, and a surrogate that two entities of a type share, or
-that is itself an entity of the documents, is drawn anew (with the next attempt number) for all but the first. What
+that is itself an entity of the documents, is drawn anew (with the next attempt number) for all but the first. Names
+grow with the attempt. What still collides after RANDOM_DRAWS attempts is given a free value of its format: the attempt is
+then RANDOM_DRAWS and the value's place in a keyed order of all values of the format, after which come those with
+one more character, then two, so that there is always one. What
 the documents need to know besides the key is the attempt of these few entities: they are broadcast while at most
 EXCEPTIONS_BROADCAST, and joined to the documents that mention them beyond that.
 
@@ -18,6 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import itertools
+import math
 import re
 import sys
 from collections.abc import Iterator
@@ -25,15 +30,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
 
 #: Entities with a redrawn surrogate that are broadcast; more are joined.
 EXCEPTIONS_BROADCAST = 100_000
-#: A type whose surrogates still collide after so many draws has too few values.
-MOST_DRAWS = 50
+#: Draws at random; later ones of types other than names are the free values of the format in order.
+RANDOM_DRAWS = 12
+#: Values of a format that are tried first, besides as many as there are entities; twice as many in each further round.
+TRIED = 16
 
 #: Titles before a name, by gender.
 TITLES = {"m": ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Signor", "господин"),
@@ -122,8 +129,10 @@ def _luhn(digits: str) -> int:
 
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     """The canonical form of an entity's surrogate."""
-    draw = Draw(key, kind, canonical, attempt)
     base, _, detail = kind.partition(":")
+    if attempt >= RANDOM_DRAWS and base not in ("given", "surname"):
+        return _nth(key, kind, canonical, attempt - RANDOM_DRAWS)
+    draw = Draw(key, kind, canonical, attempt)
     if base == "email":
         local, _, domain = canonical.rpartition("@")
         host, _, top = domain.rpartition(".")
@@ -142,8 +151,8 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     if base == "given":
         script, gender = detail.split(":")
         names = GIVEN[script][gender]
-        # the pool is small: beyond it a syllable keeps names apart
-        extra = "" if attempt == 0 else SYLLABLES[script][draw.below(30) % len(SYLLABLES[script])] * (1 + attempt // 10)
+        # the pool is small: beyond it syllables, more with further attempts, keep names apart
+        extra = "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range((attempt + 1) // 2))
         return (names[draw.below(len(names))] + extra).lower()
     if base == "surname":
         script, gender = detail.split(":")
@@ -156,6 +165,64 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     return _alike(canonical, draw)  # other secrets, social security numbers
 
 
+def _format(key: bytes, kind: str, canonical: str) -> tuple[str, list[list[str]], str, list[str]]:
+    """What entities of equal formats share: a name of the format, the choices at each place of its values, what follows
+    these places, and the choices at each further place of longer values."""
+    digits, base = list("0123456789"), kind.partition(":")[0]
+    if base == "ip":
+        octets = [str(n) for n in range(256)]
+        first = [str(n) for n in range(1, 224) if n not in (10, 127, 169, 172, 192)]
+        return kind, [first, *[["." + n for n in octets]] * 3], "", ["." + n for n in octets]
+    if base == "phone":
+        code, rest = int(kind.partition(":")[2]), len(canonical)
+        places = [[c] for c in canonical[:code]] + [list("23456789"), *[digits] * (rest - code - 1)][:rest - code]
+        return f"{kind}:{canonical[:code]}:{rest}", places, "", digits
+    if base == "card":
+        valid = _luhn(canonical) == 0
+        places = [digits] * (len(canonical) - 1)  # the check digit follows; of an invalid number it has 9 values
+        return f"card:{valid}:{len(canonical)}", places if valid else [*places, digits[:9]], "", digits
+    if base == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", canonical):
+        hexes = list("0123456789ABCDEF" if canonical.upper() == canonical else "0123456789abcdef")
+        return f"secret:{hexes[-1]}:{len(canonical)}", [hexes] * len(canonical), "", hexes
+    end = ""
+    if base == "email":
+        canonical, _, domain = canonical.rpartition("@")
+        host, _, top = domain.rpartition(".")
+        end = f"@{_alike(host, Draw(key, 'domain', domain, 0))}.{top}"
+    places = []
+    for c in canonical:
+        letters = _LETTERS[_script(c)]
+        places.append(digits if c.isdigit() else [c] if not c.isalpha() else
+                      list(dict.fromkeys(letters.upper() if c.isupper() else letters)))
+    shape = "".join(p[0] for p in places)
+    return f"{base}:{shape}{end}", places, end, digits if base == "ssn" else list(_LETTERS["latin"])
+
+
+def _nth(key: bytes, kind: str, canonical: str, n: int) -> str:
+    """Value number n of an entity's format in a keyed order: all values of the format, then all of one more place, ..."""
+    name, places, end, further = _format(key, kind, canonical)
+    size = math.prod(map(len, places))
+    while n >= size:
+        n -= size
+        places = [*places, further]
+        size *= len(further)
+    draw = Draw(key, "order", f"{name}\0{len(places)}", 0)
+    factor = 1 + draw.below(size)
+    while math.gcd(factor, size) > 1:
+        factor = 1 + draw.below(size)
+    n = (n * factor + draw.below(size)) % size
+    out = []
+    for p in reversed(places):
+        n, at = divmod(n, len(p))
+        out.append(p[at])
+    value = "".join(reversed(out))
+    if kind == "card":
+        valid = _luhn(canonical) == 0
+        body, more = (value, 0) if valid else (value[:len(canonical) - 1] + value[len(canonical):], 1 + int(value[len(canonical) - 1]))
+        value = body + str((10 - _luhn(body + "0") + more) % 10)
+    return value + end
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
@@ -190,7 +257,7 @@ def rendered(kind: str, mention: str, new: str) -> str:
     base = kind.partition(":")[0]
     if base in ("phone", "card", "ssn"):
         digits = iter(new)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join(next(digits) if c.isdigit() else c for c in mention) + "".join(digits)
     if base in ("given", "surname"):
         return new.upper() if mention.isupper() and len(mention) > 1 else new.capitalize()
     if base == "email":
@@ -238,26 +305,56 @@ def attempts(found: DataFrame, key: bytes) -> DataFrame:
                                              names=["kind", "canonical", "attempt", "surrogate"])
 
     def drawn(df: DataFrame) -> DataFrame:
-        return df.select("kind", "canonical", "attempt").mapInArrow(
-            draw, "kind string, canonical string, attempt int, surrogate string")
+        return df.select("kind", "canonical", F.col("attempt").cast("long").alias("attempt")).mapInArrow(
+            draw, "kind string, canonical string, attempt long, surrogate string")
+
+    def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [_format(key, k, c)[0] for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string())],
+                                             names=["kind", "canonical", "attempt", "surrogate", "format"])
+
+    # types are compared without their details, so that also a name of another gender counts
+    base = F.split("kind", ":")[0]
+
+    def assigned(left: DataFrame, used: DataFrame, doublings: int) -> DataFrame:
+        """`left`, each with the next free one of the first values of its format; as it was, where these are all used."""
+        by_format = Window.partitionBy("format")
+        left = C.written(left.select("kind", "canonical", "attempt", "surrogate").mapInArrow(
+            formatted, "kind string, canonical string, attempt long, surrogate string, format string").withColumn(
+            "nth", F.row_number().over(by_format.orderBy("canonical", "kind"))), "left")
+        formats = left.groupBy("format").agg(F.min(F.struct("kind", "canonical")).alias("one"), F.count("*").alias("n"))
+        blocks = formats.withColumn("tried", (F.col("n") + TRIED) * (1 << doublings)).withColumn(
+            "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tried") - 1, F.lit(4096).cast("long"))))
+        tried = blocks.select("format", "one.kind", "one.canonical", F.explode(F.sequence(
+            F.col("block") + RANDOM_DRAWS, F.least(F.col("block") + 4096, "tried") - 1 + RANDOM_DRAWS)).alias("attempt"))
+        # equal attempts of equal formats have equal values, so the format's one entity stands for all
+        values = C.written(drawn(tried).join(formats.select("format", "one.kind", "one.canonical"), ["kind", "canonical"]), "values")
+        free = values.withColumn("base", base).join(used, ["base", "surrogate"], "left_anti")
+        free = free.select("format", F.row_number().over(by_format.orderBy("attempt")).alias("nth"),
+                           F.col("attempt").alias("next"), F.col("surrogate").alias("new"))
+        return left.join(free, ["format", "nth"], "left").select(
+            "kind", "canonical", F.coalesce("next", "attempt").alias("attempt"), F.coalesce("new", "surrogate").alias("surrogate"))
 
     real = C.written(found, "entities")
     given = C.written(drawn(real.withColumn("attempt", F.lit(0))), "surrogates")
-    for _ in range(MOST_DRAWS):
+    taken = real.select(base.alias("base"), F.col("canonical").alias("surrogate"), F.lit(True).alias("taken")).distinct()
+    for attempt in itertools.count(1):
         # of equal surrogates the earliest drawn, then the smallest entity, keeps it; an entity's own form is no surrogate
-        # types are compared without their details, so that also a name of another gender counts
-        base = F.split("kind", ":")[0]
         first = given.groupBy(base.alias("base"), "surrogate").agg(F.min(F.struct("attempt", "canonical", "kind")).alias("w"))
-        taken = real.select(base.alias("base"), F.col("canonical").alias("surrogate"), F.lit(True).alias("taken")).distinct()
         judged = given.withColumn("base", base).join(first, ["base", "surrogate"]).join(taken, ["base", "surrogate"], "left")
         judged = C.written(judged.select("kind", "canonical", "attempt", "surrogate", (
             F.col("taken").isNotNull() | (F.col("w.canonical") != F.col("canonical")) | (F.col("w.kind") != F.col("kind"))
         ).alias("again")), "judged")
         if judged.where("again").isEmpty():
             return given
-        again = judged.where("again").withColumn("attempt", F.col("attempt") + 1)
-        given = C.written(judged.where("not again").drop("again").unionByName(drawn(again)), "surrogates")
-    raise ValueError("a type of entity has more values than surrogates of its format")
+        kept, again = judged.where("not again").drop("again"), judged.where("again")
+        named = base.isin("given", "surname") if attempt >= RANDOM_DRAWS else F.lit(True)
+        new = drawn(again.where(named).withColumn("attempt", F.col("attempt") + 1))
+        if attempt >= RANDOM_DRAWS:
+            used = kept.select(base.alias("base"), "surrogate").unionByName(taken.drop("taken"))
+            new = new.unionByName(assigned(again.where(~named), used, attempt - RANDOM_DRAWS))
+        given = C.written(kept.unionByName(new), "surrogates")
 
 
 def replaced(documents: DataFrame, *, key: bytes = b"tillroll surrogate key", count: str | None = None) -> DataFrame:
