@@ -83,3 +83,29 @@ def test_odd_and_empty_tables(spark):
     assert Q.classified(H.empty_documents(spark), none).count() == 0
     nulls = spark.createDataFrame([(None, 1, 0), (3, None, 0), (3, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
     assert all(r["score"] > 0.9 for r in Q.classified(odd, nulls).collect())
+
+
+def test_labels_without_usable_documents(spark):
+    docs, labels = rows_of(spark, "/root/testdata/sf0.001")
+    few = Q.FitLimits(per_label=3, epochs=2, batch=8)
+    assert Q.classified(H.empty_documents(spark), labels, few).count() == 0
+    # the labels with the smallest hashes belong to no document, or to texts beyond the limit
+    shift = 10_000_000
+    more = labels.unionByName(labels.select((labels["doc_id"] + shift).alias("doc_id"), *labels.columns[1:]))
+    long = docs.limit(1).crossJoin(spark.range(shift, shift + 40)).selectExpr(
+        "id as doc_id", "repeat('x', 70000) as text", "lang", "source", "n_chars")
+    got = Q.fit(docs.unionByName(long), more, few)
+    want = Q.fit(docs, labels, few)
+    assert all((got.p[k] == want.p[k]).all() for k in ("vectors", "filters", "weights"))
+    alone = docs.where("false").unionByName(long.limit(1).selectExpr("0L as doc_id", "text", "lang", "source", "n_chars"))
+    one = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    assert Q.classified(alone, one, few).count() == 1
+
+
+def test_pipeline_of_an_empty_table_with_labels(spark, sf001):
+    import corpus_pipeline
+
+    docs = H.empty_documents(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf001)
+        assert docs.count() == 0

@@ -7,12 +7,14 @@ bounded sample of labelled documents (FitLimits); the scores are computed in one
 block by block, so that memory does not grow with a text.
 
 Defined results: a null or empty text has no chunk, all its features are 0 and its score is that of the logistic bias;
-labels that are null or belong to no document are ignored, of several labels of a doc_id the smallest holds; without labels of both kinds every score is
+labels that are null or belong to no document are ignored, of several labels of a doc_id the smallest holds; of several texts of a doc_id the
+smallest is in the sample; without a usable text of both kinds every score is
 the share of label 1 (0.5 without labels); repeated documents each get a row; an empty table gives an empty result;
 other columns are ignored."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -163,36 +165,42 @@ class Network:
 
 def fit(documents: DataFrame, labels: DataFrame, limits: FitLimits = FitLimits()) -> Network:
     """Fit the network on labelled rows with crc32(doc_id as text) mod 5 other than 0. The sample: of each label the
-    `per_label` rows with the smallest hashed doc_id. At most `total_bytes` of text reach the driver."""
+    `per_label` documents of at most `document_bytes` with the smallest hashed doc_id, taken from both labels in turn up
+    to `total_bytes`."""
     known = C.text_rows(labels, "doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).where(~held_out("doc_id"))
+    texts = C.text_rows(documents, "doc_id", "text")
+    usable = F.coalesce(F.octet_length("text") <= limits.document_bytes, F.lit(False))
+    present = texts.where("doc_id is not null").groupBy("doc_id").agg(F.max(usable).alias("usable"))
+    known = C.written(known.join(present, "doc_id"), "labelled")
     shares = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    net = Network(limits.seed)
-    if len(shares) < 2:
-        net.p = {k: np.zeros_like(v) for k, v in net.p.items()}
-        prior = min(max(float(next(iter(shares), 0.5)), 1e-6), 1 - 1e-6)
-        net.p["offset"] = np.array([np.log(prior / (1 - prior))], np.float32)
-        return net
+    share = shares.get(1, 0) / sum(shares.values()) if shares else 0.5
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = None
     for k in (0, 1):
-        one = known.where(F.col("quality") == k).orderBy(*order).limit(limits.per_label)
+        one = known.where((F.col("quality") == k) & F.col("usable")).orderBy(*order).limit(limits.per_label)
         sample = one if sample is None else sample.unionByName(one)
-    texts = C.text_rows(documents, "doc_id", "text").where(F.octet_length("text") <= limits.document_bytes)
     # the sample's size is a parameter, so it may be broadcast
-    rows = texts.join(F.broadcast(sample), "doc_id").select(
-        "doc_id", "quality", F.col("text").cast("binary").alias("body"), F.octet_length("text").alias("n"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "body").limit(2 * limits.per_label)
-    bodies, kinds, held = [], [], 0
+    rows = texts.where(usable).join(F.broadcast(sample), "doc_id").select(
+        "doc_id", "quality", F.col("text").cast("binary").alias("body"))
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("body").alias("body")).orderBy(*order)
+    found: dict[int, list[bytes]] = {0: [], 1: []}
     for r in rows.collect():
-        if held + r["n"] <= limits.total_bytes:
-            held += r["n"]
-            bodies.append(bytes(r["body"]))
-            kinds.append(r["quality"])
-    kinds = np.array(kinds, np.float32)
-    if len(set(kinds.tolist())) < 2:
-        raise ValueError("no documents of both labels within the sample's bounds")
-    return net.fit(bodies, kinds, limits, shares[1] / (shares[0] + shares[1]))
+        found[r["quality"]].append(bytes(r["body"]))
+    bodies, kinds, held = [], [], 0
+    for pair in itertools.zip_longest(found[0], found[1]):
+        for k, body in enumerate(pair):
+            if body is not None and held + len(body) <= limits.total_bytes:
+                held += len(body)
+                bodies.append(body)
+                kinds.append(k)
+    net = Network(limits.seed)
+    if len(set(kinds)) < 2:
+        net.p = {k: np.zeros_like(v) for k, v in net.p.items()}
+        prior = min(max(share, 1e-6), 1 - 1e-6)
+        net.p["offset"] = np.array([np.log(prior / (1 - prior))], np.float32)
+        return net
+    return net.fit(bodies, np.array(kinds, np.float32), limits, share)
 
 
 def held_out(column: str):
