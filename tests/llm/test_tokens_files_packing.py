@@ -128,3 +128,28 @@ def test_local_search_empties_a_bin_that_best_fit_leaves():
     assert len(best.items) == 3
     packing._improve(best, sizes, 2)
     assert sorted(sorted(sizes[i] for i in b) for b in best.items if b) == [[25, 37, 38], [26, 30, 44]]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(20, 45), min_size=10, max_size=200))
+def test_local_search_ends_only_when_no_bin_improves(sizes):
+    least = -(-sum(sizes) // 100)
+    bins = [[sizes[i] for i in b] for b in packing.pack_group(sizes, 100)]
+    if len(bins) <= least:
+        return
+    for x, poor in enumerate(bins):
+        gives = [*poor, *(a + b for i, a in enumerate(poor) for b in poor[i + 1:])]
+        for y, rich in enumerate(bins):
+            if x != y and sum(poor) < 100:
+                assert not any(sum(rich) + a <= 100 and sum(rich) >= sum(poor) for a in poor)
+                for gain in (g - back for g in gives for back in rich):
+                    assert not (0 < gain <= 100 - sum(rich) and sum(rich) + gain > sum(poor))
+
+
+def test_local_search_reaches_all_underfull_bins():
+    import random
+
+    r = random.Random(1)
+    sizes = [r.randint(1100, 1620) for _ in range(600)]
+    before = len([b for b in packing._best_fit(sizes, 4096).items if b])
+    assert len(packing.pack_group(sizes, 4096)) < 0.95 * before

@@ -88,31 +88,86 @@ def _best_fit(sizes: list[int], capacity: int) -> Bins:
     return bins
 
 
-def _improve(bins: Bins, sizes: list[int], least: int, rounds: int = 40, givers: int = 32, partners: int = 64) -> None:
-    """Local search on the sum of squared fills: the emptiest bins give items to fuller ones where they fit, or exchange one
-    or two of them for a smaller one, which makes the other bin fuller. It ends when `least` bins remain or a round changes
-    nothing. `rounds`, `givers` and `partners` (underfull bins tried) bound time, never what is packed."""
-    for _ in range(rounds):
-        alive = [b for b, x in enumerate(bins.items) if x]
-        if len(alive) <= least:
-            return
-        underfull = sorted((b for b in alive if bins.free[b]), key=lambda b: (-bins.free[b], b))
-        changed, left = False, len(alive)
-        for n, poor in enumerate(underfull[:givers]):
-            changed |= _give(bins, sizes, poor)
-            for rich in underfull[n + 1:n + 1 + partners]:
-                if bins.items[poor] and bins.items[rich]:
-                    changed |= _exchange(bins, sizes, poor, rich)
+class Partners:
+    """The items of all underfull bins by their bin's free space and their size. `sizes_at[f]` is a bit set of the sizes in
+    bins with f free, `reach[f]` one of the sizes that can be put in for one of these."""
+
+    def __init__(self, bins: Bins, sizes: list[int]):
+        self.bins, self.sizes = bins, sizes
+        self.owners: dict[int, dict[int, dict[int, int]]] = {}
+        self.sizes_at: dict[int, int] = {}
+        self.reach: dict[int, int] = {}
+        for b, items in enumerate(bins.items):
+            if items:
+                self.show(b)
+
+    def show(self, b: int) -> None:
+        f = self.bins.free[b]
+        if f and self.bins.items[b]:
+            at = self.owners.setdefault(f, {})
+            for i in self.bins.items[b]:
+                at.setdefault(self.sizes[i], {})[b] = i
+                self.sizes_at[f] = self.sizes_at.get(f, 0) | 1 << self.sizes[i]
+            self.reach.pop(f, None)
+
+    def hide(self, b: int) -> None:
+        f = self.bins.free[b]
+        if f and self.bins.items[b]:
+            at = self.owners[f]
+            for size in {self.sizes[i] for i in self.bins.items[b]}:
+                del at[size][b]
+                if not at[size]:
+                    del at[size]
+                    self.sizes_at[f] &= ~(1 << size)
+            self.reach.pop(f, None)
+            if not at:
+                del self.owners[f], self.sizes_at[f]
+
+    def _reach(self, f: int) -> int:
+        if f not in self.reach:
+            found, width = self.sizes_at[f] << 1, 1
+            while width < f:
+                step = min(width, f - width)
+                found |= found << step
+                width += step
+            self.reach[f] = found
+        return self.reach[f]
+
+    def best(self, gives: int, room: int) -> tuple[int, int, int] | None:
+        """(bin, its item, size to give for it) in the fullest bin that sizes of the bit set `gives` can make fuller, with the
+        largest gain there, from a bin with `room` free."""
+        for f in sorted(self.owners):
+            if gives & self._reach(f):
+                # squared fills grow if the bin that gets fuller ends fuller than the other one was before
+                for gain in range(f, max(0, f - room), -1):
+                    backs = (gives >> gain) & self.sizes_at[f]
+                    if backs:
+                        size = (backs & -backs).bit_length() - 1
+                        b = min(self.owners[f][size])
+                        return b, self.owners[f][size][b], size + gain
+        return None
+
+
+def _improve(bins: Bins, sizes: list[int], least: int) -> None:
+    """Local search on the sum of squared fills: underfull bins, the emptiest first, give items to fuller ones where they
+    fit, or exchange one or two of them for a smaller one, which makes the other bin fuller. Every underfull bin gives, to
+    any other. It ends when `least` bins remain or no bin improves."""
+    partners, changed = Partners(bins, sizes), True
+    left = sum(1 for x in bins.items if x)
+    while changed and left > least:
+        changed = False
+        for poor in sorted((b for b, x in enumerate(bins.items) if x and bins.free[b]), key=lambda b: (-bins.free[b], b)):
+            while bins.items[poor] and bins.free[poor] and (
+                    _give(bins, sizes, poor, partners) or _exchange(bins, sizes, poor, partners)):
+                changed = True
             if not bins.items[poor]:
                 bins.drop(poor)
                 left -= 1
                 if left <= least:
                     return
-        if not changed:
-            return
 
 
-def _give(bins: Bins, sizes: list[int], poor: int) -> bool:
+def _give(bins: Bins, sizes: list[int], poor: int, partners: Partners) -> bool:
     """Move items of `poor` into bins that are at least as full."""
     changed = False
     for item in sorted(bins.items[poor], key=lambda i: -sizes[i]):
@@ -121,32 +176,45 @@ def _give(bins: Bins, sizes: list[int], poor: int) -> bool:
         to = bins.tightest(sizes[item])
         bins.show(poor)
         if to is not None and bins.free[to] <= free:
+            partners.hide(poor)
+            partners.hide(to)
             bins.take(poor, item, sizes[item])
             bins.put(to, item, sizes[item])
+            partners.show(poor)
+            partners.show(to)
             changed = True
     return changed
 
 
-def _exchange(bins: Bins, sizes: list[int], poor: int, rich: int) -> bool:
-    """The best exchange of one or two items of `poor` for one of `rich` that fills `rich` further, if there is one."""
-    own, room, best = bins.items[poor], bins.free[rich], None
-    gives = [(sizes[i], (i,)) for i in own]
-    gives += [(sizes[i] + sizes[j], (i, j)) for x, i in enumerate(own[:32]) for j in own[x + 1:32]]
-    for back in bins.items[rich]:
-        for size, which in gives:
-            gain = size - sizes[back]
-            if 0 < gain <= room and (best is None or gain > best[0]):
-                best = (gain, which, back)
-    # squared fills grow if the bin that gets fuller ends fuller than the other one was before
-    if best is None or (bins.capacity - bins.free[rich]) + best[0] <= bins.capacity - bins.free[poor]:
+def _gives(own: list[int], sizes: list[int]) -> dict[int, tuple[int, ...]]:
+    """The sizes of one or two of the items, each with items of that size: one where one has it."""
+    by_size: dict[int, list[int]] = {}
+    for i in own:
+        by_size.setdefault(sizes[i], []).append(i)
+    kinds = sorted(by_size)
+    pairs = {a + b: (by_size[a][0], by_size[b][0]) for x, a in enumerate(kinds) for b in kinds[x + 1:]}
+    pairs |= {2 * a: (by_size[a][0], by_size[a][1]) for a in kinds if len(by_size[a]) > 1}
+    return pairs | {a: (by_size[a][0],) for a in kinds}
+
+
+def _exchange(bins: Bins, sizes: list[int], poor: int, partners: Partners) -> bool:
+    """The best exchange of one or two items of `poor` for one of a bin that this fills further, if there is one."""
+    gives = _gives(bins.items[poor], sizes)
+    partners.hide(poor)
+    found = partners.best(sum(1 << s for s in gives), bins.free[poor])
+    if found is None:
+        partners.show(poor)
         return False
-    gain, which, back = best
+    rich, back, given = found
+    partners.hide(rich)
     bins.take(rich, back, sizes[back])
-    for i in which:
+    for i in gives[given]:
         bins.take(poor, i, sizes[i])
-    for i in which:
+    for i in gives[given]:
         bins.put(rich, i, sizes[i])
     bins.put(poor, back, sizes[back])
+    partners.show(rich)
+    partners.show(poor)
     return True
 
 
