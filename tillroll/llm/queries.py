@@ -71,6 +71,24 @@ def op10_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import merkle
+
+    return merkle.audited(_table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import divergence
+
+    return divergence.audited(_table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash_trie
+
+    return simhash_trie.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
