@@ -96,13 +96,13 @@ def test_small_frontiers_find_the_same(prints, monkeypatch):
     assert sum(len(i) for i, _ in T.trie_links(v, v, 2, True)) == every
 
 
-@pytest.mark.parametrize("leaf_size", [4096, 150])
-def test_components_over_the_split_trie(spark, prints, leaf_size):
+@pytest.mark.parametrize("leaf_size,stride", [(4096, 3), (600, 6)])
+def test_components_over_the_split_trie(spark, prints, leaf_size, stride):
     from tillroll.llm.components import connected_components
 
     signed = [(int(np.uint64(f).astype(np.int64)),) for f in prints]
     df = spark.createDataFrame(signed, "fp long")
-    edges = T.C.written(T.linked(df, leaf_size=leaf_size), "test-edges")
+    edges = T.C.written(T.linked(df, leaf_size=leaf_size, stride=stride), "test-edges")
     got = {r["node"] % (1 << 64): r["component"] for r in connected_components(edges, "u", "v").collect()}
     name = components(prints)
     assert {f for f in prints if f not in got} == {f for f in prints if list(name.values()).count(name[f]) == 1}
