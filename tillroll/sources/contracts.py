@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.formats import DATE_PATTERNS, read_dates
+
 # The distributor report's spreadsheet headers and their canonical names, in report order.
 DISTRIBUTOR_COLUMNS = {
     "Date of Sale": "date_of_sale",
@@ -46,10 +48,6 @@ DISTRIBUTOR_NUMERICS = (
 NUMERIC_TYPE = "decimal(24,6)"
 
 
-#: Date patterns tried in order after the ISO form; ambiguous ones are read as the first that fits.
-DATE_PATTERNS = ("M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "d-MMM-yyyy", "d.M.yyyy", "yyyyMMdd")
-
-
 class MissingColumnsError(ValueError):
     pass
 
@@ -68,24 +66,26 @@ def require_columns(df: DataFrame, required) -> DataFrame:
 
 
 def lenient_date(column: str, patterns=DATE_PATTERNS) -> Column:
-    """IO9/F32: a text cell as a date: ISO dates and times first, then each pattern; null if none fits."""
+    """One text cell as a date, whatever its column holds: ISO dates and times first, then each pattern; null if none fits.
+    For a column whose cells share a format use formats.read_dates."""
     text = F.trim(F.col(column).cast("string"))
     return F.coalesce(text.try_cast("timestamp").cast("date"),
                       *[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in patterns])
 
 
 def apply_contract(df: DataFrame, colmap: dict[str, str], dates=(), numerics=(), numeric_type: str = NUMERIC_TYPE,
-                   date_patterns=DATE_PATTERNS) -> DataFrame:
-    """IO7 + IO9: check, rename, then parse dates and numbers leniently (unparsable -> null). `date_patterns` are tried in
-    order, so a publisher that writes the day first passes ("d/M/yyyy", ...)."""
+                   date_patterns=DATE_PATTERNS, by: str | None = None, undecided: str = "first") -> DataFrame:
+    """IO7 + IO9: check, rename, then type dates and numbers leniently (what cannot be typed is null; formats.lost_cells
+    counts it). The order of day and month is decided per column from all of its cells, and per file if the column `by` names
+    it, which runs one counting job over the report (see formats); `undecided` says what happens if no cell decides."""
     df = require_columns(df, list(colmap)).withColumnsRenamed(colmap)
-    casts = {c: lenient_date(c, date_patterns) for c in dates}
-    casts.update({c: F.col(c).cast("string").try_cast(numeric_type) for c in numerics})
-    return df.withColumns(casts)
+    df = read_dates(df, dates, date_patterns, by, undecided)
+    return df.withColumns({c: F.col(c).cast("string").try_cast(numeric_type) for c in numerics})
 
 
-def read_distributor_report(df: DataFrame, date_patterns=DATE_PATTERNS) -> DataFrame:
-    return apply_contract(df, DISTRIBUTOR_COLUMNS, DISTRIBUTOR_DATES, DISTRIBUTOR_NUMERICS, date_patterns=date_patterns)
+def read_distributor_report(df: DataFrame, date_patterns=DATE_PATTERNS, by: str | None = None, undecided: str = "first") -> DataFrame:
+    return apply_contract(df, DISTRIBUTOR_COLUMNS, DISTRIBUTOR_DATES, DISTRIBUTOR_NUMERICS, date_patterns=date_patterns, by=by,
+                          undecided=undecided)
 
 
 def read_report_files(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

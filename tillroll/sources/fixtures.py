@@ -280,3 +280,19 @@ def publisher_report(t: Tables, start: str, end: str) -> DataFrame:
         promo.alias("Promotion Name"),
         F.lit("Sold").alias("Status"),
     )
+
+
+def partner_files(t: Tables, start: str, end: str) -> DataFrame:
+    """A partner's order lines of a month in files of two offices, which write dates in their own ways: one month first, the
+    other day first, some cells in ISO form or with the month's name, some empty or not dates at all."""
+    x = _month_lines(t, start, end, "order_date")
+    sale = F.date_add(F.to_date("order_date"), F.col("line_number") * 9)
+    office = F.when(F.col("currency").isin("USD", "AUD"), "overseas.csv").otherwise("home.csv")
+    abroad = F.col("currency").isin("USD", "AUD")
+    written = (F.when(F.col("line_number") == 5, F.lit("n/a")).when(F.col("line_number") == 6, F.lit(" "))
+               .when(F.col("line_number") == 2, sale.cast("string")).when(F.col("line_number") == 4, F.date_format(sale, "d MMM yyyy"))
+               .when(abroad, F.date_format(sale, "M/d/yyyy")).otherwise(F.date_format(sale, "d/M/yyyy")))
+    shipped = F.to_date("ship_date")
+    return x.select(
+        "iid", office.alias("file"), written.alias("sold"),
+        F.when(abroad, F.date_format(shipped, "yyyyMMdd")).otherwise(F.date_format(shipped, "d.M.yyyy")).alias("shipped"))
