@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll.functions import similarity
 from tillroll.functions.names import normalize_name
 from tillroll.functions.similarity import indel_distance, token_set_ratio
 from tillroll.operators import matching
@@ -107,6 +108,45 @@ def test_candidates_avoid_all_pairs(spark):
     assert matching.candidate_pairs(df, df, 90).count() < 0.01 * len(names) ** 2
 
 
+def test_a_hot_token_joins_only_prefixes(spark):
+    # every name has the token 'games'; only the one-word name has it in its prefix
+    rnd = random.Random(5)
+    names = sorted({"games " + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(300)} | {"games"})
+    df = spark.createDataFrame([(x,) for x in names], "norm string").checkpoint()
+    elements = matching._prefixed(df, df, *matching._bounds(90)).where("kind = 't'").checkpoint()
+    joined = matching.prefix_joins(elements)
+    # 'games' with all names from either side, and each name with itself by its own word from either side
+    assert joined.count() == 2 * len(names) + 2 * (len(names) - 1)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert len(conditions) == 3 and not any(" OR " in c for c in conditions)
+
+
+def test_bit_parallel_distances_equal_the_table():
+    def table(a, b):
+        prev = [0] * (len(b) + 1)
+        for x in a:
+            cur = [0]
+            for j, y in enumerate(b, 1):
+                cur.append(prev[j - 1] + 1 if x == y else max(prev[j], cur[j - 1]))
+            prev = cur
+        return len(a) + len(b) - 2 * prev[-1]
+
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choice("abcä日🙂 ") for _ in range(n)) for n in [0, 1, 2, 63, 64, 65, 127, 128, 129, 200, *(rnd.randrange(40) for _ in range(60))]]
+    pairs = [(a, b) for a in texts for b in texts]
+    got = similarity.indel_distances([a for a, _ in pairs], [b for _, b in pairs]).tolist()
+    assert got == [table(a, b) for a, b in pairs]
+    assert similarity.indel_distances([], []).tolist() == []
+
+
+def test_scores_of_a_batch_equal_single_scores():
+    rnd = random.Random(4)
+    names = _random_names(rnd, 60) + ["", "  "]
+    left, right = [a for a in names for _ in names] + [None], names * len(names) + ["x"]
+    assert similarity.token_set_ratios(left, right).tolist() == [token_set_ratio(a, b) for a, b in zip(left, right)]
+
+
 def test_candidates_of_word_list_names(spark):
     # names of 2-3 words from a 400-word list: what reaches the scorer is a vanishing share of all pairs
     rnd = random.Random(9)
@@ -129,7 +169,17 @@ def test_thresholds_without_a_complete_filter_are_refused(spark, threshold):
 def test_names_of_other_scripts(spark):
     rows = [("Газпром Игры",), ("Ελλάς Ώρα ΑΕ",), ("ＡＣＭＥ ｌｔｄ",), ("Ștefan Việt",), ("ACME™",), ("株式会社テスト",)]
     df = spark.createDataFrame(rows, "n string").select(normalize_name("n").alias("x"))
-    assert [r["x"] for r in df.collect()] == ["gazprom igry", "ellas ora ae", "acme", "stefan viet", "acmetm", "株式会社テスト"]
+    assert [r["x"] for r in df.collect()] == ["gazprom igry", "ellas ora ae", "acme", "stefan viet", "acmetm", "株式会社tesuto"]
+
+
+def test_accents_and_syllables(spark):
+    import unicodedata
+
+    rows = [("İstanbul",), (unicodedata.normalize("NFD", "Société Générale"),), ("한국 게임",), ("ゲームかぶしき",), ("हिन्दी & Co",),
+            ("שָׁלוֹם",), (unicodedata.normalize("NFD", "Ștefan"),), ("ラーメン",)]
+    df = spark.createDataFrame(rows, "n string").select(normalize_name("n").alias("x"))
+    assert [r["x"] for r in df.collect()] == ["istanbul", "societe generale", "hangug geim", "gemukabushiki", "हिन्दी and", "שלום",
+                                              "stefan", "ramen"]
 
 
 def test_fuzzy_join_empty_and_ties(spark):

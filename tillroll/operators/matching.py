@@ -7,7 +7,8 @@ keys are chosen so that every pair able to reach the threshold shares one (an ex
    100; the other token-driven terms reach t only if T holds at least alpha = rho / (1 + rho) of one name's weight
    (rho = (1 - u) / 2u, u = 1 - t/100; token weight = length + 1). Order tokens by global frequency, rarest first;
    a name's prefix is its shortest head whose remaining weight is below alpha of the whole. A pair with enough
-   shared weight shares a token of one side's prefix, so prefix tokens are joined with all tokens of the other side.
+   shared weight shares a token of one side's prefix. So there are two equi joins, left prefixes with all right tokens and
+   all left tokens with right prefixes: a token that is in a third of the names, but in no name's prefix, joins nothing.
 2. Character path. ratio(T+A, T+B) >= t bounds indel(A, B), and each insertion or deletion changes at most three
    of the name's token-padded bigrams, so the two bigram multisets overlap in at least beta = (1 - 3u) / (1 + u)
    of either one (0.64 at t = 90). With the same rare-first order, prefixes of length |G| - ceil(beta |G|) + k on
@@ -17,7 +18,7 @@ keys are chosen so that every pair able to reach the threshold shares one (an ex
 
 Candidates must then reach one of the two bounds in full (shared token weight, or multiset overlap), computed with
 array functions before any Python runs. A frequent token or bigram enters a name's prefix only when the name consists
-mostly of frequent parts, so hot keys do not multiply into all pairs of their group. The filter is exact for
+mostly of frequent parts; what such a prefix joins contains the name or most of it. The filter is exact for
 thresholds above 2/3 (the default is 90); below that the bigram bound is void, so such thresholds are refused.
 The remaining pairs are scored by an Arrow UDF, and the best match per left name is a `min_by` aggregate (score desc,
 then name asc, the first best wins). All of this runs on distinct normalised names, so repeated names in the inputs
@@ -84,15 +85,30 @@ def _prefixed(left: DataFrame, right: DataFrame, alpha: float, beta: float) -> D
         "side", "norm", "k", F.explode(F.concat(tokens, singles, pairs)).alias("x")).select("side", "norm", "k", "x.*")
 
 
+def prefix_joins(elements: DataFrame) -> DataFrame:
+    """(l, r) pairs, with repeats, that share a prefix element: prefix tokens of either side with all tokens of the other, and
+    prefix bigrams (or pairs of them) with each other. Every join has prefix elements on at least one side."""
+    def side(name: str, out: str) -> DataFrame:
+        return elements.where(F.col("side") == name).select(F.col("norm").alias(out), "kind", "key", "pref", F.col("k").alias(f"{out}k"))
+
+    left, right = side("L", "l"), side("R", "r")
+
+    def tokens(of: DataFrame, out: str, prefix: bool) -> DataFrame:
+        kept = of.where("kind = 't' AND pref") if prefix else of.where("kind = 't'")
+        return kept.select(out, "key")
+
+    by_left = tokens(left, "l", True).join(tokens(right, "r", False), "key").select("l", "r")
+    by_right = tokens(left, "l", False).join(tokens(right, "r", True), "key").select("l", "r")
+    bigrams = left.where("kind <> 't'").drop("pref").join(right.where("kind <> 't'").drop("pref"), ["kind", "key"]).where(
+        F.least("lk", "rk") == F.col("kind").cast("int")).select("l", "r")
+    return by_left.unionByName(by_right).unionByName(bigrams)
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float = 90) -> DataFrame:
     """Distinct (l, r) normalised-name pairs that can score >= threshold (a superset of them, see module doc)."""
     alpha, beta = _bounds(threshold)
-    e = _prefixed(left, right, alpha, beta)
-    lx = e.where("side = 'L'").select(F.col("norm").alias("l"), "kind", "key", F.col("pref").alias("lp"), F.col("k").alias("lk"))
-    rx = e.where("side = 'R'").select(F.col("norm").alias("r"), "kind", "key", F.col("pref").alias("rp"), F.col("k").alias("rk"))
-    found = lx.join(rx, ["kind", "key"]).where(
-        "(kind = 't' AND (lp OR rp)) OR (kind = '1' AND least(lk, rk) = 1) OR (kind = '2' AND least(lk, rk) = 2)")
-    pairs = found.select("l", "r").distinct()
+    # the elements feed five join sides: they are written once
+    pairs = prefix_joins(cut_lineage(_prefixed(left, right, alpha, beta))).distinct()
     lp = _parts(left).select(F.col("norm").alias("l"), F.col("toks").alias("lt"), F.col("bgs").alias("lb"))
     rp = _parts(right).select(F.col("norm").alias("r"), F.col("toks").alias("rt"), F.col("bgs").alias("rb"))
     weight = "aggregate({0}, 0, (s, x) -> s + length(x) + 1)"
