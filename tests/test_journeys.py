@@ -142,12 +142,54 @@ def test_hot_user_window_input_is_bounded_by_days(spark):
     assert win.exceptAll(lit).count() == 0 and lit.exceptAll(win).count() == 0
 
 
-def test_next_flagged_bucket_unit_does_not_change_result(spark):
-    orders = random_transition_orders(spark, n=800, users=5, seed=9)
-    day = journeys.next_flagged_orders(orders, "day")
-    for unit in ("hour", "minute"):
-        other = journeys.next_flagged_orders(orders, unit)
-        assert day.exceptAll(other).count() == 0 and other.exceptAll(day).count() == 0
+def test_next_flagged_segments_do_not_change_result(spark):
+    orders = random_transition_orders(spark, n=800, users=5, seed=9).cache()
+    whole = journeys.next_flagged_orders(orders).collect()
+    for size in (1, 7, 150, 170):  # users have about 160 orders each
+        assert sorted(journeys.next_flagged_orders(orders, size).collect()) == sorted(whole)
+
+
+def test_a_hot_hour_is_cut_into_segments(spark):
+    """A third of all orders is one user's, all within one hour and half of them in one second; no segment exceeds its size."""
+    rnd = random.Random(8)
+    base = dt.datetime(2024, 1, 1, 12)
+    rows = []
+    for oid in range(6000):
+        hot = oid % 3 == 0
+        t = base + (dt.timedelta(seconds=rnd.choice([1800, rnd.randrange(3600)])) if hot else dt.timedelta(hours=rnd.randrange(2000)))
+        rows.append((oid, 0 if hot else 1 + oid % 400, t, t.date(), int(rnd.random() < 0.02), int(rnd.random() < 0.02)))
+    orders = spark.createDataFrame(rows, TRANS_SCHEMA).cache()
+    got = journeys.next_flagged_orders(orders, 100).select("kind", "user_id", "source_order_id", "target_order_id")
+    lit = literal.next_flagged_both(orders).select("kind", "user_id", "source_order_id", "target_order_id")
+    assert sorted(got.collect()) == sorted(lit.collect()) and got.where("user_id = 0").count() > 50
+    hot = journeys._filled_in_segments(orders.where("user_id = 0"), 100)
+    plan = hot._jdf.queryExecution().analyzed().toString()
+    assert "_cut" in plan and hot.count() == 2000
+    placed = journeys.positions(orders.where("user_id = 0"), ["order_ts", "order_id"], ["user_id"])
+    assert placed.groupBy(F.floor(F.col("position") / 100).alias("s")).count().agg(F.max("count")).first()[0] == 100
+
+
+def test_large_baskets_are_paired_in_blocks(spark):
+    """Two orders of hundreds of products, which make nearly all edges: equal rows, spread over the tasks."""
+    names = [None] + [f"p{i}" for i in range(299)]
+    lines = [(1, n, 1, 0) for n in names] + [(2, f"q{i}", 0, 1) for i in range(200)] + [
+        (10 + i, f"p{i}", i % 2, 1 - i % 2) for i in range(60)] + [(1, "p1", 1, 0)]
+    lines = spark.createDataFrame(lines, "order_id long, product_name string, is_fv int, is_game int").cache()
+    day = dt.date(2024, 1, 1)
+    pairs = [("fv2game", 5, 1, day, 2, day), ("game2fv", 5, 2, day, 1, day)] + [
+        ("fv2game", 6, 11 + 2 * i, day, 10 + 2 * i, day) for i in range(20)] + [("fv2game", 7, 11, day, 2, day)]
+    pairs = spark.createDataFrame(pairs, "kind string, user_id long, source_order_id long, source_date date, target_order_id long, "
+                                         "target_date date").cache()
+    plain = journeys.transition_edges(pairs, lines, "a", "b")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = journeys.transition_edges(pairs, lines, "a", "b", block=20)
+        sizes = cut.groupBy(F.spark_partition_id()).count().orderBy(F.desc("count")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert plain.count() == 2 * 300 * 200 + 20 + 200
+    assert plain.exceptAll(cut).isEmpty() and cut.exceptAll(plain).isEmpty()
+    assert sizes[0]["count"] < 0.5 * plain.count()
 
 
 def test_next_flagged_within_one_day_is_linear_and_exact(spark):
@@ -164,7 +206,7 @@ def test_next_flagged_within_one_day_is_linear_and_exact(spark):
         df = spark.createDataFrame(rows, TRANS_SCHEMA).repartition(4).cache()
         df.count()
         began = time.time()
-        got = {(r["kind"], r["source_order_id"]): r["target_order_id"] for r in journeys.next_flagged_orders(df, "day").collect()}
+        got = {(r["kind"], r["source_order_id"]): r["target_order_id"] for r in journeys.next_flagged_orders(df, n // 3).collect()}
         took = time.time() - began
         want, game, fv = {}, None, None
         for oid, _, _, _, has_fv, has_game in sorted(rows, key=lambda r: (r[2], r[0]), reverse=True):

@@ -1,13 +1,14 @@
 """Customer journeys over orders (P1: W1-W4, J3-J5, A8; P2: W5-W8, J6-J11).
 
 Scale design. The reference answers "previous order", "followed within N days" and "next flagged order" with self
-joins per user, which are quadratic in a user's order count. Here they are windows, and the windows never run over a
-user's raw orders: orders are first reduced to one row per (user, calendar day) with a partially aggregated
+joins per user, which are quadratic in a user's order count. Here they are windows, and the windows of the first two never
+run over a user's raw orders: orders are first reduced to one row per (user, calendar day) with a partially aggregated
 `groupBy`, and the per-user window runs over that summary. A user's window partition is therefore bounded by the
 number of days in the report period, whatever the user's order volume, so a user (or a null user id) holding a third
 of all orders is split across (user, day) keys by the shuffle and only its day summary meets in one task. The
 per-order answer is attached back with one equi join on (user, day), whose right side is unique per key (AQE's skew
-join splits a hot left key).
+join splits a hot left key). "Next flagged order" needs the orders themselves: users with very many of them are cut into
+segments of equal size by a range sort (`next_flagged_orders`).
 """
 
 from __future__ import annotations
@@ -16,9 +17,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import months_between_boundaries
+from tillroll.operators.ordering import positions
+from tillroll.session import cut_lineage
 
 USER, DAY = "user_id", "order_date"
 
+#: Most orders of one user in one window partition of the forward fill, and most products of a basket that are paired in one row.
+SEGMENT_ORDERS, BASKET_BLOCK = 100_000, 1_000
+
 # The transition report's cohort labels and its default direction labels.
 COHORT_FLAGSHIP_FIRST = "FV_FIRST"
 COHORT_GAME_THEN_FLAGSHIP = "GAME_THEN_FV"
@@ -101,7 +107,6 @@ def order_journey_rows(orders: DataFrame, window_days: int, bare_numeric: str =
     if keep is not None:
         orders = orders.select(*dict.fromkeys([USER, "order_id", DAY, "has_fv", "has_game", "has_dlc", "has_other", *keep]))
     if materialize:
-        from tillroll.session import cut_lineage
         orders = cut_lineage(orders)
     prof = order_day_profile(orders, window_days)
     x = attach_day_profile(orders, prof)
@@ -210,62 +215,119 @@ def first_order_cohorts(orders: DataFrame, launch) -> DataFrame:
     return per_user.select(USER, cohort.alias("cohort_type")).where(F.col("cohort_type").isNotNull())
 
 
-def next_flagged_orders(orders: DataFrame, bucket_unit: str = "hour") -> DataFrame:
-    """J9 for both directions in one pass: for every flagship order the same-or-next game order of the user, and for
-    every game order the same-or-next flagship order (order = first line time, then order id; S27: a mixed basket is
-    its own successor). Same rows as the reference's `seq >= seq` self join + ROW_NUMBER = 1.
-
-    Forward fill in two levels so no window runs over a user's raw orders: inside the order's (user, time bucket) with
-    a window, and across buckets with a window over the per-(user, bucket) summary, whose size per user is bounded by
-    the calendar. Both windows run in descending order with a frame up to the current row, which Spark extends row by
-    row; the mirrored frame (current row to the end) would be rescanned for every row. `bucket_unit` ('day', 'hour',
-    'minute') trades the two levels: finer buckets split a user who orders very often within one hour; the result does
-    not depend on it."""
-    o = orders.where(F.col(USER).isNotNull()).withColumn(
-        "_b", F.date_trunc(bucket_unit, F.col("order_ts")))
+def _filled(orders: DataFrame, *segment: str) -> DataFrame:
+    """Orders with the same-or-next game and flagship order (`_g`, `_f`) of the user, or of the user's segment. The window runs in
+    descending order with a frame up to the current row, which Spark extends row by row; the mirrored frame (current row to
+    the end) would be rescanned for every row."""
     pos = F.struct("order_ts", "order_id", DAY)
-    hit_game = F.when(F.col("has_game") == 1, pos)
-    hit_fv = F.when(F.col("has_fv") == 1, pos)
-    to_here = Window.partitionBy(USER, "_b").orderBy(F.col("order_ts").desc(), F.col("order_id").desc()) \
+    to_here = Window.partitionBy(USER, *segment).orderBy(F.col("order_ts").desc(), F.col("order_id").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = o.select(USER, "order_id", DAY, "_b", "has_fv", "has_game",
-                 F.last(hit_game, ignorenulls=True).over(to_here).alias("_g_in"),
-                 F.last(hit_fv, ignorenulls=True).over(to_here).alias("_f_in"))
-    later = Window.partitionBy(USER).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    days = o.groupBy(USER, "_b").agg(F.min(hit_game).alias("_g"), F.min(hit_fv).alias("_f")).select(
-        F.col(USER).alias("_u"), F.col("_b").alias("_d"),
-        F.last("_g", ignorenulls=True).over(later).alias("_g_later"),
+    return orders.select(USER, "order_id", DAY, "has_fv", "has_game", *segment,
+                         F.last(F.when(F.col("has_game") == 1, pos), ignorenulls=True).over(to_here).alias("_g"),
+                         F.last(F.when(F.col("has_fv") == 1, pos), ignorenulls=True).over(to_here).alias("_f"))
+
+
+def _filled_in_segments(orders: DataFrame, segment_orders: int) -> DataFrame:
+    """As `_filled`, for users with very many orders: a prefix scan. A range sort numbers a user's orders from the latest on and
+    cuts them into segments of `segment_orders`, whatever their times are; the fill runs inside each segment, and the first
+    hit of the nearest later segment is carried over from a table with one row per segment."""
+    placed = positions(orders, [F.col("order_ts").desc(), F.col("order_id").desc()], [USER], name="_at")
+    cut = placed.withColumn("_cut", F.floor(F.col("_at") / segment_orders)).drop("_at")
+    pos = F.struct("order_ts", "order_id", DAY)
+    later = Window.partitionBy(USER).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.groupBy(USER, "_cut").agg(
+        F.min(F.when(F.col("has_game") == 1, pos)).alias("_g"), F.min(F.when(F.col("has_fv") == 1, pos)).alias("_f")).select(
+        F.col(USER).alias("_u"), F.col("_cut").alias("_c"), F.last("_g", ignorenulls=True).over(later).alias("_g_later"),
         F.last("_f", ignorenulls=True).over(later).alias("_f_later"))
-    j = x.join(days, (x[USER] == days["_u"]) & (x["_b"] == days["_d"]), "left")
-    nxt_g = F.coalesce("_g_in", "_g_later")
-    nxt_f = F.coalesce("_f_in", "_f_later")
+    x = _filled(cut, "_cut").join(carried, (F.col(USER) == F.col("_u")) & (F.col("_cut") == F.col("_c")))
+    return x.select(USER, "order_id", DAY, "has_fv", "has_game", F.coalesce("_g", "_g_later").alias("_g"),
+                    F.coalesce("_f", "_f_later").alias("_f"))
 
-    def edge(kind: str, cond: Column, nxt: Column) -> Column:
-        return F.when(cond & nxt.isNotNull(), F.struct(F.lit(kind).alias("kind"), nxt["order_id"].alias("t"),
-                                                       nxt[DAY].alias("td")))
 
-    e = j.select(USER, "order_id", DAY, F.explode(F.array(
-        edge("fv2game", F.col("has_fv") == 1, nxt_g), edge("game2fv", F.col("has_game") == 1, nxt_f))).alias("e"))
+def next_flagged_orders(orders: DataFrame, segment_orders: int = SEGMENT_ORDERS) -> DataFrame:
+    """J9 for both directions in one pass: for every flagship order the same-or-next game order of the user, and for
+    every game order the same-or-next flagship order (order = first line time, then order id; S27: a mixed basket is
+    its own successor). Same rows as the reference's `seq >= seq` self join + ROW_NUMBER = 1.
+
+    A user with at most `segment_orders` orders is one window partition. Users with more are found first by a partial
+    aggregate (one job; they are few, as each has that many orders) and are scanned in segments of that size, so that
+    neither a busy user nor a user's busy hour meets in one task. The result does not depend on `segment_orders`."""
+    o = orders.where(F.col(USER).isNotNull()).select(USER, "order_id", "order_ts", DAY, "has_fv", "has_game")
+    busy = cut_lineage(o.groupBy(USER).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > segment_orders).select(USER))
+    if busy.isEmpty():
+        x = _filled(o)
+    else:
+        many = cut_lineage(o.join(busy, USER, "left_semi"))  # read by the range sort's sample, too
+        x = _filled(o.join(busy, USER, "left_anti")).unionByName(_filled_in_segments(many, segment_orders))
+
+    def edge(kind: str, flag: str, nxt: str) -> Column:
+        to = F.col(nxt)
+        return F.when((F.col(flag) == 1) & to.isNotNull(), F.struct(
+            F.lit(kind).alias("kind"), to["order_id"].alias("t"), to[DAY].alias("td")))
+
+    e = x.select(USER, "order_id", DAY, F.explode(F.array(
+        edge("fv2game", "has_fv", "_g"), edge("game2fv", "has_game", "_f"))).alias("e"))
     return e.where(F.col("e").isNotNull()).select(
         F.col("e.kind").alias("kind"), USER, F.col("order_id").alias("source_order_id"),
         F.col(DAY).alias("source_date"), F.col("e.t").alias("target_order_id"), F.col("e.td").alias("target_date"))
 
 
-def transition_edges(pairs: DataFrame, lines: DataFrame, fv_to_game: str, game_to_fv: str) -> DataFrame:
+def _block_pairs(pairs: DataFrame, roles: DataFrame, large: DataFrame, block: int) -> DataFrame:
+    """The edges of order pairs with a large basket, as _s/_t products: both baskets are cut into blocks by their products' hash, and
+    each pair of blocks, two short lists, is dealt to a task of its own, which pairs them."""
+    blocks = F.coalesce(F.ceil(F.col("_n") / block), F.lit(1)).cast("int")
+    cut = roles.join(large, ["order_id", "role"], "left").withColumn(
+        "_block", F.pmod(F.xxhash64("product_name"), blocks).cast("int"))
+    packs = cut_lineage(cut.groupBy("order_id", "role", "_block").agg(
+        F.collect_list(F.struct("product_name")).alias("_products")))
+
+    def side(name: str) -> DataFrame:
+        return packs.select(F.col("order_id").alias(f"_{name}"), F.col("role").alias(f"_{name}role"),
+                            F.col("_block").alias(f"_{name}block"), F.col("_products").alias(f"_{name}products"))
+
+    s, t = side("s"), side("t")
+    x = pairs.join(s, (pairs.source_order_id == s._s) & (pairs._sr == s._srole)).join(
+        t, (F.col("target_order_id") == t._t) & (F.col("_tr") == t._trole))
+    x = x.repartition("kind", USER, "source_order_id", "target_order_id", "_sblock", "_tblock")
+    x = x.withColumn("_x", F.explode("_sproducts")).withColumn("_y", F.explode("_tproducts"))
+    return x.select(*pairs.columns, F.col("_x.product_name").alias("source_product"), F.col("_y.product_name").alias("target_product"))
+
+
+def transition_edges(pairs: DataFrame, lines: DataFrame, fv_to_game: str, game_to_fv: str,
+                     block: int = BASKET_BLOCK) -> DataFrame:
     """Product-to-product edges of each order pair (cross product of the two orders' distinct products).
 
-    One (order, product, role) table serves both directions: role 'fv' for flagship lines, 'game' for game lines."""
+    One (order, product, role) table serves both directions: role 'fv' for flagship lines, 'game' for game lines. Baskets
+    with more than `block` products of a role are found first by a partial aggregate (one job); order pairs with such a
+    basket are dealt over tasks in pairs of blocks, so that no task makes more than about `block` squared edges of one order
+    pair at a time. The result does not depend on `block`."""
     roles = lines.select("order_id", "product_name", F.explode(F.array(
         F.when(F.col("is_fv") == 1, F.lit("fv")), F.when(F.col("is_game") == 1, F.lit("game")))).alias("role")) \
         .where(F.col("role").isNotNull()).distinct()
+    large = cut_lineage(roles.groupBy("order_id", "role").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block))
     fv2g = F.col("kind") == "fv2game"
     p = pairs.withColumns({"_sr": F.when(fv2g, "fv").otherwise("game"), "_tr": F.when(fv2g, "game").otherwise("fv")})
     s = roles.select(F.col("order_id").alias("_s"), F.col("role").alias("_srole"),
                      F.col("product_name").alias("source_product"))
     t = roles.select(F.col("order_id").alias("_t"), F.col("role").alias("_trole"),
                      F.col("product_name").alias("target_product"))
-    e = p.join(s, (p.source_order_id == s._s) & (p._sr == s._srole)) \
-        .join(t, (p.target_order_id == t._t) & (p._tr == t._trole))
+
+    def joined(p: DataFrame) -> DataFrame:
+        return p.join(s, (p.source_order_id == s._s) & (p._sr == s._srole)).join(
+            t, (F.col("target_order_id") == t._t) & (F.col("_tr") == t._trole)).select(
+            *p.columns, "source_product", "target_product")
+
+    if large.isEmpty():
+        e = joined(p)
+    else:
+        named = large.select("order_id", "role", F.lit(True).alias("_l"))
+        a = named.toDF("_ao", "_ar", "_al")
+        b = named.toDF("_bo", "_br", "_bl")
+        marked = cut_lineage(p.join(a, (p.source_order_id == a._ao) & (p._sr == a._ar), "left").join(
+            b, (F.col("target_order_id") == b._bo) & (F.col("_tr") == b._br), "left").select(
+            *p.columns, (F.col("_al").isNotNull() | F.col("_bl").isNotNull()).alias("_large")))
+        e = joined(marked.where(~F.col("_large")).drop("_large")).unionByName(
+            _block_pairs(marked.where("_large").drop("_large"), roles, large, block))
     return e.select(USER, "source_order_id", "target_order_id", "source_product", "target_product",
                     F.datediff("target_date", "source_date").alias("days_to_next"),
                     F.when(fv2g, F.lit(fv_to_game)).otherwise(F.lit(game_to_fv)).alias("direction"))
