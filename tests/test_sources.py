@@ -6,6 +6,7 @@ import tempfile
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tillroll.functions.dates import previous_month
 from tillroll.plans import params as P
@@ -40,17 +41,59 @@ def test_snapshot_by_name(spark, sf001):
     assert read_snapshot(spark, "orders_details_1998_07_stamp").count() > 0
 
 
-def test_sheet_rows_and_replace_report(spark):
+def test_latest_snapshot_not_after_the_month(spark):
+    from tillroll.sources.tables import NoSnapshotError, latest_snapshot, snapshots
+
+    for name in ("stock_2024_11_b", "stock_2024_11_a", "stock_2025_01_a", "stock_2025_02", "stock_2025_13_a", "stock_2025_01_a_old",
+                 "stock_extra_2025_01_a", "stock_latest"):
+        spark.range(1).select(F.lit(name).alias("name")).createOrReplaceTempView(name)
+    assert [s[2] for s in snapshots(spark, "stock")] == ["stock_2024_11_a", "stock_2024_11_b", "stock_2025_01_a", "stock_2025_01_a_old",
+                                                         "stock_2025_02"]
+    assert latest_snapshot(spark, "stock", "2025-02-27") == "stock_2025_02"
+    assert latest_snapshot(spark, "stock", dt.date(2024, 12, 31)) == "stock_2024_11_b"
+    assert read_snapshot(spark, "stock", "2025-01-01").first()["name"] == "stock_2025_01_a_old"
+    with pytest.raises(NoSnapshotError, match="stock_2024_11_a"):
+        latest_snapshot(spark, "stock", "2024-10-01")
+    with pytest.raises(NoSnapshotError):
+        read_snapshot(spark, "no_such_stock", "2024-10-01")
+
+
+def test_sheet_rows(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 2), None, 1.5), (None, "x", None)], "d date, s string, v double")
     rows = [tuple(r) for r in sinks.sheet_rows(df).collect()]
     assert rows == [("2024-01-02", "", "1.5"), ("", "x", "")]
-    base = tempfile.mkdtemp(prefix="tillroll-rep-")
-    p1 = sinks.replace_report(df, base, "Overall Comparison")
-    p2 = sinks.replace_report(df.limit(1), base, "Overall Comparison")
-    assert p1 == p2 and spark.read.parquet(p2).count() == 1
     assert sinks.preview(df, 1).count() == 1
 
 
+def test_sheet_lines_have_a_header_and_an_order(spark):
+    rows = [(f"t{i}", i * 37 % 101, dt.date(2024, 1, 1) if i % 2 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "`Product title` string, total int, day date")
+    got = sorted(tuple(r) for r in sinks.sheet_lines(df, [F.col("total").desc(), "`Product title`"]).collect())
+    want = [(t, str(n), "2024-01-01" if d else "") for t, n, d in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    assert got == [(0, "Product title", "total", "day")] + [(i + 1, *w) for i, w in enumerate(want)]
+    empty = sinks.sheet_lines(df.limit(0), ["total"]).collect()
+    assert [tuple(r) for r in empty] == [(0, "Product title", "total", "day")]
+    with pytest.raises(ValueError):
+        sinks.sheet_lines(df.withColumnRenamed("total", "line"), ["line"])
+
+
+def test_a_failed_write_leaves_the_report(spark):
+    base = tempfile.mkdtemp(prefix="tillroll-rep-")
+    df = spark.range(5).select(F.col("id").alias("v"))
+    with pytest.raises(FileNotFoundError):
+        sinks.read_report(spark, base, "Overall Comparison")
+    first = sinks.replace_report(df, base, "Overall Comparison")
+    broken = df.select(F.raise_error(F.lit("lost the warehouse")).cast("long").alias("v"))
+    with pytest.raises(Exception, match="lost the warehouse"):
+        sinks.replace_report(broken, base, "Overall Comparison")
+    assert sinks.read_report(spark, base, "Overall Comparison").count() == 5
+    second = sinks.replace_report(sinks.read_report(spark, base, "Overall Comparison").limit(2), base, "Overall Comparison", fmt="csv")
+    assert first != second and sinks.read_report(spark, base, "Overall Comparison").count() == 2
+    assert sinks.report_versions(spark, base, "Overall Comparison").count() == 2
+    sinks.replace_report(df, base, "Another")
+    assert sinks.read_report(spark, base, "Another").count() == 5
+
+
 def test_sql_frame_binds_parameters(spark, sf001):
     from tillroll.sources.tables import sql_frame
 

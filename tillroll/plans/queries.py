@@ -18,7 +18,7 @@ from tillroll.operators import funnel, journeys, matching, reconcile, royalty, s
 from tillroll.operators import fx as fxop
 from tillroll.plans import params as P
 from tillroll.plans import reports
-from tillroll.sources import contracts, sinks
+from tillroll.sources import contracts, formats, sinks
 from tillroll.sources import fixtures as fx
 from tillroll.sources.tables import Tables, read_snapshot, sql_frame
 
@@ -417,9 +417,13 @@ def _report_folder(spark) -> str:
 
 @register("snapshot_scan")
 def q_snapshot_scan(spark, sf_dir):
-    """IO2: a month-stamped snapshot by name."""
-    fx.order_details(Tables(spark, sf_dir)).createOrReplaceTempView("order_lines_1998_07_stamp")
-    return read_snapshot(spark, "order_lines_1998_07_stamp").select("order_id", "iid", "product_id", "status", "line_number")
+    """IO2: of three month-stamped snapshots, the latest that is not after the as-of month, by its last load."""
+    lines = fx.order_details(Tables(spark, sf_dir))
+    name = "order_lines_snapshot"
+    for stamp, kept in (("1998_06_b", F.lit(False)), ("1998_07_a", F.lit(False)), ("1998_07_b", F.lit(True)),
+                        ("1998_08_a", F.lit(False)), ("1998_13_x", F.lit(False))):
+        lines.where(kept).createOrReplaceTempView(f"{name}_{stamp}")
+    return read_snapshot(spark, name, "1998-07-15").select("order_id", "iid", "product_id", "status", "line_number")
 
 
 @register("sql_parameters")
@@ -441,11 +445,57 @@ def q_report_files(spark, sf_dir):
 
 @register("replaced_report")
 def q_replaced_report(spark, sf_dir):
-    """IO14: a report written under its name, replaced by a later one and read back."""
+    """IO14: a report written under its name, replaced by one made from its own last version, and read back by its name."""
     _, rep, _, _ = _p7_parts(spark, sf_dir)
     base, totals = _report_folder(spark), decimals_as_double(reconcile.partner_totals(rep))
     sinks.replace_report(totals.limit(0), base, "Partner totals")
-    return spark.read.parquet(sinks.replace_report(totals, base, "Partner totals"))
+    sinks.replace_report(sinks.read_report(spark, base, "Partner totals").unionByName(totals), base, "Partner totals")
+    return sinks.read_report(spark, base, "Partner totals")
+
+
+@register("sheet_lines")
+def q_sheet_lines(spark, sf_dir):
+    """IO13 + O5: the overcharge by title as lines of a sheet, the header first, then by total, descending."""
+    t, report = _p6(spark, sf_dir)
+    _, pivot = reports.distributor_overcharge(report, fx.sales_lines(t), fx.products(t), fx.suppliers(t),
+                                              fx.product_discounts(t), fx.star_deals(t), start=P.RECON_START,
+                                              end=P.RECON_END)
+    title, total = pivot.columns
+    return sinks.sheet_lines(pivot.select(title, F.col(f"`{total}`").cast("decimal(38,2)").alias(total)),
+                             [F.col(f"`{total}`").desc_nulls_last(), F.col(f"`{title}`").asc_nulls_last()])
+
+
+def _partner_files(spark, sf_dir):
+    return fx.partner_files(Tables(spark, sf_dir), P.RECON_START, P.RECON_END)
+
+
+@register("column_formats")
+def q_column_formats(spark, sf_dir):
+    """IO9/F32: how each file writes each date column, with the cells that tell it."""
+    found = formats.column_formats(_partner_files(spark, sf_dir), ["sold", "shipped"], by="file")
+    return found.select("source", "column", "shape", "pattern", "cells", "rival_cells", "conflicts", "filled", "decided")
+
+
+@register("dates_by_file")
+def q_dates_by_file(spark, sf_dir):
+    """IO9/F32: both date columns of every row, each read as its file writes it."""
+    return formats.read_dates(_partner_files(spark, sf_dir), ["sold", "shipped"], by="file")
+
+
+@register("dates_of_one_office")
+def q_dates_of_one_office(spark, sf_dir):
+    """IO9/F32: the files of the office that writes the day first, read without their names."""
+    home = _partner_files(spark, sf_dir).where("file = 'home.csv'").drop("file")
+    return formats.read_dates(home, ["sold", "shipped"])
+
+
+@register("lost_cells")
+def q_lost_cells(spark, sf_dir):
+    """IO9/F32: cells of the partner's report that typing could not read."""
+    _, report = _p6(spark, sf_dir)
+    named = report.withColumnsRenamed(contracts.DISTRIBUTOR_COLUMNS)
+    typed = contracts.read_distributor_report(report)
+    return formats.lost_cells(named, typed, [*contracts.DISTRIBUTOR_DATES, *contracts.DISTRIBUTOR_NUMERICS])
 
 
 @register("sheet_rows_dates")

@@ -2,12 +2,14 @@
 
 Everything is read lazily with `spark.read.parquet`, so Catalyst prunes columns and pushes filters into the scan. A
 warehouse relation can be passed by name instead (`spark.table`), which is how a month-stamped snapshot such as
-`sales.order_lines_<yyyy_mm>_<stamp>` is read: the name is an argument, never edited in code.
+`sales.order_lines_<yyyy_mm>_<stamp>` is read: by its name, or as the latest one not after a month.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +27,41 @@ def read_table(spark: SparkSession, source: str, name: str | None = None) -> Dat
     return spark.read.parquet(path)
 
 
-def read_snapshot(spark: SparkSession, table_name: str) -> DataFrame:
-    """Month-stamped sales snapshot; the stamped name is passed by the caller (IO2)."""
-    return spark.table(table_name)
+class NoSnapshotError(LookupError):
+    pass
+
+
+#: The year, month and load stamp after a snapshot's base name.
+SNAPSHOT_SUFFIX = r"_(\d{4})_(\d{2})(?:_(\w+))?$"
+
+
+def snapshots(spark: SparkSession, base: str) -> list[tuple[str, str, str]]:
+    """(month as yyyy-mm, load stamp, table name) of the catalog's month-stamped snapshots of `base`, in order. `base` may name
+    a schema (`sales.order_lines`)."""
+    schema, _, prefix = base.rpartition(".")
+    listed = spark.catalog.listTables(schema or None, f"{prefix}_*")
+    found = []
+    for t in listed:
+        m = re.fullmatch(re.escape(prefix) + SNAPSHOT_SUFFIX, t.name, re.IGNORECASE)
+        if m and "01" <= m[2] <= "12":
+            found.append((f"{m[1]}-{m[2]}", m[3] or "", f"{schema}.{t.name}" if schema and not t.isTemporary else t.name))
+    return sorted(found)
+
+
+def latest_snapshot(spark: SparkSession, base: str, as_of: dt.date | str) -> str:
+    """The name of the last loaded snapshot of the last month that isn't after the as-of date's month. Only names are read."""
+    month = str(as_of)[:7]
+    found = snapshots(spark, base)
+    fitting = [s for s in found if s[0] <= month]
+    if not fitting:
+        others = f"; there are {', '.join(s[2] for s in found[:5])}" if found else ""
+        raise NoSnapshotError(f"no snapshot of {base} for {month} or before{others}")
+    return fitting[-1][2]
+
+
+def read_snapshot(spark: SparkSession, base: str, as_of: dt.date | str | None = None) -> DataFrame:
+    """Month-stamped sales snapshot (IO2): the table of that full name, or with `as_of` the latest snapshot of the base name."""
+    return spark.table(base if as_of is None else latest_snapshot(spark, base, as_of))
 
 
 def sql_frame(spark: SparkSession, query: str, **params) -> DataFrame:
