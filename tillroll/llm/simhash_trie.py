@@ -21,6 +21,7 @@ ignored."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,8 +99,13 @@ def _high(depth: Column) -> Column:
 def upper_trie(prints: DataFrame, leaf_size: int = LEAF_SIZE, stride: int = STRIDE) -> tuple[DataFrame, DataFrame]:
     """(trie nodes: node, depth, parent, parent_depth and leaf; fingerprints with the node of their leaf) of distinct `fp`. A node
     is named by its prefix, padded with zeros, and its depth."""
-    open_ = prints.select("fp", F.lit(0).cast("long").alias("parent"), F.lit(0).alias("parent_depth"), F.lit(0).alias("depth"))
-    nodes: DataFrame | None = None
+    n = prints.count()
+    nodes = prints.sparkSession.createDataFrame([(0, 0, None, None, n <= leaf_size)],
+                                                "node long, depth int, parent long, parent_depth int, leaf boolean")
+    if n <= leaf_size:
+        return nodes, prints.select("fp", F.lit(0).cast("long").alias("node"))
+    first = min(BITS, max(stride, math.ceil(math.log2(n / leaf_size))))
+    open_ = prints.select("fp", F.lit(0).cast("long").alias("parent"), F.lit(0).alias("parent_depth"), F.lit(first).alias("depth"))
     placed: DataFrame | None = None
     while True:
         at = open_.withColumn("node", prefix(F.col("fp"), F.col("depth")))
@@ -109,12 +115,12 @@ def upper_trie(prints: DataFrame, leaf_size: int = LEAF_SIZE, stride: int = STRI
         sizes = sizes.withColumn("leaf", (F.col("n") <= leaf_size) | (F.col("depth") >= BITS))
         here = at.select("fp", "node", "depth").join(sizes.select("node", "depth", "n", "vary", "leaf"), ["node", "depth"])
         here = C.written(here, "trie-prints")
-        nodes = sizes if nodes is None else nodes.unionByName(sizes)
+        nodes = nodes.unionByName(sizes.select(*nodes.columns))
         done = here.where("leaf").select("fp", "node")
         placed = done if placed is None else placed.unionByName(done)
         rest = here.where("not leaf")
         if rest.isEmpty():
-            return nodes.drop("n", "vary"), placed
+            return nodes, placed
         shared = F.lit(BITS) - F.length(F.bin("vary"))  # bits that all below the node have in common: a path without branches
         step = F.greatest(F.lit(stride), F.ceil(F.log2(F.col("n") / leaf_size)).cast("int"))
         open_ = rest.select("fp", F.col("node").alias("parent"), F.col("depth").alias("parent_depth"),
