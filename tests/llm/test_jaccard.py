@@ -14,16 +14,17 @@ def brute(rows):
     """doc row -> (class, copy, links, similar classes) by comparing all n-gram sets."""
     sets = defaultdict(list)
     for i, (doc_id, text) in enumerate(rows):
-        sets[frozenset(H.grams(text))].append((doc_id is None, doc_id or 0, i))
+        sets[frozenset(H.grams(text)) or text or ""].append((doc_id is None, doc_id or 0, i))
     keys = list(sets)
+    words = {k: k if isinstance(k, frozenset) else () for k in keys}
     near = {k: [] for k in keys}
     index = defaultdict(set)
     for n, k in enumerate(keys):
-        for g in k:
+        for g in words[k]:
             index[g].add(n)
     for n, k in enumerate(keys):
         counts = defaultdict(int)
-        for g in k:
+        for g in words[k]:
             for other in index[g]:
                 counts[other] += 1
         near[k] = [keys[o] for o, c in counts.items() if o != n and c >= 0.8 * (len(k) + len(keys[o]) - c) - 1e-9]
@@ -94,11 +95,19 @@ def test_odd_and_empty_tables(spark):
     check(J.similarity_classes(odd), [(r[0], r[1]) for r in H.odd_rows()])
     kept = J.one_per_group(odd)
     assert kept.columns == odd.columns
-    assert len(kept.collect()) == len({frozenset(H.grams(r[1])) for r in H.odd_rows()}) - 1  # two sets are near copies
+    classes = {frozenset(H.grams(r[1])) or r[1] or "" for r in H.odd_rows()}
+    assert len(kept.collect()) == len(classes) - 1  # two sets are near copies
     assert J.similarity_classes(H.empty_documents(spark)).count() == 0
     assert J.one_per_group(H.empty_documents(spark)).count() == 0
 
 
+def test_texts_without_words_are_duplicates_of_equal_ones_only(spark):
+    texts = ["!!! ???", "=== ---", "!!! ???", "", None, " ", "word", "=== --- "]
+    df = spark.createDataFrame([(i, t, "en", None, 7) for i, t in enumerate(texts)], H.DOCS)
+    check(J.similarity_classes(df), list(enumerate(texts)))
+    assert sorted(r["doc_id"] for r in J.one_per_group(df).collect()) == [0, 1, 3, 5, 6, 7]
+
+
 def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.95):
         bands, rows = J.choose_bands(threshold, 0.999, 400)

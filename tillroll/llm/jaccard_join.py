@@ -15,8 +15,8 @@ The bands and rows are chosen so that a pair at the threshold shares a bucket wi
 pairs of a candidate component are verified whether or not they share one, so the recall is higher still.
 
 Defined results: words are lower-cased as in common.WORD_CLASS; a text of fewer than n words, but not none, has one
-n-gram of all its words; texts without words (null or empty too) are one class that is similar to no other; repeated
-rows and equal doc_ids are documents of their own; a null doc_id is never a representative unless its class has no
+n-gram of all its words; a text without words (null counts as empty) is in one class with its exact copies only and
+similar to no other; repeated rows and equal doc_ids are documents of their own; a null doc_id is never a representative unless its class has no
 other; an empty table gives an empty result; other columns are ignored."""
 
 from __future__ import annotations
@@ -110,6 +110,12 @@ def set_key(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.astype("<u8").tobytes(), digest_size=16).digest()
 
 
+def wordless_key(text: pa.Scalar) -> bytes:
+    """The key of a text without words, which only its exact copies share."""
+    body = text.as_buffer()
+    return hashlib.blake2b(b"" if body is None else body, digest_size=16, person=b"wordless").digest()
+
+
 def signatures(documents: DataFrame, n: int, bands: int, rows: int, *columns: str) -> DataFrame:
     """doc_id, further columns of the documents, key of the n-gram set, its size, and its band hashes."""
     source = C.text_rows(documents, "text", "doc_id", *columns)
@@ -121,7 +127,8 @@ def signatures(documents: DataFrame, n: int, bands: int, rows: int, *columns: st
                 hashes = band_hashes(sets, bands, rows).astype(np.int64)
                 flat = pa.array(hashes.reshape(-1))
                 yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(a, len(sets)) for c in batch.columns[1:]], pa.array([set_key(s) for s in sets], pa.binary()),
+                    [*[c.slice(a, len(sets)) for c in batch.columns[1:]], pa.array(
+                        [set_key(s) if len(s) else wordless_key(batch.column(0)[a + i]) for i, s in enumerate(sets)], pa.binary()),
                      pa.array([len(s) for s in sets], pa.int32()),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), flat)],
                     names=names)

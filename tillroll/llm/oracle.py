@@ -5,15 +5,17 @@ from __future__ import annotations
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
-#: All n-gram sets compared by their shared n-grams; near-duplicate classes by following links.
+#: All n-gram sets compared by their shared n-grams; near-duplicate classes by following links. Texts without words are alike
+#: only if they are equal.
 JACCARD = f"""
-WITH RECURSIVE texts AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+WITH RECURSIVE texts AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
 grams AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN text END AS bare, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g
   FROM texts
 ),
-sets AS (SELECT g, md5(array_to_string(g, '|')) AS k, min(doc_id) AS copy_id, count(*) AS copies FROM grams GROUP BY g),
+sets AS (SELECT g, bare, md5(coalesce('text ' || bare, 'set ' || array_to_string(g, '|'))) AS k, min(doc_id) AS copy_id, count(*) AS copies
+         FROM grams GROUP BY g, bare),
 held AS (SELECT k, len(g) AS n, unnest(g) AS gram FROM sets),
 near AS (
   SELECT a.k AS ka, b.k AS kb FROM held a JOIN held b ON a.gram = b.gram AND a.k <> b.k
@@ -28,7 +30,7 @@ classes AS (SELECT w.root AS k, min(s.copy_id) AS class_id FROM walk w JOIN sets
 linked AS (SELECT n.ka AS k, count(*) AS sets, sum(s.copies) AS documents FROM near n JOIN sets s ON s.k = n.kb GROUP BY n.ka)
 SELECT g.doc_id, c.class_id, s.copy_id, CAST(s.copies - 1 + coalesce(l.documents, 0) AS BIGINT) AS n_links,
        CAST(coalesce(l.sets, 0) AS BIGINT) AS n_similar_classes
-FROM grams g JOIN sets s ON s.g = g.g JOIN classes c ON c.k = s.k LEFT JOIN linked l ON l.k = s.k"""
+FROM grams g JOIN sets s ON s.g = g.g AND s.bare IS NOT DISTINCT FROM g.bare JOIN classes c ON c.k = s.k LEFT JOIN linked l ON l.k = s.k"""
 
 #: Base 32 of a SHA-1: every five hexadecimal digits are four letters.
 _BASE32 = " || ".join(
