@@ -1,16 +1,19 @@
 """Operator 7: shards by k-d tree partitioning under the law `bytes`.
 
-Rows of equal text weigh together as one point; its dimensions are the size of its text, its language and its source (as
-order-preserving numbers). The tree splits the heaviest leaf's points at the distributed weighted median of the dimension
-in which they are spread widest, measured against that dimension's spread over all points (along another one only
-where a heavy point at the median would leave uneven halves), until every leaf has the
-target weight, total / shards. With a number of shards that is no power of two a split is uneven in proportion.
+Rows of equal text weigh together as one point; its dimensions are the size of its text and the ranks of its language and
+source among the distinct values, by whole values. The tree splits the heaviest leaf's points at the distributed weighted
+median of the dimension in which they are spread widest, measured against that dimension's spread over all points, until every
+leaf has its target weight. With a number of shards that is no power of two a split is uneven in proportion.
 
 The median comes from histograms: each job counts the weight in BINS intervals of every open leaf's range and the next job
 looks into the interval that holds the median, so that the driver sees BINS sums a leaf and no rows. Points of equal
-coordinate are told apart by a hash of their text. Points heavier than a small share of a leaf (few, by their weight) are
-first split into parts by hashed doc_id, so that leaves stay near equal also when one text has a third of all bytes;
-all other rows of a point stay in one shard.
+coordinate are told apart by a hash of their text.
+
+Points too heavy to be cut around (over POINT_SHARE of a shard; few, by their weight) are dealt to shards before the tree is
+built, the heaviest first, each to the shard with most room. One that fits beside the heavier ones stays whole. One that fits
+nowhere is split by hashed doc_id over the shards with most room: all of a text's rows stay in one shard unless no
+shard has room for them. The tree's leaves then have what room the heavy points left as their targets, so that shards stay near
+equal.
 
 Defined results: null texts have size 1 and the coordinates of the empty text; null languages and sources sort first; null
 doc_ids and repeated rows are rows of their own; an empty table gives an empty result; other columns are ignored."""
@@ -20,14 +23,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import positions
 from . import common as C
 
 #: Intervals of a histogram.
 BINS = 1 << 10
-#: A point heavier than this share of a leaf's target is split by hashed doc_id.
+#: A point heavier than this share of a shard's target is dealt before the tree is built.
 POINT_SHARE = 1 / 100
-#: A split is also tried along the other dimensions if it is off by more than this share of its leaf.
-UNEVEN = 0.001
+#: Steps in which a point that fits in no shard is split.
+PARTS = 1 << 20
 #: Rows that one task numbers within a shard, on the average.
 SLOT_ROWS = 20_000
 DIMENSIONS = ("by_size", "by_lang", "by_source")
@@ -39,10 +43,31 @@ def _coordinate(value, tie):
     return F.shiftleft(F.least(value, F.lit((1 << VALUE_BITS) - 1)), TIE_BITS).bitwiseOR(tie)
 
 
-def _text_value(column: str):
-    """The first five bytes of a string as a number in the strings' order."""
-    raw = F.hex(F.substring(F.encode(F.coalesce(column, F.lit("")), "UTF-8"), 1, VALUE_BITS // 8))
-    return F.conv(F.rpad(raw, VALUE_BITS // 4, "0"), 16, 10).cast("long")
+def _ranked(rows: DataFrame, column: str) -> DataFrame:
+    """`rows` with `<column>_rank`, the place of the column's value among its distinct ones (null first)."""
+    values = C.written(rows.select(column).distinct(), f"values-{column}")
+    ranks = positions(values, [F.col(column).asc_nulls_first()], name=f"{column}_rank").withColumnRenamed(column, "value")
+    return rows.join(ranks, rows[column].eqNullSafe(ranks["value"]), "left").drop("value")
+
+
+def deal_heavy(weights: list[int], room: list[float]) -> list[list[tuple[float, int]]]:
+    """For each weight, in the given order, its parts as (share, shard): one part where a shard has room for the whole, else
+    the room of the shards with most of it. `room` is reduced by what is dealt."""
+    dealt = []
+    for weight in weights:
+        parts, left = [], float(weight)
+        while True:
+            shard = max(range(len(room)), key=lambda i: (room[i], -i))
+            take = left if room[shard] >= left or len(parts) >= len(room) - 1 else max(room[shard], 0.0)
+            if take <= 0:  # no room anywhere: rounding left a rest
+                take = left
+            parts.append((take / weight, shard))
+            room[shard] -= take
+            left -= take
+            if left <= 0:
+                break
+        dealt.append(parts)
+    return dealt
 
 
 def _leaf(splits: dict[int, tuple]):
@@ -55,21 +80,21 @@ def _leaf(splits: dict[int, tuple]):
     return walk(0)
 
 
-def kd_splits(points: DataFrame, shards: int) -> tuple[dict[int, tuple[str, int]], dict[int, int]]:
-    """(node -> (dimension, cut); leaf node -> shard) over points with a `weight` and the coordinates DIMENSIONS."""
+def kd_splits(points: DataFrame, room: list[float]) -> tuple[dict[int, tuple[str, int]], dict[int, int]]:
+    """(node -> (dimension, cut); leaf node -> shard) over points with a `weight` and the coordinates DIMENSIONS. `room` is the
+    weight that each shard shall get."""
     splits: dict[int, tuple[str, int]] = {}
-    open_leaves = {0: shards}
+    open_leaves = {0: (0, len(room))}  # leaf -> its first shard and the one after its last
     spread: dict[str, int] = {}
-    order = [0]
-    while any(n > 1 for n in open_leaves.values()):
+    while any(b - a > 1 for a, b in open_leaves.values()):
         placed = points.withColumn("leaf", _leaf(splits))
         stats = [F.sum("weight").alias("weight")]
         for d in DIMENSIONS:
             stats += [F.min(d).alias(f"{d}_low"), F.max(d).alias(f"{d}_high")]
         found = {r["leaf"]: r for r in placed.groupBy("leaf").agg(*stats).collect()}
-        tried: dict[int, list] = {}
-        for leaf, n in open_leaves.items():
-            if n < 2:
+        ranges = {}
+        for leaf, (a, b) in open_leaves.items():
+            if b - a < 2:
                 continue
             r = found.get(leaf)
             if r is None:  # an empty leaf splits anywhere
@@ -77,30 +102,24 @@ def kd_splits(points: DataFrame, shards: int) -> tuple[dict[int, tuple[str, int]
                 continue
             width = {d: (r[f"{d}_high"] >> TIE_BITS) - (r[f"{d}_low"] >> TIE_BITS) for d in DIMENSIONS}
             spread = spread or {d: max(1, w) for d, w in width.items()}
-            tried[leaf] = sorted(DIMENSIONS, key=lambda d: (-width[d] / spread[d], DIMENSIONS.index(d)))
-        best: dict[int, tuple] = {}
-        for nth in range(len(DIMENSIONS)):  # beyond the widest only where one heavy point keeps its halves uneven
-            ranges = {}
-            for leaf, dimensions in tried.items():
-                r, d, n = found[leaf], dimensions[nth], open_leaves[leaf]
-                if leaf not in best or best[leaf][0] > r["weight"] * UNEVEN:
-                    ranges[leaf] = [d, r[f"{d}_low"], r[f"{d}_high"] + 1, r["weight"] * (n // 2) / n, 0, r["weight"]]
-            for leaf, (error, cut) in (_weighted_quantiles(placed, ranges) if ranges else {}).items():
-                if leaf not in best or error < best[leaf][0]:
-                    best[leaf] = (error, tried[leaf][nth], cut)
-        splits |= {leaf: (d, cut) for leaf, (_, d, cut) in best.items()}
+            d = min(DIMENSIONS, key=lambda d: (-width[d] / spread[d], DIMENSIONS.index(d)))
+            lower, whole = sum(room[a:(a + b) // 2]), sum(room[a:b])
+            share = lower / whole if whole > 0 else 0.5
+            ranges[leaf] = [d, r[f"{d}_low"], r[f"{d}_high"] + 1, r["weight"] * share, 0, r["weight"]]
+        widest = {leaf: r[0] for leaf, r in ranges.items()}
+        splits |= {leaf: (widest[leaf], cut) for leaf, cut in (_weighted_quantiles(placed, ranges) if ranges else {}).items()}
         nxt = {}
-        for leaf in order:
-            n = open_leaves[leaf]
-            nxt |= {leaf: 1} if n < 2 else {2 * leaf + 1: n // 2, 2 * leaf + 2: n - n // 2}
-        open_leaves, order = nxt, list(nxt)
-    return splits, {leaf: i for i, leaf in enumerate(order)}
+        for leaf, (a, b) in open_leaves.items():
+            m = (a + b) // 2
+            nxt |= {leaf: (a, b)} if b - a < 2 else {2 * leaf + 1: (a, m), 2 * leaf + 2: (m, b)}
+        open_leaves = nxt
+    return splits, {leaf: a for leaf, (a, _) in open_leaves.items()}
 
 
-def _weighted_quantiles(placed: DataFrame, ranges: dict[int, list]) -> dict[int, tuple[float, int]]:
-    """For each leaf (how far off, coordinate) where the weight below comes nearest to what is wanted. ranges: leaf -> [dimension, low,
-    high, wanted weight, weight below low, weight of the leaf]."""
-    cuts: dict[int, tuple[float, int]] = {}
+def _weighted_quantiles(placed: DataFrame, ranges: dict[int, list]) -> dict[int, int]:
+    """For each leaf the coordinate where the weight below comes nearest to what is wanted. ranges: leaf -> [dimension, low, high,
+    wanted weight, weight below low, weight of the leaf]."""
+    cuts: dict[int, int] = {}
     while len(cuts) < len(ranges):
         todo = {k: v for k, v in ranges.items() if k not in cuts}
         bins = None
@@ -123,7 +142,7 @@ def _weighted_quantiles(placed: DataFrame, ranges: dict[int, list]) -> dict[int,
                     break
                 below += w
             if shift == 0 or w <= weight / 5000:  # one coordinate, or too light to matter: cut at its nearer end
-                cuts[leaf] = min((abs(wanted - below), a), (abs(below + w - wanted), z))
+                cuts[leaf] = min((abs(wanted - below), a), (abs(below + w - wanted), z))[1]
             else:
                 ranges[leaf] = [dimension, a, z, wanted, below, weight]
     return cuts
@@ -139,24 +158,35 @@ def sharded(documents: DataFrame, *, shards: int = 8) -> DataFrame:
     rows = C.written(rows, "sizes")
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
     text = ["hash", "text_crc32", "size"]
-    if count:
-        share = max(1.0, total / shards * POINT_SHARE)
-        # at most shards / POINT_SHARE texts are this heavy, so they may be broadcast
-        heavy = rows.groupBy(*text).agg(F.sum("size").alias("weight")).where(F.col("weight") > share).select(
-            *text, F.ceil(F.col("weight") / share).alias("parts"))
-        part = F.coalesce(F.pmod(F.xxhash64("doc_id", "row"), F.col("parts")), F.lit(0))
-        rows = C.written(rows.join(F.broadcast(heavy), text, "left").withColumn("part", part).drop("parts"), "parts")
-    else:
-        rows = rows.withColumn("part", F.lit(0).cast("long"))
-    point = [*text, "part"]
-    tie = F.xxhash64(*point).bitwiseAND((1 << TIE_BITS) - 1)
-    points = rows.groupBy(*point).agg(F.sum("size").alias("weight"), F.min("lang").alias("lang"), F.min("source").alias("source"))
-    points = C.written(points.select(
-        *point, "weight", _coordinate(F.col("size"), tie).alias("by_size"), _coordinate(_text_value("lang"), tie).alias("by_lang"),
-        _coordinate(_text_value("source"), tie).alias("by_source")), "points")
-    splits, number = kd_splits(points, shards)
-    shard = F.element_at(F.create_map(*[F.lit(x) for pair in number.items() for x in pair]), _leaf(splits))
-    placed = C.written(rows.join(points.withColumn("shard", shard).select(*point, "shard"), point).withColumn(
+    rows = _ranked(_ranked(rows, "lang"), "source")
+    points = C.written(rows.groupBy(*text).agg(F.sum("size").alias("weight"), F.min("lang_rank").alias("lang"),
+                                               F.min("source_rank").alias("source")), "points")
+    room = [(total or 0) / shards] * shards
+    # at most shards / POINT_SHARE texts are this heavy, so they may be collected and broadcast
+    heavy = points.where(F.col("weight") > room[0] * POINT_SHARE).select(*text, "weight").collect()
+    heavy.sort(key=lambda r: (-r["weight"], r["hash"]))
+    known: list[tuple] = []
+    for r, parts in zip(heavy, deal_heavy([r["weight"] for r in heavy], room)):
+        below, cuts = 0.0, []
+        for share, shard in parts:
+            below += share
+            cuts.append((int(below * PARTS) if len(cuts) < len(parts) - 1 else PARTS, shard))
+        known.append((r["hash"], r["text_crc32"], r["size"], cuts))
+    dealt = documents.sparkSession.createDataFrame(known, "hash long, text_crc32 long, size long, cuts array<struct<upto:int,shard:int>>")
+    light = points.join(F.broadcast(dealt), text, "left_anti")
+    tie = F.xxhash64(*text).bitwiseAND((1 << TIE_BITS) - 1)
+    light = C.written(light.select(*text, "weight", _coordinate(F.col("size"), tie).alias("by_size"), _coordinate(
+        F.col("lang"), tie).alias("by_lang"), _coordinate(F.col("source"), tie).alias("by_source")), "light-points")
+    splits, number = kd_splits(light, [max(0.0, x) for x in room])
+    by_tree = F.element_at(F.create_map(*[F.lit(x) for pair in number.items() for x in pair]), _leaf(splits))
+    rows = rows.select("doc_id", *text, "row").join(F.broadcast(dealt), text, "left")
+    part = F.pmod(F.xxhash64("doc_id", "row"), F.lit(PARTS))
+    by_hand = F.get(F.filter("cuts", lambda c: part < c["upto"]), F.lit(0))["shard"]
+    kept = ["doc_id", "size", "text_crc32", "row", "shard"]
+    # rows of heavy texts don't take part in the shuffle by text
+    rows = rows.where("cuts is not null").withColumn("shard", by_hand).select(*kept).unionByName(
+        rows.where("cuts is null").join(light.select(*text, by_tree.alias("shard")), text).select(*kept))
+    placed = C.written(rows.withColumn(
         "bucket", F.pmod(F.xxhash64("row"), F.lit(max(1, -(-count // (shards * SLOT_ROWS)))))), "placed")
     counts = placed.groupBy("shard", "bucket").count()
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
