@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -59,6 +60,29 @@ def test_fingerprints_are_homomorphic(spark):
     assert r["text"].startswith("0:")
 
 
+def test_likeness_counts_repeated_paragraphs(spark):
+    """Against the exact overlap of the multisets, on texts with repeated lines, few and many lines, light and heavy ones."""
+    rng = random.Random(7)
+    lines = [f"line {i} of the collection" for i in range(3000)]
+    texts = [(["p"] * 1000, ["q"] * 1000), (["p"] * 1000, ["p"] * 500 + ["q"] * 500), (["p"] * 9 + ["q"], ["p"] * 10), (["p"], ["q"]),
+             (lines[:400] + ["p"] * 400, lines[:400] + ["q"] * 400), (lines[:300] * 5, lines[150:450] * 5), (lines[:900], lines[900:1800])]
+    for _ in range(60):
+        pool = rng.sample(lines, rng.choice([3, 20, 100, 500]))
+        one = rng.choices(pool, [1 / (i + 1) for i in range(len(pool))], k=rng.choice([10, 100, 1000, 3000]))
+        other = [x for x in one if rng.random() < rng.choice([0.3, 0.7, 1])] + rng.choices(lines, k=rng.choice([0, 5, len(one) // 2]))
+        texts.append((one, other))
+    df = spark.createDataFrame([(i, "\n".join(a), "\n".join(b)) for i, (a, b) in enumerate(texts)], "i int, a string, b string")
+    hashes = FP.C.written(df.select("i", FP.paragraph_hashes(F.col("a")).alias("a"), FP.paragraph_hashes(F.col("b")).alias("b")), "test")
+    lanes = FP.C.written(hashes.select("i", FP.lanes(F.col("a")).alias("a"), FP.lanes(F.col("b")).alias("b")), "test")
+    got = {r["i"]: r["n"] for r in lanes.select("i", FP.likeness(F.col("a"), F.col("b")).alias("n")).collect()}
+    off = []
+    for i, (a, b) in enumerate(texts):
+        x, y = Counter(a), Counter(b)
+        off.append(abs(got[i] - 2 * sum((x & y).values()) / (len(a) + len(b))))
+    assert max(off[:4]) < 0.01, off[:4]
+    assert max(off) < 0.25 and sorted(off)[int(len(off) * 0.9)] < 0.1, sorted(off)[-12:]
+
+
 def test_fingerprints_of_awkward_tables(spark):
     rows = [r for r in H.odd_rows() if r[0] is not None]
     odd = H.odd_documents(spark).where("doc_id is not null")
@@ -144,12 +168,46 @@ def test_shards_are_near_equal_and_keep_copies(spark, monkeypatch):
     weight = check_shards(rows, texts)
     mean = sum(weight.values()) / 8
     assert all(abs(weight[s] - mean) < 0.05 * mean for s in range(8))
-    by_id, share = {r["doc_id"]: r for r in rows}, mean / 100
+    by_id = {r["doc_id"]: r for r in rows}
     where = defaultdict(set)
     for d, t in texts:
         where[t].add(by_id[d]["shard"])
-    counts = Counter(t for _, t in texts)
-    assert all(len(s) == 1 for t, s in where.items() if counts[t] * by_id[next(d for d, x in texts if x == t)]["size"] <= share)
+    assert all(len(s) == 1 for s in where.values())
+
+
+def test_a_group_stays_whole_if_a_shard_has_room(spark):
+    # groups of about 5, 30 and 60 % of a shard, and one of a third of all bytes, beside single texts
+    texts = [("five " * 20, 40), ("thirty " * 20, 240), ("sixty " * 20, 480), ("third " * 20, 3000)]
+    rows = [t for t, n in texts for _ in range(n)] + [f"single {i} " * 10 for i in range(4000)]
+    docs = spark.createDataFrame([(i, t, f"l{i % 4}", f"s{i % 7}", None) for i, t in enumerate(rows)], H.DOCS)
+    got = sharding.sharded(docs).collect()
+    weight = check_shards(got, list(enumerate(rows)))
+    mean = sum(weight.values()) / 8
+    assert all(abs(weight[s] - mean) < 0.02 * mean for s in range(8))
+    shard = {r["doc_id"]: r["shard"] for r in got}
+    where = defaultdict(set)
+    for i, t in enumerate(rows):
+        where[t].add(shard[i])
+    assert [len(where[t]) for t, _ in texts[:3]] == [1, 1, 1] and len(where[texts[3][0]]) > 1
+    assert all(len(s) == 1 for t, s in where.items() if t != texts[3][0])
+
+
+def test_heavy_groups_are_dealt_by_room():
+    room = [10.0] * 4
+    parts = sharding.deal_heavy([9, 9, 8, 6, 5, 3], room)
+    assert [[s for _, s in p] for p in parts[:4]] == [[0], [1], [2], [3]]
+    assert [len(p) for p in parts] == [1, 1, 1, 1, 2, 3]
+    assert all(abs(sum(x for x, _ in p) - 1) < 1e-9 for p in parts) and abs(sum(room)) < 1e-9
+
+
+def test_sources_count_by_their_whole_names(spark):
+    def shards_of(name):
+        rows = [(i, f"text {i:05d}", "en", name.format(i % 16), None) for i in range(3200)]
+        got = {r["doc_id"]: r["shard"] for r in sharding.sharded(spark.createDataFrame(rows, H.DOCS)).collect()}
+        return [frozenset(got[i] for i in range(s, 3200, 16)) for s in range(16)]
+
+    short, long = shards_of("{:02d}"), shards_of("https://example.org/source-{:02d}")
+    assert short == long and max(map(len, short)) <= 2  # two sources fill a shard: the cuts run between them
 
 
 def test_a_text_with_a_third_of_all_bytes_is_split(spark):
@@ -167,8 +225,8 @@ def test_shards_of_awkward_tables(spark):
     assert sharding.sharded(H.empty_documents(spark)).count() == 0
 
 
-def test_registered_queries_cover_the_ten_operators():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
+def test_registered_queries_cover_the_operators():
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 14))
 
 
 def test_pipeline_stages_take_effect(spark, sf001):

@@ -4,9 +4,14 @@ A text is the multiset of its paragraphs: its lines, cut again after sentence en
 paragraph is hashed to a wide vector and the vectors are summed lane by lane modulo 2^32. The sum does not depend on the
 order, equal multisets have equal sums, and paragraphs are inserted or deleted by adding or subtracting their vectors
 (`added`, `removed`). The lanes: the number of paragraphs; DENSE lanes to which every paragraph adds; and STRATA x BUCKETS
-lanes to one of which a paragraph adds, in stratum s with probability 2^-(s+1). The lanes in which two fingerprints
-differ tell how many paragraphs the texts don't share, from the finest stratum that isn't saturated; `likeness` is
-the share of paragraphs in common.
+lanes to one of which a paragraph adds, in stratum s with probability 2^-(s+1). These hold, beside the sum, the number of
+paragraphs that were added, copies included.
+
+`likeness` is the share of paragraphs in common, copies included. Buckets whose sums differ hold paragraphs that the texts don't
+share, about as many as their numbers differ by. Their numbers are added up from the coarsest stratum to the finest one that isn't
+saturated, and scaled up by the share of paragraphs in these strata. A paragraph that makes up much of a text by its copies
+cannot be scaled, as it is in one stratum only: differences of more than HEAVY of all paragraphs count as they are, in
+whatever stratum.
 
 Defined results: a null text is empty; an empty text has no paragraph; likeness of two empty texts is 1; a lone document is its own
 next one; documents are ordered by doc_id (nulls first), equal doc_ids by hash of their text; repeated rows are documents
@@ -21,12 +26,16 @@ from . import common as C
 
 DENSE, STRATA, BUCKETS = 8, 9, 16
 MODULUS = 1 << 32
-#: Where a text is cut: line breaks, and white space after a sentence end.
-PARAGRAPH_ENDS = r"[\r\n]+|(?<=[.!?])\s+"
+#: Where a text is cut: line breaks, white space after a sentence end, and sentence ends that no space follows.
+PARAGRAPH_ENDS = r"[\r\n]+|(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f])"
 #: Ranges of documents per shuffle partition: several, so that the partitions come out even.
 RANGES = 8
 #: Differing buckets from which a stratum counts as saturated.
 SATURATED = 13
+#: Share of both texts' paragraphs from which a bucket's difference counts as it is.
+HEAVY = 1 / 64
+#: Bits of a sparse lane's sum; its number of paragraphs is above them.
+SUM_BITS = 32
 
 
 def paragraph_hashes(text: Column) -> Column:
@@ -35,6 +44,18 @@ def paragraph_hashes(text: Column) -> Column:
                        lambda p: F.xxhash64(p))
 
 
+def _number(lane: Column) -> Column:
+    return F.shiftright(lane, SUM_BITS)
+
+
+def _sum(lane: Column) -> Column:
+    return lane.bitwiseAND(MODULUS - 1)
+
+
+def _pack(number: Column, total: Column) -> Column:
+    return F.shiftleft(number, SUM_BITS).bitwiseOR(total.bitwiseAND(MODULUS - 1))
+
+
 def lanes(hashes: Column) -> Column:
     """The fingerprint of a multiset of paragraph hashes as an array of 1 + DENSE + STRATA * BUCKETS numbers."""
     def low(h: Column, seed: int) -> Column:
@@ -52,18 +73,26 @@ def lanes(hashes: Column) -> Column:
     sparse = F.flatten(F.transform(strata, lambda part: F.transform(
         F.array(*[F.lit(b) for b in range(BUCKETS)]),
         lambda b: F.aggregate(part, F.lit(0).cast("long"), lambda a, h: F.when(
-            F.shiftright(h, 20).bitwiseAND(BUCKETS - 1) == b, (a + low(h, DENSE) + 1) % MODULUS).otherwise(a)))))
+            F.shiftright(h, 20).bitwiseAND(BUCKETS - 1) == b, _pack(_number(a) + 1, _sum(a) + low(h, DENSE) + 1)).otherwise(a)))))
     return F.concat(F.array(F.size(hashes).cast("long"), *dense), sparse)
 
 
+def _lane_by_lane(a: Column, b: Column, sign: int) -> Column:
+    head, tail = (F.lit(1), F.lit(DENSE + 1)), (F.lit(DENSE + 2), F.lit(STRATA * BUCKETS))
+    dense = F.zip_with(F.slice(a, *head), F.slice(b, *head), lambda x, y: F.pmod(x + sign * y, F.lit(MODULUS)))
+    sparse = F.zip_with(F.slice(a, *tail), F.slice(b, *tail), lambda x, y: _pack(
+        _number(x) + sign * _number(y), F.pmod(_sum(x) + sign * _sum(y), F.lit(MODULUS))))
+    return F.concat(dense, sparse)
+
+
 def added(a: Column, b: Column) -> Column:
     """The fingerprint of the paragraphs of both."""
-    return F.zip_with(a, b, lambda x, y: (x + y) % MODULUS)
+    return _lane_by_lane(a, b, 1)
 
 
 def removed(a: Column, b: Column) -> Column:
     """The fingerprint of a's paragraphs without b's."""
-    return F.zip_with(a, b, lambda x, y: F.pmod(x - y, F.lit(MODULUS)))
+    return _lane_by_lane(a, b, -1)
 
 
 def as_text(a: Column) -> Column:
@@ -75,21 +104,42 @@ def as_text(a: Column) -> Column:
     return F.concat_ws(":", F.get(a, F.lit(0)).cast("string"), dense, F.array_join(sparse, ","))
 
 
+def _let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once per row: a lambda variable is not expanded where it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: the estimated share of the paragraphs of two fingerprints that both have."""
+    """0 to 1: the estimated share of the paragraphs of two fingerprints, copies included, that both have."""
     both = F.get(a, F.lit(0)) + F.get(b, F.lit(0))
-    differ = F.zip_with(F.slice(a, DENSE + 2, STRATA * BUCKETS), F.slice(b, DENSE + 2, STRATA * BUCKETS),
-                        lambda x, y: (x != y).cast("int"))
-    counts = F.transform(F.array(*[F.lit(s) for s in range(STRATA)]), lambda s: F.aggregate(
-        F.slice(differ, s * BUCKETS + 1, BUCKETS), F.lit(0), lambda n, x: n + x))
-    # from the coarsest stratum to the finest unsaturated one: (sum of the linear counts, weight, still unsaturated)
-    walk = F.aggregate(
-        F.reverse(counts), F.struct(F.lit(0.0).alias("n"), F.lit(float(1 << STRATA)).alias("w"), F.lit(True).alias("on")),
-        lambda st, c: F.when(st["on"] & (c < SATURATED), F.struct(
-            (st["n"] - BUCKETS * F.log(1.0 - c / BUCKETS)).alias("n"), (st["w"] / 2).alias("w"), F.lit(True).alias("on")))
-        .otherwise(F.struct(st["n"].alias("n"), st["w"].alias("w"), F.lit(False).alias("on"))))
-    estimate = F.transform(F.array(walk), lambda st: F.when(st["on"], st["n"]).otherwise(st["n"] * st["w"]))[0]
-    estimate = F.greatest(estimate, F.abs(F.get(a, F.lit(0)) - F.get(b, F.lit(0))))  # repeated paragraphs share a lane
+    much = F.greatest(both * HEAVY, F.lit(2.0))
+    # per bucket the paragraphs not shared: at least one, or one of each text if the numbers are equal
+    differ = F.zip_with(F.slice(a, DENSE + 2, STRATA * BUCKETS), F.slice(b, DENSE + 2, STRATA * BUCKETS), lambda x, y: F.when(
+        x != y, F.greatest(F.abs(_number(x) - _number(y)), F.when(_number(x) == _number(y), F.lit(2)).otherwise(F.lit(1)))).otherwise(0))
+
+    def unmixed(part: Column) -> Column:
+        """(differing buckets, paragraphs) of a stratum without the heavy ones, corrected for paragraphs that hide each other in
+        a bucket (linear counting)."""
+        return _let(F.aggregate(part, F.struct(F.lit(0).alias("buckets"), F.lit(0.0).alias("n")), lambda st, x: F.struct(
+            (st["buckets"] + (x > 0).cast("int")).alias("buckets"), (st["n"] + x).alias("n"))), lambda c: _let(
+                -F.log(F.greatest(F.lit(0.01), 1.0 - c["buckets"] / BUCKETS)), lambda load: F.struct(
+                    c["buckets"].alias("buckets"), (c["n"] * (1.0 + 0.13 * load + 0.05 * load * load)).alias("n"))))
+
+    def total(d: Column, much: Column) -> Column:
+        heavy = F.aggregate(d, F.lit(0.0), lambda n, x: F.when(x > much, n + x).otherwise(n))
+        strata = F.transform(F.array(*[F.lit(s) for s in reversed(range(STRATA))]), lambda s: unmixed(F.transform(
+            F.slice(d, s * BUCKETS + 1, BUCKETS), lambda x: F.when(x > much, 0).otherwise(x))))
+        # from the coarsest stratum to the finest unsaturated one: (sum, weight, still unsaturated)
+        walk = F.aggregate(
+            strata, F.struct(F.lit(0.0).alias("n"), F.lit(float(1 << STRATA)).alias("w"), F.lit(True).alias("on")),
+            lambda st, c: F.when(st["on"] & (c["buckets"] < SATURATED), F.struct(
+                (st["n"] + c["n"]).alias("n"), (st["w"] / 2).alias("w"), F.lit(True).alias("on")))
+            .otherwise(F.struct(st["n"].alias("n"), st["w"].alias("w"), F.lit(False).alias("on"))),
+            lambda st: F.when(st["on"], st["n"]).otherwise(st["n"] * st["w"]))
+        return walk + heavy
+
+    estimate = _let(differ, lambda d: _let(much, lambda m: total(d, m)))
+    estimate = F.greatest(estimate, F.abs(F.get(a, F.lit(0)) - F.get(b, F.lit(0))))
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - estimate / both))
     return F.when(F.slice(a, 1, DENSE + 1) == F.slice(b, 1, DENSE + 1), F.lit(1.0)).when(both == 0, F.lit(1.0)).otherwise(share)
 
