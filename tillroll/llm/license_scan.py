@@ -2,7 +2,8 @@
 
 The rolling hashes of K consecutive words of every whole text are joined with those of the templates. A hit votes for the
 diagonal text position - template position; votes are counted per document, template and diagonal. Neighbouring diagonals
-(up to GAP apart, as after inserted or missing words) are merged, and the span of each merged group is verified: the
+(up to GAP apart, as after inserted or missing words) are merged in the order of the diagonals, whatever other diagonals
+a repeated phrase of the template votes for, and the span of each merged group is verified: the
 words that hits cover must make up MIN_TEMPLATE of the template and MIN_SPAN of the span. Beside the templates' labels the
 base phrases are counted where their words stand consecutively.
 
@@ -116,12 +117,15 @@ def spans(documents: DataFrame, templates=TEMPLATES) -> DataFrame:
     votes = hits.groupBy(*key, "diagonal").agg(
         F.first("label").alias("label"), F.first("template_words").alias("template_words"),
         F.min("at").alias("low"), F.max("at").alias("high"), F.collect_set("at").alias("ats"))
-    # merge diagonals up to GAP apart whose spans overlap or follow each other within the template's length
-    order = Window.partitionBy(*key).orderBy("low", "diagonal")
-    reach = F.max(F.col("high")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when((F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) <= GAP)
-                   & (F.col("low") - reach <= F.col("template_words")), 0).otherwise(1)
-    merged = votes.withColumn("fresh", fresh).withColumn("band", F.sum("fresh").over(order)).groupBy(*key, "band").agg(
+    # diagonals in order: each is merged with the next one if that is up to GAP away, however many follow each other so
+    order = Window.partitionBy(*key).orderBy("diagonal")
+    apart = F.when(F.col("diagonal") - F.lag("diagonal").over(order) <= GAP, 0).otherwise(1)
+    votes = votes.withColumn("apart", apart).withColumn("near", F.sum("apart").over(order))
+    # of merged diagonals, those whose hits follow each other within the template's length are one span
+    place = Window.partitionBy(*key, "near").orderBy("low", "diagonal")
+    reach = F.max(F.col("high")).over(place.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("low") - reach <= F.col("template_words"), 0).otherwise(1)
+    merged = votes.withColumn("fresh", fresh).withColumn("band", F.sum("fresh").over(place)).groupBy(*key, "near", "band").agg(
         F.first("label").alias("label"), F.first("template_words").alias("template_words"), F.min("low").alias("low"),
         F.max("high").alias("high"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("ats"))
     # covered words: each hit covers K words, or as many as are left until the next hit
