@@ -110,6 +110,36 @@ def test_license_places_and_spans(spark, sf001):
     assert (-1, 1, 1 + size) in spans and {(-5, 0, size), (-5, size, 2 * size)} <= spans
 
 
+def test_edits_are_found_where_the_template_repeats_words(spark):
+    """Words inserted into and dropped from a template with a repeated phrase; the spans by a plain alignment."""
+    import difflib
+    import random
+
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(22)]
+    template = base[:6] + base[:4] + base[6:]  # 26 words, of which 4 are repeated
+    texts = [(0, template), (1, template[:13] + ["new"] + template[13:]), (2, base), (3, ["x"] * 5 + template[:13] + ["new"] + template[13:])]
+    for i in range(4, 40):
+        w = list(template)
+        for _ in range(rng.randrange(0, 4)):
+            at = rng.randrange(len(w))
+            w[at:at + rng.randrange(0, 2)] = [] if rng.random() < 0.4 else [f"n{rng.randrange(9)}"]
+        texts.append((i, [f"before{k}" for k in range(rng.randrange(9))] + w + [f"after{k}" for k in range(rng.randrange(9))]))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in L.spans(df, (("t", " ".join(template)),)).collect()}
+    assert {0, 1, 2, 3} - {2} <= set(got) and (got[1]["first_word"], got[1]["end_word"], got[1]["covered"]) == (0, 27, 26)
+    assert got[3]["first_word"] == 5
+    for i, w in texts:
+        blocks = [b for b in difflib.SequenceMatcher(None, template, w, False).get_matching_blocks() if b.size >= L.K]
+        most = max(blocks, key=lambda b: b.size) if blocks else None
+        blocks = [b for b in blocks if abs((b.b - b.a) - (most.b - most.a)) <= 3]  # not the repeated phrase on its other place
+        aligned = sum(b.size for b in blocks)
+        if aligned >= L.MIN_TEMPLATE * len(template):
+            assert i in got, (i, w)
+            assert got[i]["covered"] >= aligned and got[i]["first_word"] <= blocks[0].b
+            assert got[i]["end_word"] >= blocks[-1].b + blocks[-1].size
+
+
 def test_license_scan_of_awkward_tables(spark):
     assert L.scanned(H.empty_documents(spark)).count() == 0
     rows = L.scanned(H.odd_documents(spark)).collect()
@@ -152,6 +182,40 @@ def test_clean_text_is_left_alone():
         assert swap(text) == text
 
 
+@pytest.mark.parametrize("run", ["a1", "1", "a", "é", "f", "A", "-", ".", "%", "0.", "a-", "+1 ", "@", "a@", "a@b.", "1 ", "=", '="', "key=", "Mr ",
+                                 "Ab ", "日本"])
+def test_runs_of_entity_characters_take_linear_time(run):
+    import time
+
+    text = run * (300_000 // len(run))
+    began = time.time()
+    P._entities(text)
+    hinted([text])
+    assert time.time() - began < 3  # what is rescanned from every start takes minutes at this length
+
+
+@pytest.mark.parametrize("name", ["Παπαδόπουλος", "王小明", "אברהם", "محمد", "김철수", "たなか", "タナカ", "Հայկ", "Ärlig", "Петров"])
+def test_surrogates_keep_the_script(name):
+    def scripts(text):
+        return {P._script(c) if P._script(c) != "accented" else "latin" for c in text if c.isalpha()}
+
+    new = swap(f"Mr {name} wrote to {name.lower()}@例え.jp")
+    who, local, host = re.fullmatch(r"Mr (\S+) wrote to (\S+)@(\S+)\.jp", new).groups()
+    assert scripts(who) == scripts(local) == scripts(name) and scripts(host) == scripts("例え")
+    assert who != name and local != name.lower()
+    assert len({P.surrogate(b"k", P._entities(f"Mr {name}")[0][2], name.lower(), t) for t in range(30)}) == 30
+
+
+def test_names_are_replaced_without_their_titles_too():
+    text = "Mr John Smith and Smith met Dr. Miller; John, Smithson and a smith left, SMITH. Miller 555 123 4567 stayed. Brown too."
+    new = swap(text)
+    a, b, c, d, e, f, g = re.fullmatch(r"Mr (\w+) (\w+) and (\w+) met Dr\. (\w+); (\w+), Smithson and a smith left, SMITH\. "
+                                       r"(\w+) (\d{3} \d{3} \d{4}) stayed\. Brown too\.", new).groups()
+    assert b == c != "Smith" and a == e != "John" and d == f != "Miller" and g != "555 123 4567"
+    assert swap("Smith and John") == "Smith and John"
+    assert [x[:2] for x in P._entities(text)] == sorted(x[:2] for x in P._entities(text))
+
+
 def redone(monkeypatch):
     """Surrogates of telephone numbers from a space so small that they collide."""
     real = P.surrogate

@@ -2,8 +2,13 @@
 
 Detected entities are replaced by keyed surrogates of the same type: digits stand for digits, letters for letters of the
 same script and case, and punctuation stays; card numbers keep whether their check digit holds, telephone numbers their
-country code, mail addresses their top-level domain, and names get names of the same gender and script. A surrogate is
-an HMAC of the entity's canonical form, so that all mentions of an entity, however formatted, agree in all documents.
+country code, mail addresses their top-level domain, and names get names of the same gender and script (from lists for Latin
+and Cyrillic, of letters of the script for others). A surrogate is an HMAC of the entity's canonical form, so that all
+mentions of an entity, however formatted, agree in all documents. A name that a title shows to be one is replaced wherever its
+words stand in the same document, with or without a title.
+
+Every pattern starts only where a run of its characters starts or has a bounded length, so that the time grows with the text's
+length, also for a text that is one run of letters or digits.
 
 Distinctness: the distinct entities of all documents are gathered, and a surrogate that two entities of a type share, or
 that is itself an entity of the documents, is drawn anew (with the next attempt number) for all but the first. Names
@@ -25,7 +30,9 @@ import itertools
 import math
 import re
 import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +51,8 @@ TRIED = 16
 
 #: Titles before a name, by gender.
 TITLES = {"m": ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Signor", "господин"),
-          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Señora", "Señorita", "Signora", "госпожа")}
+          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Señora", "Señorita", "Signora", "госпожа"),
+          "n": ("Dr", "Prof")}
 #: Given names by script and gender.
 GIVEN = {"latin": {"m": "Adam Albert Bruno Carl Daniel David Edgar Felix George Henry Ivan Jacob Karl Leo Martin Noah "
                         "Oscar Paul Robert Simon Thomas Victor Walter Xavier".split(),
@@ -57,15 +65,17 @@ SYLLABLES = {"latin": "ba be bo da de do fa fe ka ke ko la le lo ma me mo na ne
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _TITLE = "|".join(t for k in TITLES.values() for t in sorted(k, key=len, reverse=True))
+#: A word that may be a name or part of one.
+_WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 _NAME = r"[^\W\d_a-zа-яà-ÿ][^\W\d_]+(?:-[^\W\d_]+)?"
 ENTITY = re.compile("|".join((
-    r"(?P<email>[\w.%+-]+@(?:[\w-]+\.)+[^\W\d_]{2,})",
+    r"(?P<email>(?<![\w.%+-])[\w.%+-]+@(?:[\w-]+\.)+[^\W\d_]{2,})",
     r"(?i:\b(?:token|key|secret|password|passwd|api[_-]?key)[\"']?\s*[=:]\s*[\"'](?P<secret>[\w+/=.-]{8,})[\"'])",
     r"(?P<hex>\b[0-9a-f]{32,128}\b|\b[0-9A-F]{32,128}\b)",
     rf"(?P<ip>(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\w]|\.\d))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<phone>(?<!\w)(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
-    r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))",
+    r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w.-])(?<!\d )\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-]| \d))",
     r"(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))",
     rf"(?:(?<!\w)(?P<title>{_TITLE})\.? (?P<name>{_NAME}(?: {_NAME})?))")))
 
@@ -82,6 +92,8 @@ _HINTS = re.compile(b"|".join([*(t.encode() for t in sorted({t[:3] for k in TITL
 _HEX_HINT = re.compile(rb"[a-fA-F](?=[a-fA-F]{31})")
 _LETTERS = {"accented": "àâäçèéêëîïñóôöùûüíáú", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
             "greek": "αβγδεζηθικλμνξοπρστυφχψω", "latin": "abcdefghijklmnopqrstuvwxyz"}
+#: Code points of scripts whose letters are many; other scripts' letters are collected from the planes' first 64 K.
+_RANGES = {"cjk": (0x4E00, 0x9FA6), "hangul": (0xAC00, 0xD7A4)}
 
 
 class Draw:
@@ -98,12 +110,25 @@ class Draw:
         return value % n
 
 
+@cache
 def _script(c: str) -> str:
+    """The script of a letter: the first word of its name, with Latin apart into ASCII and accented letters."""
     if c.isascii():
         return "latin"
-    if "\u0400" <= c <= "\u052f":
-        return "cyrillic"
-    return "greek" if "\u0370" <= c <= "\u03ff" else "accented"
+    script = unicodedata.name(c, "LATIN").split(" ")[0].lower()
+    return "accented" if script == "latin" or not _other_letters(script) else script
+
+
+@cache
+def _other_letters(script: str) -> str:
+    """The letters of a script that stand alone: no capitals, none that is composed of others."""
+    if script in _LETTERS:
+        return _LETTERS[script]
+    if script in _RANGES:
+        return "".join(map(chr, range(*_RANGES[script])))
+    named = re.compile(f"{re.escape(script.upper())} (?:SMALL )?LETTER ")
+    return "".join(c for c in map(chr, range(0x250, 0x10000)) if c.isalpha() and not c.isupper() and len(c.upper()) == 1
+                   and named.match(unicodedata.name(c, "")) and not unicodedata.decomposition(c))
 
 
 def _alike(text: str, draw: Draw) -> str:
@@ -113,7 +138,7 @@ def _alike(text: str, draw: Draw) -> str:
         if c.isdigit():
             out.append(str(draw.below(10)))
         elif c.isalpha():
-            letters = _LETTERS[_script(c)]
+            letters = _other_letters(_script(c))
             new = letters[draw.below(len(letters))]
             out.append(new.upper() if c.isupper() else new)
         else:
@@ -148,9 +173,12 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
         body = _alike(canonical[:-1], draw)
         check = (10 - _luhn(body + "0")) % 10
         return body + str(check if _luhn(canonical) == 0 else (check + 1 + draw.below(9)) % 10)
+    if base in ("given", "surname") and detail.split(":")[0] not in GIVEN:
+        # letters of the name's script in its length, one more with each further attempt
+        return _alike(canonical + canonical[-1] * attempt, draw)
     if base == "given":
         script, gender = detail.split(":")
-        names = GIVEN[script][gender]
+        names = GIVEN[script][gender] if gender != "n" else GIVEN[script]["m"] + GIVEN[script]["f"]
         # the pool is small: beyond it syllables, more with further attempts, keep names apart
         extra = "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range((attempt + 1) // 2))
         return (names[draw.below(len(names))] + extra).lower()
@@ -191,7 +219,7 @@ def _format(key: bytes, kind: str, canonical: str) -> tuple[str, list[list[str]]
         end = f"@{_alike(host, Draw(key, 'domain', domain, 0))}.{top}"
     places = []
     for c in canonical:
-        letters = _LETTERS[_script(c)]
+        letters = _other_letters(_script(c))
         places.append(digits if c.isdigit() else [c] if not c.isalpha() else
                       list(dict.fromkeys(letters.upper() if c.isupper() else letters)))
     shape = "".join(p[0] for p in places)
@@ -231,13 +259,15 @@ def parts(m: re.Match) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of what is replaced in a match."""
     kind = m.lastgroup
     if kind == "name":
-        gender = "m" if m["title"] in TITLES["m"] else "f"
+        gender = next(g for g, titles in TITLES.items() if m["title"] in titles)
         at, out = m.start("name"), []
         words = m["name"].split(" ")
         for i, w in enumerate(words):
-            script = "cyrillic" if _script(w[0]) == "cyrillic" else "latin"
-            # a Latin surname is one entity for both genders, so that a family keeps one name
-            label = f"given:{script}:{gender}" if i < len(words) - 1 else f"surname:{script}:{gender if script == 'cyrillic' else 'm'}"
+            script = _script(w[0])
+            script = "latin" if script == "accented" else script
+            # a surname is one entity for both genders, so that a family keeps one name; Cyrillic ones end by gender
+            family = (gender if gender != "n" else "m") if script == "cyrillic" else "m"
+            label = f"given:{script}:{gender}" if i < len(words) - 1 else f"surname:{script}:{family}"
             out.append((at, at + len(w), label, w.lower()))
             at += len(w) + 1
         return out
@@ -275,7 +305,20 @@ def _hinted(body: np.ndarray, offsets: np.ndarray) -> list[int]:
 
 
 def _entities(text: str) -> list[tuple[int, int, str, str]]:
-    return [p for m in ENTITY.finditer(text) for p in parts(m)]
+    found = [p for m in ENTITY.finditer(text) for p in parts(m)]
+    names = {text[a:b]: (kind, canonical) for a, b, kind, canonical in reversed(found) if kind.startswith(("given", "surname"))}
+    if not names:
+        return found
+    out, spans = [], iter([*found, (len(text) + 1, len(text) + 1, "", "")])
+    span = next(spans)
+    for m in _WORD.finditer(text):  # mentions of the names without a title, beside what is found already
+        while span[1] <= m.start():
+            out.append(span)
+            span = next(spans)
+        known = names.get(m[0])
+        if known and m.end() <= span[0]:
+            out.append((m.start(), m.end(), *known))
+    return out + [x for x in (span, *spans) if x[2]]
 
 
 def entities(documents: DataFrame) -> DataFrame:
