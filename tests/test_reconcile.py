@@ -66,6 +66,31 @@ def test_partner_totals_keep_currency_spellings(spark):
     assert rows == [("USD", 1.0), ("USD", 2.0)]
 
 
+def test_lines_in_buckets_are_joined_without_a_shuffle(spark):
+    import tempfile
+
+    from tillroll.sources.tables import write_bucketed
+
+    lines = spark.range(5000).selectExpr("concat('i', id % 1700) AS iid", "id AS amount")
+    keys = spark.range(40).selectExpr("concat('i', id * 50) AS iid")
+    kept = write_bucketed(lines, "lines_by_iid_test", "iid", 6, tempfile.mkdtemp(prefix="tillroll-buckets-") + "/t")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = reconcile.reduce_to_keys(kept, keys, "iid")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        plain = reconcile.reduce_to_keys(lines, keys, "iid")
+        side = plan[plan.index("SortMergeJoin"):].split("Scan parquet")[0]  # the path from the join down to the line table
+        assert "Exchange" not in side and "Bucketed: true" in plan
+        assert sorted(joined.collect()) == sorted(plain.collect()) and joined.count() == 100
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        spark.sql("DROP TABLE lines_by_iid_test")
+
+
 def test_reduce_to_keys(spark):
     big = spark.createDataFrame([(f"i{i}", i) for i in range(100)], "iid string, v int")
     keys = spark.createDataFrame([("i1",), ("i5",), (None,), ("zz",)], "iid string")

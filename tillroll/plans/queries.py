@@ -20,10 +20,12 @@ from tillroll.plans import params as P
 from tillroll.plans import reports
 from tillroll.sources import contracts, formats, sinks
 from tillroll.sources import fixtures as fx
-from tillroll.sources.tables import Tables, read_snapshot, sql_frame
+from tillroll.sources.tables import Tables, read_snapshot, sql_frame, write_bucketed
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
+#: Buckets of the order lines kept by item id; on a cluster, the table's size by a few hundred MB.
+LINE_BUCKETS = 8
 
 
 def register(name: str):
@@ -288,6 +290,19 @@ def q_overcharge_by_title(spark, sf_dir):
     return decimals_as_double(pivot)
 
 
+@register("overcharge_from_buckets")
+def q_overcharge_from_buckets(spark, sf_dir):
+    """The same report from order lines that are kept in buckets by item id."""
+    import uuid
+
+    t, report = _p6(spark, sf_dir)
+    folder = _report_folder(spark)
+    lines = write_bucketed(fx.sales_lines(t), f"sales_lines_by_iid_{uuid.uuid4().hex}", "iid", LINE_BUCKETS, f"{folder}/lines")
+    _, pivot = reports.distributor_overcharge(report, lines, fx.products(t), fx.suppliers(t), fx.product_discounts(t),
+                                              fx.star_deals(t), start=P.RECON_START, end=P.RECON_END)
+    return decimals_as_double(pivot)
+
+
 # ---------------------------------------------------------------- P7 / P8 publisher invoice comparison
 
 

@@ -52,11 +52,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; set a scratch one only when none is configured (local mode).
 
-    Under Spark Connect there is no SparkContext: the server's `spark.checkpoint.dir` is used as configured."""
+    Under Spark Connect there is no SparkContext: the server's `spark.checkpoint.dir` is used as configured, and required."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on the server")
+        return configured
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
