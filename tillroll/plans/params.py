@@ -47,3 +47,5 @@ REFERENCE_WINDOW_DAYS = 30
 # The sales channel's and the partner's flag columns in the test tables' views.
 ROYALTY_CHANNEL = "drivethrurpg"
 PARTNER_FLAG = "vaultn"
+#: Rows of a report's preview.
+PREVIEW_ROWS = 5

@@ -290,6 +290,16 @@ def q_overcharge_by_title(spark, sf_dir):
     return decimals_as_double(pivot)
 
 
+@register("report_preview")
+def q_report_preview(spark, sf_dir):
+    """IO15/O8: the first rows of a sorted report."""
+    t, report = _p6(spark, sf_dir)
+    _, pivot = reports.distributor_overcharge(report, fx.sales_lines(t), fx.products(t), fx.suppliers(t),
+                                              fx.product_discounts(t), fx.star_deals(t), start=P.RECON_START,
+                                              end=P.RECON_END)
+    return decimals_as_double(sinks.preview(pivot, P.PREVIEW_ROWS))
+
+
 @register("overcharge_from_buckets")
 def q_overcharge_from_buckets(spark, sf_dir):
     """The same report from order lines that are kept in buckets by item id."""
