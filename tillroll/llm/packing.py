@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 from . import common as C
 from . import tokens as T
 
-#: Pieces of a group: what one task packs at once.
-GROUP_PIECES = 20_000
+#: Pieces of a group, on the average: what one task packs at once. The search of a group whose sizes leave all bins underfull
+#: grows with the square of it.
+GROUP_PIECES = 5_000
 #: The emptiest bins of each group that are packed again with those of other groups.
-REOPENED_BINS = 12
+REOPENED_BINS = 8
 #: Groups whose reopened bins meet in one task of the second round.
-REOPENED_GROUPS = 400
+REOPENED_GROUPS = 200
 
 
 class Bins:
@@ -133,18 +134,23 @@ class Partners:
             self.reach[f] = found
         return self.reach[f]
 
-    def best(self, gives: int, room: int) -> tuple[int, int, int] | None:
-        """(bin, its item, size to give for it) in the fullest bin that sizes of the bit set `gives` can make fuller, with the
+    def best(self, gives: list[int], room: int) -> tuple[int, int, int] | None:
+        """(bin, its item, size to give for it) in the fullest bin that one of the sizes `gives` can make fuller, with the
         largest gain there, from a bin with `room` free."""
+        mask = sum(1 << s for s in gives)
         for f in sorted(self.owners):
-            if gives & self._reach(f):
+            if mask & self._reach(f):
                 # squared fills grow if the bin that gets fuller ends fuller than the other one was before
-                for gain in range(f, max(0, f - room), -1):
-                    backs = (gives >> gain) & self.sizes_at[f]
-                    if backs:
-                        size = (backs & -backs).bit_length() - 1
-                        b = min(self.owners[f][size])
-                        return b, self.owners[f][size][b], size + gain
+                gain, back = max(0, f - room), 0
+                for given in gives:  # the smallest size that `given` may replace in a bin with f free gains most
+                    low = max(given - f, 0)
+                    backs = self.sizes_at[f] >> low
+                    size = low + (backs & -backs).bit_length() - 1
+                    if backs and (given - size > gain or given - size == gain and back and size < back):
+                        gain, back = given - size, size
+                if back:
+                    b = min(self.owners[f][back])
+                    return b, self.owners[f][back][b], back + gain
         return None
 
 
@@ -201,7 +207,7 @@ def _exchange(bins: Bins, sizes: list[int], poor: int, partners: Partners) -> bo
     """The best exchange of one or two items of `poor` for one of a bin that this fills further, if there is one."""
     gives = _gives(bins.items[poor], sizes)
     partners.hide(poor)
-    found = partners.best(sum(1 << s for s in gives), bins.free[poor])
+    found = partners.best(list(gives), bins.free[poor])
     if found is None:
         partners.show(poor)
         return False
