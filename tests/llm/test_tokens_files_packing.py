@@ -28,6 +28,26 @@ def test_units_give_the_library_ids_of_any_text(text):
     assert coder.encode(text).tolist() == library_ids(coder, text)
 
 
+def test_other_tokenizer_files_encode_whole_texts(spark, tmp_path):
+    import json
+
+    import public_tokenizers
+
+    assert tokens.cuts_by_units(tokens.default_path())
+    with open(tokens.default_path(), encoding="utf-8") as f:
+        cased = json.load(f)
+    cased["normalizer"] = {"type": "NFC"}
+    (tmp_path / "cased.json").write_text(json.dumps(cased), encoding="utf-8")
+    rows = [(i, t) for i, t in enumerate(["Two  words, HERE\n", "", None, "don't <|endoftext|> stop", "Ünïcode 12 日本"])]
+    for path in (public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "cased.json")):
+        coder = tokens.encoder(path)
+        assert not coder.by_units
+        for _, t in rows:
+            assert coder.encode(t).tolist() == library_ids(coder, t)
+        got = token_files.token_files(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer=path).collect()
+        assert sorted(tuple(r) for r in got) == expected_files(coder, rows, 2)
+
+
 def test_ids_survive_passes_and_an_emptied_table(tokenizer, spark, sf001, monkeypatch):
     texts = [r["text"] for r in H.fixture_documents(spark, sf001).select("text").collect()][:120]
     monkeypatch.setattr(tokens, "PASS_BYTES", 700)
@@ -122,6 +142,26 @@ def test_local_search_keeps_items_and_never_adds_bins(sizes):
     assert len(bins) <= len([b for b in packing._best_fit(sizes, 100).items if b])
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(5, 60), min_size=1, max_size=6).filter(lambda b: sum(b) < 100), min_size=2, max_size=12),
+       st.lists(st.integers(1, 99), min_size=1, max_size=6), st.integers(1, 99))
+def test_best_partner_equals_a_plain_search(rows, gives, room):
+    sizes, bins = [z for b in rows for z in b], packing.Bins(100)
+    numbers = iter(range(len(sizes)))
+    for b in rows:
+        at = bins.new()
+        for z in b:
+            bins.put(at, next(numbers), z)
+    found = [(bins.free[b], given - sizes[i], sizes[i], b) for b, items in enumerate(bins.items) for i in items for given in gives
+             if max(0, bins.free[b] - room) < given - sizes[i] <= bins.free[b]]
+    got = packing.Partners(bins, sizes).best(gives, room)
+    if not found:
+        assert got is None
+        return
+    free, gain, size, b = min(found, key=lambda x: (x[0], -x[1], x[2], x[3]))  # fullest bin, largest gain, smallest item
+    assert (got[0], sizes[got[1]], got[2]) == (b, size, size + gain)
+
+
 def test_local_search_empties_a_bin_that_best_fit_leaves():
     sizes = [44, 38, 37, 30, 26, 25]  # best fit: 44 + 38, 37 + 30 + 26, 25; exchanging 44 for 37 makes room for 25
     best = packing._best_fit(sizes, 100)

@@ -4,11 +4,16 @@ The tokenizer file used here never forms a token across white space, nor between
 other than the apostrophe: its pre-tokenizer cuts there, and its normaliser (NFC, white space to a space, lower case)
 does not reach across. A text's ids are thus those of its units in order. Units are found and hashed with numpy, known
 ones are looked up in a bounded hash table of ids, and the library encodes the others. Two independent 64-bit values
-identify a unit."""
+identify a unit.
+
+Texts of a tokenizer file that normalises or cuts in another way are encoded whole, row by row.
+
+Defined results: a null or empty text has no ids; repeated texts have equal ids."""
 
 from __future__ import annotations
 
 import array
+import json
 import os
 import re
 import threading
@@ -27,6 +32,14 @@ PASS_BYTES = 1 << 18
 LATIN_PIECES = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t\n\x0b\x0c\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 
+#: How a tokenizer file must normalise and cut texts to be encoded by units (fixed values of its format).
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed",
+     "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 _LOADED: dict[str, "TokenEncoder"] = {}
 _LOCK = threading.Lock()
 
@@ -49,6 +62,17 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def cuts_by_units(path: str) -> bool:
+    """Whether a tokenizer file cuts texts as described above, and its added tokens begin with "<|" and stand alone."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    return (file.get("normalizer") == NORMALIZER and file.get("pre_tokenizer") == PRE_TOKENIZER
+            and not file.get("truncation") and not file["model"].get("dropout") and all(
+                t["content"].startswith("<|") and not re.search(r"\s", t["content"])
+                and not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"])
+                for t in file.get("added_tokens") or []))
+
+
 class TokenEncoder:
     """Encodes texts to ids equal to Tokenizer.encode(text, add_special_tokens=False)."""
 
@@ -58,6 +82,7 @@ class TokenEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_units = cuts_by_units(path)
         self.letters = byte_letters()
         self.shift = np.uint64(64 - (slots.bit_length() - 1))
         self.slots = slots
@@ -156,6 +181,11 @@ class TokenEncoder:
 
     def encode_rows(self, body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, bool, np.ndarray]]:
         """(row, last part of it, ids) for concatenated UTF-8 texts, in order. Long texts come in several parts."""
+        if not self.by_units:
+            for r, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                text = body[low:high].tobytes().decode()
+                yield r, True, np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            return
         for a, b in C.row_runs(offsets, PASS_BYTES):
             low, high = int(offsets[a]), int(offsets[b])
             if b - a > 1 or high - low <= PASS_BYTES:
