@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,10 +56,8 @@ def _brute(left, right, t, blocking=None):
             same = [b for b in right if b[:blocking] == a[:blocking]]
             pool = same or right
         best = None
-        for b in sorted(pool):
-            if not b:
-                continue
-            s = token_set_ratio(a, b)
+        pool = [b for b in sorted(pool) if b]
+        for b, s in zip(pool, similarity.token_set_ratios([a] * len(pool), pool).tolist()):
             if best is None or s > best[1]:
                 best = (b, s)
         if best and best[1] >= t:
@@ -159,8 +158,40 @@ def test_candidates_of_word_list_names(spark):
     assert shares[1] < 0.01 and shares[0] < 0.01
 
 
-@pytest.mark.parametrize("threshold", [0, 40, 60, 66])
-def test_thresholds_without_a_complete_filter_are_refused(spark, threshold):
+@pytest.mark.parametrize("threshold,blocking", [(66.6, None), (60, None), (50, None), (60, 3), (15, None)])
+def test_low_thresholds_equal_brute_force(spark, monkeypatch, threshold, blocking):
+    monkeypatch.setattr(matching, "BLOCK_NAMES", 40)  # several blocks of either side
+    rnd = random.Random(int(threshold) + (blocking or 0))
+    left, right = _random_names(rnd, 120) + ["x" * 300 + " games", "日本 ゲーム"], _random_names(rnd, 150) + ["日本", "qqqq"]
+    ldf = spark.createDataFrame([(x,) for x in left], "norm string")
+    rdf = spark.createDataFrame([(x,) for x in right], "norm string")
+    got = {r["l"]: (r["r"], r["score"]) for r in matching.best_matches(ldf, rdf, threshold, blocking).collect()}
+    assert got == _brute(sorted(left), sorted(right), threshold, blocking)
+    none = matching.best_matches(ldf, rdf.limit(0), threshold, blocking)
+    assert none.count() == 0
+
+
+def test_score_bounds_hold():
+    rnd = random.Random(8)
+    names = _random_names(rnd, 80) + ["a", "b a", "aa a", "日本", "🙂 日本 x"]
+    bounds = matching.score_bounds(names, names)
+    scores = similarity.token_set_ratios([a for a in names for _ in names], names * len(names)).reshape(bounds.shape)
+    assert (scores <= bounds + 1e-4).all()
+    assert (bounds < 50).mean() > 0.2  # the counts rule pairs out
+
+
+def test_few_pairs_are_scored(monkeypatch):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(4, 9))) for _ in range(400)]
+    left, right = (sorted({" ".join(rnd.choice(words) for _ in range(rnd.randint(2, 3))) for _ in range(600)}) for _ in range(2))
+    seen, plain = [], matching.token_set_ratios
+    monkeypatch.setattr(matching, "token_set_ratios", lambda a, b: seen.append(len(a)) or plain(a, b))
+    matching.best_in_blocks(left, right, 50)
+    assert sum(seen) < 0.1 * len(left) * len(right)
+
+
+@pytest.mark.parametrize("threshold", [0, -5])
+def test_thresholds_that_all_names_reach_are_refused(spark, threshold):
     df = spark.createDataFrame([("xaybzcw",)], "norm string")
     with pytest.raises(ValueError):
         matching.best_matches(df, df, threshold)

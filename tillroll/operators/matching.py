@@ -19,7 +19,16 @@ keys are chosen so that every pair able to reach the threshold shares one (an ex
 Candidates must then reach one of the two bounds in full (shared token weight, or multiset overlap), computed with
 array functions before any Python runs. A frequent token or bigram enters a name's prefix only when the name consists
 mostly of frequent parts; what such a prefix joins contains the name or most of it. The filter is exact for
-thresholds above 2/3 (the default is 90); below that the bigram bound is void, so such thresholds are refused.
+thresholds above 2/3 (the default is 90).
+
+Up to 2/3 the bigram bound is void, and names that share one common word already match, so that an index on parts would
+list nearly all pairs as rows. There, blocks of left names meet blocks of right names and a task bounds every pair's
+score with a few array operations, by count filters: by the characters that both names have (the longest common
+subsequence has no more) against their lengths, and by the shared tokens' length, which gives the token-driven terms
+exactly. Each left name then scores right names in the order of this bound until none can beat or tie the best one. A task
+returns at most one row per left name; the work is one cheap bound per pair of distinct names, spread over the pairs of
+blocks. Thresholds of 0 and less are refused: all names match.
+
 The remaining pairs are scored by an Arrow UDF, and the best match per left name is a `min_by` aggregate (score desc,
 then name asc, the first best wins). All of this runs on distinct normalised names, so repeated names in the inputs
 cost nothing.
@@ -27,18 +36,32 @@ cost nothing.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.names import block_key, normalize_name
-from tillroll.functions.similarity import token_set_ratio_udf
+from tillroll.functions.similarity import token_set_ratio_udf, token_set_ratios
 from tillroll.session import cut_lineage
 
+#: Names of a block, on the average, where blocks are compared; a task holds a few numbers per pair of two blocks.
+BLOCK_NAMES = 2_000
+#: Right names that a left name scores at first; twice as many each time after.
+FIRST_SCORED = 8
+
+
+def has_prefix_filter(threshold: float) -> bool:
+    """Whether names that reach the threshold must share a prefix key."""
+    return 1.0 - 3.0 * (1.0 - threshold / 100.0) > 1e-6
+
 
 def _bounds(threshold: float) -> tuple[float, float]:
     u = 1.0 - threshold / 100.0
-    if 1.0 - 3.0 * u <= 0:
-        raise ValueError("thresholds up to 66.7 are not supported: no filter on shared parts is complete there")
+    if not has_prefix_filter(threshold):
+        raise ValueError("no filter on shared parts is complete for thresholds up to 66.7")
     if u <= 0:
         return 1.0, 1.0
     rho = (1.0 - u) / (2.0 * u)
@@ -118,6 +141,98 @@ def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float = 90) ->
     return pairs.join(lp, "l").join(rp, "r").where(bound).select("l", "r")
 
 
+def score_bounds(left: list[str], right: list[str]) -> np.ndarray:
+    """An upper bound of the token-set score of each pair (left, right) of non-empty names."""
+
+    def parts(names: list[str]) -> tuple[np.ndarray, dict[str, list], dict[str, list]]:
+        lengths, tokens, letters = np.zeros(len(names)), defaultdict(list), defaultdict(list)
+        for i, name in enumerate(names):
+            words = set(name.split())
+            for w in words:
+                tokens[w].append(i)
+            joined = " ".join(words)
+            lengths[i] = len(joined)
+            for c, n in Counter(joined).items():
+                letters[c].append((i, n))
+        return lengths, tokens, letters
+
+    ll, lt, lc = parts(left)
+    rl, rt, rc = parts(right)
+    common = np.zeros((len(left), len(right)), np.float32)  # characters of both
+    for c in lc.keys() & rc.keys():
+        (i, n), (j, m) = np.array(lc[c]).T, np.array(rc[c]).T
+        common[np.ix_(i, j)] += np.minimum(n[:, None], m[None, :])
+    out = 200.0 * common / (ll[:, None] + rl[None, :])
+    common[:] = 0  # from here the length of the shared tokens, each with a separator
+    for w in lt.keys() & rt.keys():
+        common[np.ix_(lt[w], rt[w])] += len(w) + 1
+    i, j = np.nonzero(common)
+    shared = common[i, j] - 1.0
+    out[i, j] = np.maximum(out[i, j], 200.0 * shared / (shared + np.minimum(ll[i], rl[j])))
+    return out
+
+
+def best_in_blocks(left: list[str], right: list[str], threshold: float, allowed: np.ndarray | None = None) -> pd.DataFrame:
+    """(l, r, score): the best right name of each left name that reaches the threshold, the first of equally good ones.
+    `allowed` tells which pairs count."""
+    right_order = sorted(range(len(right)), key=right.__getitem__)
+    right = [right[j] for j in right_order]
+    bound = score_bounds(left, right)
+    if allowed is not None:
+        bound[~allowed[:, right_order]] = -1.0
+    best, at = np.full(len(left), float(threshold)), np.full(len(left), len(right))
+    slack, count = 1e-4, FIRST_SCORED  # of the bounds, whose counts are single floats
+    live = np.flatnonzero(bound.max(axis=1, initial=-1.0) >= best - slack)
+    while len(live):
+        count = min(count, len(right))
+        tops = np.argpartition(-bound[live], count - 1, axis=1)[:, :count]
+        row, col = np.repeat(live, count), tops.ravel()
+        todo = bound[row, col] >= best[row] - slack
+        row, col = row[todo], col[todo]
+        scores = token_set_ratios([left[i] for i in row], [right[j] for j in col])
+        bound[row, col] = -1.0
+        order = np.lexsort((col, -scores, row))
+        row, col, scores = row[order], col[order], scores[order]
+        first = np.concatenate([[True], row[1:] != row[:-1]])
+        row, col, scores = row[first], col[first], scores[first]
+        better = (scores > best[row]) | (scores == best[row]) & (col < at[row])
+        best[row[better]], at[row[better]] = scores[better], col[better]
+        live = live[bound[live].max(axis=1) >= best[live] - slack]
+        count *= 2
+    hit = np.flatnonzero(at < len(right))
+    return pd.DataFrame({"l": pd.Series([left[i] for i in hit], dtype=object),
+                         "r": pd.Series([right[j] for j in at[hit]], dtype=object), "score": best[hit]})
+
+
+def _scored_in_blocks(left: DataFrame, right: DataFrame, threshold: float, blocking: int | None) -> DataFrame:
+    """(l, r, score): for each left name and block of right names the best one that reaches the threshold."""
+    if threshold <= 0:
+        raise ValueError("a threshold must be above 0")
+    lefts, rights = (max(1, -(-names.count() // BLOCK_NAMES)) for names in (left, right))
+    only = F.lit(None).cast("string")
+    if blocking:  # a left name whose first characters begin some right name is compared with those only
+        keys = right.select(block_key("norm", blocking).alias("only")).distinct()
+        left = left.withColumn("key", block_key("norm", blocking)).join(keys, F.col("key") == F.col("only"), "left")
+        only = F.col("only")
+
+    def dealt(names: DataFrame, side: str, key, own: str, blocks: int, other: str, others: int) -> DataFrame:
+        return names.select(F.lit(side).alias("side"), "norm", key.alias("key"),
+                            F.pmod(F.xxhash64("norm"), F.lit(blocks)).cast("int").alias(own),
+                            F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
+
+    pairs = dealt(left, "L", only, "i", lefts, "j", rights).unionByName(
+        dealt(right, "R", block_key("norm", blocking or 1), "j", rights, "i", lefts))
+
+    def best(rows: pd.DataFrame) -> pd.DataFrame:
+        mine, theirs = rows[rows["side"] == "L"], rows[rows["side"] == "R"]
+        keys = mine["key"].to_numpy(object)
+        free = mine["key"].isna().to_numpy()
+        allowed = free[:, None] | (keys[:, None] == theirs["key"].to_numpy(object)[None, :]) if blocking else None
+        return best_in_blocks(mine["norm"].tolist(), theirs["norm"].tolist(), threshold, allowed)
+
+    return pairs.groupBy("i", "j").applyInPandas(best, "l string, r string, score double")
+
+
 def best_matches(left_names: DataFrame, right_names: DataFrame, threshold: float = 90,
                  blocking: int | None = None) -> DataFrame:
     """(l, r, score): for each distinct non-empty left name the best right name with score >= threshold.
@@ -133,6 +248,8 @@ def best_matches(left_names: DataFrame, right_names: DataFrame, threshold: float
         .where(F.col("norm") != "").distinct())
     left = both.where(F.col("_side") == "L").select("norm")
     right = both.where(F.col("_side") == "R").select("norm")
+    if not has_prefix_filter(threshold):
+        return _best(_scored_in_blocks(left, right, threshold, blocking))
     cand = candidate_pairs(left, right, threshold)
     if blocking:
         rb = right.select(block_key("norm", blocking).alias("b")).distinct()
@@ -141,7 +258,10 @@ def best_matches(left_names: DataFrame, right_names: DataFrame, threshold: float
                                                                   F.col("b").isNotNull().alias("has_block"))
         cand = cand.join(lb, "l").where(~F.col("has_block") | (block_key("r", blocking) == F.col("lb"))) \
             .select("l", "r")
-    scored = cand.withColumn("score", token_set_ratio_udf("l", "r")).where(F.col("score") >= threshold)
+    return _best(cand.withColumn("score", token_set_ratio_udf("l", "r")).where(F.col("score") >= threshold))
+
+
+def _best(scored: DataFrame) -> DataFrame:
     best = scored.groupBy("l").agg(F.min_by(F.struct("r", "score"), F.struct(-F.col("score"), F.col("r"))).alias("m"))
     return best.select("l", F.col("m.r").alias("r"), F.col("m.score").alias("score"))
 

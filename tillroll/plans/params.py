@@ -37,6 +37,7 @@ RECON_END = "1998-08-01"
 PROMO_PUBLISHER = "red widget"
 PROMO_SUPPLIER = "red widget"
 MATCH_THRESHOLD = 90
+LOW_MATCH_THRESHOLD = 50
 # Publisher spellings corrected by name before matching (one present in the fixture report).
 PUBLISHER_OVERRIDES = {"HOT ROD Ltd.": "HOT ROD"}
 # The first script selects the promo publisher by its whole lower-cased name.

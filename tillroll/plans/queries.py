@@ -360,6 +360,13 @@ def q_fuzzy_match_blocked(spark, sf_dir):
                                       blocking=3)
 
 
+@register("fuzzy_match_low")
+def q_fuzzy_match_low(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    rep = contracts.trim_headers(fx.publisher_report(t, P.RECON_START, P.RECON_END))
+    return matching.fuzzy_match_table(rep, fx.suppliers(t), "Publisher Name", "supplier_name", P.LOW_MATCH_THRESHOLD)
+
+
 def _p7_parts(spark, sf_dir):
     t = Tables(spark, sf_dir)
     start, end, _, _ = previous_month(P.RECON_AS_OF)
