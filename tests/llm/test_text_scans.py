@@ -277,6 +277,12 @@ def test_every_text_with_an_entity_is_searched(spark):
     assert all(out[i]["n_replaced"] and out[i]["text"] != t for i, t in enumerate(WITHOUT_ASCII_DIGITS))
 
 
+@pytest.mark.parametrize("end", ["=", ":", "key ="])
+def test_an_assignment_hides_no_digits_of_the_next_row(end):
+    text = "４" * 16 + '"'
+    assert P._entities(text) and hinted(["abc", end, text, "abc"]) == [1, 2]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.sampled_from([*WITHOUT_ASCII_DIGITS, "key", '"', "'", "=", ":", "abcdef" * 3, "Mr", "Herr"]),
                                    st.text(max_size=9)), max_size=5).map("".join), max_size=5))

@@ -83,9 +83,10 @@ _HINT = np.zeros(256, bool)
 _HINT[ord("@")] = _HINT[0x30:0x3A] = True
 _SPACE = rb"[\s\x1c-\x1f\x80-\xff]*[\"']"
 _DIGITS = [c.encode() for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isdecimal()]
-#: Titles by their first letters, the assignment before a quoted secret, and digits that aren't ASCII.
+#: Titles by their first letters, the assignment before a quoted secret, and digits that aren't ASCII. What follows an assignment
+#: isn't consumed: it may be digits of the next row.
 _HINTS = re.compile(b"|".join([*(t.encode() for t in sorted({t[:3] for k in TITLES.values() for t in k})),
-                               b"=" + _SPACE, b":" + _SPACE,
+                               b"=(?=" + _SPACE + b")", b":(?=" + _SPACE + b")",
                                *(h + b"[" + b"".join(d[-1:] for d in _DIGITS if d[:-1] == h) + b"]"
                                  for h in sorted({d[:-1] for d in _DIGITS}))]))
 #: 32 letters of a hexadecimal number; it consumes one, so that no match hides one of the next row.
